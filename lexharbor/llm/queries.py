@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, packing, warc
+from . import chat, exact_dedup, langid, mixing, near_dedup, packing, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,21 @@ def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = langid.train(docs.where(F.coalesce(~held_out, F.lit(True))))
+    out = langid.identify(docs, model)
+    held_out = F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    return out.select(F.col("id").alias("doc_id"), held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=80)
+    component = F.coalesce("component", "id")
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"), (F.col("id") == component).alias("kept"))
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix_sources(_table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -47,6 +62,8 @@ QUERIES = {
     "op4_warc": op4_warc,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_shards": op7_shards,
+    "op8_language": op8_language,
+    "op9_near_dedup": op9_near_dedup,
     "op10_mix": op10_mix,
 }
 
@@ -72,4 +89,17 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, sha1(h) AS paylo
 WITH d AS (SELECT doc_id, regexp_replace(COALESCE(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
     doc_id = min(doc_id) OVER (PARTITION BY norm) AS kept, sha256(norm) AS text_sha256 FROM d""",
+    "op9_near_dedup": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM i JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * k >= 80 * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT w.doc_id, CAST(COALESCE(n.n, 0) AS BIGINT) AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)""",
 }

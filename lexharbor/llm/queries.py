@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, langid, mixing, near_dedup, packing, warc
+from . import chat, exact_dedup, langid, mixing, near_dedup, packing, suffix_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.shard_documents(_table(spark, sf_dir, "documents"))
     return out.select(
@@ -61,6 +66,7 @@ QUERIES = {
     "op3_chat_perspectives": op3_chat_perspectives,
     "op4_warc": op4_warc,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_shards": op7_shards,
     "op8_language": op8_language,
     "op9_near_dedup": op9_near_dedup,

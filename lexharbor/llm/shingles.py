@@ -6,6 +6,8 @@ import numpy as np
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: As _SPACE, with all ASCII characters that are neither letters nor digits.
+BREAKS = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += np.uint64(32)
 _MASK = (1 << 64) - 1
@@ -33,12 +35,12 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """A hash of each word, A-Z lower-cased; words are runs without ASCII white space."""
+def word_hashes(text: str, breaks: np.ndarray = _SPACE) -> np.ndarray:
+    """A hash of each word, A-Z lower-cased; words are runs without ``breaks`` (ASCII white space)."""
     b = np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)
     if not len(b):
         return np.zeros(0, np.uint64)
-    inside = np.concatenate([[False], ~_SPACE[b], [False]])
+    inside = np.concatenate([[False], ~breaks[b], [False]])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[0::2], edges[1::2]
     power, inverse = _power_tables(len(b) + 1)

@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, langid, mixing, near_dedup, packing, suffix_dedup, warc
+from . import chat, decontaminate, exact_dedup, langid, licences, mixing, near_dedup, packing, suffix_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licences.scan_documents(_table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), F.array_join("families", ",").alias("families"), "n_paragraphs", "first_paragraph", F.round("probability", 4).alias("probability"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return out.select(F.col("id").alias("doc_id"), "item_id", *[F.round(c, 6).alias(c) for c in ("cosine", "subsequence", "weighted", "answer")], "first_word")
@@ -68,6 +73,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_licences": op1_licences,
     "op2_decontaminate": op2_decontaminate,
     "op3_chat_perspectives": op3_chat_perspectives,
     "op4_warc": op4_warc,

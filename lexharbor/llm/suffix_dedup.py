@@ -34,12 +34,12 @@ from .common import settle, tune, with_membership
 from .shingles import _power_tables, mix
 
 LENGTH, GRAM = 100, 32
-#: Bits of the filter of repeated anchors: 16 MiB whatever the input is.
-ANCHOR_BITS = 1 << 27
+#: Bits of the filters that the texts meet: 16 MiB each whatever the input is.
+FILTER_BITS = 1 << 27
 #: Bytes of regions that one suffix array is built over, and regions of one anchor in one shard.
-SHARD_BYTES, HOT_REGIONS = 4 << 20, 10_000
+SHARD_BYTES, HOT_REGIONS = 1 << 20, 8000
 #: Longest stretch of a text whose anchors are selected at once.
-STRETCH = 4 << 20
+STRETCH = 1 << 18
 _LAST = (1 << 63) - 1
 _POS = np.uint64((1 << 24) - 1)
 
@@ -82,13 +82,15 @@ def suffix_array(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
     suffixes differ.  (Kasai's carry needs the full order, not one by the first LENGTH bytes.)
     """
     n = len(text)
-    pad = np.concatenate([text.astype(np.uint64) + np.uint64(1), np.zeros(8, np.uint64)])
+    symbols, coded = np.unique(text, return_inverse=True)
+    width = max(1, int(len(symbols)).bit_length())
+    h = 62 // width  # symbols of the first sort
     end = np.repeat(ends, np.diff(np.concatenate([[0], ends])))  # the end of each position's region
     left = end - np.arange(n)
+    pad = np.concatenate([coded.astype(np.uint64) + np.uint64(1), np.zeros(h, np.uint64)])
     key = np.zeros(n, dtype=np.uint64)
-    for j in range(7):
-        key = key * np.uint64(257) + np.where(left > j, pad[j : n + j], np.uint64(0))
-    h = 7
+    for j in range(h):
+        key = (key << np.uint64(width)) | np.where(left > j, pad[j : n + j], np.uint64(0))
     order = np.argsort(key, kind="stable")
     new = np.concatenate([[True], key[order][1:] != key[order][:-1]])
     rank = np.empty(n, dtype=np.int64)
@@ -105,7 +107,8 @@ def suffix_array(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
         follow = suffix + h
         inside = follow < end[suffix]
         second = np.where(inside, rank[np.minimum(follow, n - 1)] + n, np.searchsorted(ends, suffix, side="right"))
-        again = np.lexsort((second, group[open_]))
+        both = group[open_] * (2 * n) + second
+        again = np.argsort(both, kind="stable")
         suffix, second, old = suffix[again], second[again], group[open_][again]
         order[open_] = suffix
         differs = np.concatenate([[True], (old[1:] != old[:-1]) | (second[1:] != second[:-1])])
@@ -144,6 +147,30 @@ def common_prefixes(text: np.ndarray, ends: np.ndarray, order: np.ndarray, most:
     return lcp_at[order]
 
 
+def _raw(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
+
+
+def _places(o: int, tag: int, first: np.ndarray) -> np.ndarray:
+    """A number for each start in a document."""
+    return mix(mix(np.array([o, tag], dtype=np.int64).view(np.uint64)).sum(dtype=np.uint64) + first.astype(np.uint64)).view(np.int64)
+
+
+def _filter_bits(rows: DataFrame, col: str) -> np.ndarray:
+    """Bits of ``rows[col]``; at most FILTER_BITS / 8 bytes reach the driver, whatever the input is."""
+    slot = F.pmod(F.col(col), F.lit(FILTER_BITS)) + 1
+    pages = rows.groupBy(F.bitmap_bucket_number(slot).alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    bits = np.zeros((FILTER_BITS // 32768, 4096), dtype=np.uint8)
+    for page, got in pages.toLocalIterator():
+        bits[page - 1] = np.frombuffer(bytes(got), np.uint8)
+    return bits.ravel()
+
+
+def _in_filter(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values % FILTER_BITS
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def repeated_starts(regions: list[bytes], ords: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of every string of LENGTH bytes in ``regions``: (region, start in document, is its first start)."""
     text = np.frombuffer(b"".join(regions), dtype=np.uint8)
@@ -181,94 +208,107 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     tune(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("ord", F.coalesce("id", F.lit(_LAST))).withColumn("sha", F.sha2(F.col("text").cast("binary"), 256))
-    meta = settle(rows.select("id", "ord", "sha", F.octet_length("text").cast("long").alias("n_bytes")), "sx-meta")
+    # Different texts under one identifier are told apart, and ordered, by the head of their digest.
+    rows = rows.withColumn("tag", F.conv(F.substring("sha", 1, 15), 16, 10).cast("long"))
+    meta = settle(rows.select("id", "ord", "tag", "sha", F.octet_length("text").cast("long").alias("n_bytes")), "sx-meta")
     owner = settle(meta.groupBy("sha").agg(F.min("ord").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("sha", "first"), "sx-copies")
 
     # Texts that enter the search: one row for each distinct text.
-    judged = with_membership(rows.where(F.octet_length("text") >= LENGTH), "sha", owner, "sha", "maybe").select("ord", "sha", "text", "maybe")
-    copies = judged.where("maybe").join(owner, "sha", "left").where("first is null or ord = first").select("ord", "sha", "text").dropDuplicates(["ord", "sha"])
-    texts = judged.where("not maybe").select("ord", "sha", "text").unionByName(copies)
+    judged = with_membership(rows.where(F.octet_length("text") >= LENGTH), "sha", owner, "sha", "maybe").select("ord", "tag", "sha", "text", "maybe")
+    copies = judged.where("maybe").join(owner, "sha", "left").where("first is null or ord = first").select("ord", "tag", "text").dropDuplicates(["ord", "tag"])
+    texts = judged.where("not maybe").select("ord", "tag", "text").unionByName(copies)
 
     def list_anchors(batches):
         for pdf in batches:
-            found = [anchors(np.frombuffer(t.encode("utf-8", "replace"), np.uint8))[0] for t in pdf["text"]]
+            found = [anchors(_raw(t))[0] for t in pdf["text"]]
             if found:
                 yield pd.DataFrame({"key": np.concatenate(found).view(np.int64)})
 
     repeated = texts.select("text").mapInPandas(list_anchors, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    slot = F.pmod(F.col("key"), F.lit(ANCHOR_BITS)) + 1
-    pages = repeated.groupBy(F.bitmap_bucket_number(slot).alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
-    bits = np.zeros((ANCHOR_BITS // 32768, 4096), dtype=np.uint8)
-    for page, got in pages.toLocalIterator():  # at most ANCHOR_BITS / 8 bytes in all
-        bits[page - 1] = np.frombuffer(bytes(got), np.uint8)
-    held = spark.sparkContext.broadcast(bits.ravel())
+    held = spark.sparkContext.broadcast(_filter_bits(repeated, "key"))
 
-    def cut_regions(batches):
+    def place_regions(batches):
+        """Where repeated anchors are, and a digest of their regions; the bytes stay behind."""
         bits = held.value
         for pdf in batches:
             out = []
-            for o, sha, text in zip(pdf["ord"], pdf["sha"], pdf["text"], strict=True):
-                raw = text.encode("utf-8", "replace")
-                key, first, last = anchors(np.frombuffer(raw, np.uint8))
-                at = (key.view(np.int64) % ANCHOR_BITS).astype(np.int64)
-                for k in np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1):
-                    region = raw[first[k] : last[k] + LENGTH]
-                    out.append((int(key[k : k + 1].view(np.int64)[0]), hashlib.blake2b(region, digest_size=12).digest(), o, sha, int(first[k]), int(last[k]), region))
-                    if len(out) >= 20_000:
-                        yield pd.DataFrame(out, columns=["key", "dig", "ord", "sha", "first", "last", "region"])
-                        out = []
-            yield pd.DataFrame(out, columns=["key", "dig", "ord", "sha", "first", "last", "region"])
-
-    regions = settle(texts.mapInPandas(cut_regions, "key long, dig binary, ord long, sha string, first long, last long, region binary"), "sx-regions")
-    place = F.struct("ord", "sha", "first")
-    distinct = settle(regions.groupBy("key", "dig").agg(F.min(place).alias("at"), F.count(F.lit(1)).alias("n")), "sx-distinct")
+            for o, tag, text in zip(pdf["ord"], pdf["tag"], pdf["text"], strict=True):
+                b = _raw(text)
+                key, first, last = anchors(b)
+                k = np.flatnonzero(_in_filter(bits, key.view(np.int64)))
+                if len(k):
+                    raw = b.tobytes()
+                    dig = [hashlib.blake2b(raw[x : y + LENGTH], digest_size=16).digest() for x, y in zip(first[k].tolist(), last[k].tolist(), strict=True)]
+                    out.append(pd.DataFrame({"dig": dig, "key": key[k].view(np.int64), "ord": o, "tag": tag, "first": first[k], "last": last[k], "place": _places(o, tag, first[k])}))
+            if out:
+                yield pd.concat(out)
+
+    regions = settle(texts.mapInPandas(place_regions, "dig binary, key long, ord long, tag long, first long, last long, place long"), "sx-regions")
+    spot = F.struct("ord", "tag", "first", "place", "key")
+    distinct = settle(regions.groupBy("dig").agg(F.min(spot).alias("at"), F.count(F.lit(1)).alias("n")), "sx-distinct")
     # Later occurrences of equal regions: all their strings start earlier in the first one.
-    some = distinct.where("n > 1").select("key", "dig", "at")
-    later = regions.drop("region").join(some, ["key", "dig"]).where(place != F.col("at"))
-    later = later.select("ord", "sha", F.col("first").alias("lo"), (F.col("last") + LENGTH).alias("hi"))
-
-    # Anchors with several distinct regions: suffix arrays.
-    busy = distinct.groupBy("key").agg(F.count(F.lit(1)).alias("d")).where("d > 1")
-    work = regions.join(distinct.select("key", "dig", "at"), ["key", "dig"]).where(place == F.col("at")).dropDuplicates(["key", "dig"])
-    work = work.select("key", "dig", "ord", "sha", "first", "region").join(busy, "key")
-    size = busy.agg(F.sum("d")).first()[0] or 0
-    shards = int(size * (LENGTH + 70) // shard_bytes) + 1
+    some = distinct.where("n > 1").select("dig", F.col("at.place").alias("kept_place"))
+    later = regions.select("dig", "ord", "tag", "first", "last", "place").join(some, "dig").where("place <> kept_place")
+    later = later.select("ord", "tag", F.col("first").alias("lo"), (F.col("last") + LENGTH).alias("hi"))
+
+    # Anchors with several distinct regions: suffix arrays over the bytes of their first occurrences.
+    busy = distinct.groupBy(F.col("at.key").alias("key")).agg(F.count(F.lit(1)).alias("d")).where("d > 1")
+    work = settle(distinct.select("dig", "at.*").join(busy, "key"), "sx-work")
+    held_work = spark.sparkContext.broadcast(_filter_bits(work, "place"))
+
+    def cut_regions(batches):
+        bits = held_work.value
+        for pdf in batches:
+            out = []
+            for o, tag, text in zip(pdf["ord"], pdf["tag"], pdf["text"], strict=True):
+                b = _raw(text)
+                _, first, last = anchors(b)
+                place = _places(o, tag, first)
+                k = np.flatnonzero(_in_filter(bits, place))
+                if len(k):
+                    raw = b.tobytes()
+                    out.append(pd.DataFrame({"place": place[k], "region": [raw[x : y + LENGTH] for x, y in zip(first[k].tolist(), last[k].tolist(), strict=True)]}))
+            if out:
+                yield pd.concat(out)
+
+    size = work.count()
+    shards = int(size * (LENGTH + 40) // shard_bytes) + 1
     split = F.ceil(F.col("d") / F.lit(hot_regions)).cast("int")  # 1: the anchor is not hot
     hot = F.col("d") > hot_regions
-    salt = F.when(hot, F.pmod(F.xxhash64("dig"), split)).otherwise(F.lit(-1).cast("long"))
-    shard = F.when(hot, F.concat_ws(":", F.col("key"), salt)).otherwise(F.pmod(F.xxhash64("key"), F.lit(shards)).cast("string"))
-    work = work.select("ord", "sha", "first", "region", hot.alias("hot"), shard.alias("shard"))
+    shard = F.when(hot, F.concat_ws(":", F.col("key"), F.pmod(F.xxhash64("dig"), split))).otherwise(F.pmod(F.xxhash64("key"), F.lit(shards)).cast("string"))
+    work = work.select("place", "ord", "tag", "first", hot.alias("hot"), shard.alias("shard"))
+    work = texts.mapInPandas(cut_regions, "place long, region binary").join(work, "place").select("ord", "tag", "first", "region", "hot", "shard")
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        ords = pd.factorize(pd.MultiIndex.from_arrays([pdf["ord"], pdf["sha"]]), sort=True)[0]
+        ords = pd.factorize(pd.MultiIndex.from_arrays([pdf["ord"], pdf["tag"]]), sort=True)[0]
         region, start, first = repeated_starts(list(pdf["region"]), ords, pdf["first"].to_numpy())
         r, lo, hi = _ranges(region[~first], start[~first])
-        out = pd.DataFrame({"ord": pdf["ord"].to_numpy()[r], "sha": pdf["sha"].to_numpy()[r], "lo": lo, "hi": hi, "string": None})
+        out = pd.DataFrame({"ord": pdf["ord"].to_numpy()[r], "tag": pdf["tag"].to_numpy()[r], "lo": lo, "hi": hi, "string": None})
         if pdf["hot"].iloc[0]:
             begin, raw = pdf["first"].to_numpy(), list(pdf["region"])
             own, at = region[first], start[first]
             kept = [raw[k][s - begin[k] : s - begin[k] + LENGTH] for k, s in zip(own, at, strict=True)]
-            out = pd.concat([out, pd.DataFrame({"ord": pdf["ord"].to_numpy()[own], "sha": pdf["sha"].to_numpy()[own], "lo": at, "hi": at + LENGTH, "string": kept})])
+            out = pd.concat([out, pd.DataFrame({"ord": pdf["ord"].to_numpy()[own], "tag": pdf["tag"].to_numpy()[own], "lo": at, "hi": at + LENGTH, "string": kept})])
         return out
 
-    found = settle(work.groupBy("shard").applyInPandas(build, "ord long, sha string, lo long, hi long, string binary"), "sx-found")
+    found = settle(work.groupBy("shard").applyInPandas(build, "ord long, tag long, lo long, hi long, string binary"), "sx-found")
     runs = found.where("string is not null").withColumn("part", F.pmod(F.xxhash64("string"), F.lit(max(1, int(size // hot_regions) * 4))))
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         """Sorted run against sorted run: each string's place among the distinct ones, then its first start."""
         strings = np.array([bytes(s) + b"\x01" for s in pdf["string"]], dtype=f"S{LENGTH + 1}")
         where = np.searchsorted(np.unique(strings), strings)
-        pdf = pdf.assign(where=where).sort_values(["where", "ord", "sha", "lo"])
-        return pdf[pdf.duplicated("where")][["ord", "sha", "lo", "hi"]]
+        pdf = pdf.assign(where=where).sort_values(["where", "ord", "tag", "lo"])
+        return pdf[pdf.duplicated("where")][["ord", "tag", "lo", "hi"]]
 
-    crossed = runs.groupBy("part").applyInPandas(merge, "ord long, sha string, lo long, hi long")
+    crossed = runs.groupBy("part").applyInPandas(merge, "ord long, tag long, lo long, hi long")
     cover = later.unionByName(found.where("string is null").drop("string")).unionByName(crossed)
-    cover = settle(cover.groupBy("ord", "sha").agg(F.collect_list(F.struct("lo", "hi")).alias("cover")), "sx-cover")
+    cover = settle(cover.groupBy("ord", "tag").agg(F.collect_list(F.struct("lo", "hi")).alias("cover")), "sx-cover")
 
     def cut(batches):
         for pdf in batches:
             out = []
-            for o, sha, text, cover in zip(pdf["ord"], pdf["sha"], pdf["text"], pdf["cover"], strict=True):
+            for o, tag, text, cover in zip(pdf["ord"], pdf["tag"], pdf["text"], pdf["cover"], strict=True):
                 raw, spans = text.encode("utf-8", "replace"), []
                 for lo, hi in sorted((c["lo"], c["hi"]) for c in cover):
                     if spans and lo <= spans[-1][1]:
@@ -280,15 +320,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     kept.append(raw[at:lo])
                     at = hi
                 kept = b"".join([*kept, raw[at:]])
-                out.append((o, sha, len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), [{"start": a, "end": b} for a, b in spans], kept.decode("utf-8", "replace")))
-            yield pd.DataFrame(out, columns=["ord", "sha", "n_removed", "n_spans", "kept_sha256", "spans", "kept"])
+                out.append((o, tag, len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), [{"start": a, "end": b} for a, b in spans], kept.decode("utf-8", "replace")))
+            yield pd.DataFrame(out, columns=["ord", "tag", "n_removed", "n_spans", "kept_sha256", "spans", "kept"])
 
-    touched = with_membership(rows, "sha", cover, "sha", "maybe").where("maybe").select("ord", "sha", "text").join(cover, ["ord", "sha"]).dropDuplicates(["ord", "sha"])
+    touched = with_membership(rows, "tag", cover, "tag", "maybe").where("maybe").select("ord", "tag", "text").join(cover, ["ord", "tag"]).dropDuplicates(["ord", "tag"])
     spans = "array<struct<start:long,end:long>>"
-    touched = touched.mapInPandas(cut, f"ord long, sha string, n_removed long, n_spans long, kept_sha256 string, spans {spans}, kept string")
+    touched = touched.mapInPandas(cut, f"ord long, tag long, n_removed long, n_spans long, kept_sha256 string, spans {spans}, kept string")
     copy = F.col("first").isNotNull() & (F.col("ord") != F.col("first")) & (F.col("n_bytes") >= LENGTH)
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
-    out = meta.join(owner, "sha", "left").join(touched, ["ord", "sha"], "left")
+    out = meta.join(owner, "sha", "left").join(touched, ["ord", "tag"], "left")
     return out.select(
         "id",
         "n_bytes",

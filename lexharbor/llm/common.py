@@ -71,7 +71,7 @@ def bit_is_set(bitmap: Column, slot: Column) -> Column:
     """Whether the page ``bitmap`` (null: empty page) has the bit of ``slot``."""
     pos = F.bitmap_bit_position(slot)
     byte = F.conv(F.hex(F.substring(bitmap, F.floor(pos / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.coalesce(F.expr("false") if bitmap is None else (F.floor(byte / F.pow(F.lit(2), pos % 8)) % 2 == 1), F.lit(False))
+    return F.coalesce(F.floor(byte / F.pow(F.lit(2), pos % 8)) % 2 == 1, F.lit(False))
 
 
 def filter_pages(keys: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:
@@ -99,6 +99,14 @@ def with_membership(df: DataFrame, key: str, keys: DataFrame, keys_col: str, out
     )
 
 
+def without(rows: DataFrame, key: str, gone: DataFrame, gone_col: str) -> DataFrame:
+    """``rows`` whose ``key`` is not among ``gone``; only rows that may be gone are shuffled."""
+    gone = settle(gone.select(F.col(gone_col).alias("_gone")).distinct(), "gone")
+    judged = with_membership(rows, key, gone, "_gone", "_maybe")
+    rest = judged.where("_maybe").join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    return judged.where("not _maybe").unionByName(rest).select(*rows.columns)
+
+
 # ---------------------------------------------------------------- global ranks without one task
 def dense_index(df: DataFrame, order: list, tag: str, out: str = "idx") -> DataFrame:
     """``df`` with ``out`` = 0,1,2,... in the given order, written to the shared folder.

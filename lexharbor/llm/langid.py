@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -204,11 +205,11 @@ def keep_known_language(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def keep(batches):
         model = held.value
-        for pdf in batches:
-            if model is None or pdf.empty:
+        for batch in batches:
+            if model is None or not batch.num_rows:
                 continue
-            raw = [t.encode("utf-8", "replace") for t in pdf[text_col]]
+            raw = [t.encode("utf-8", "replace") for t in batch.column(text_col).to_pylist()]
             rate = model.code_lengths(raw).min(axis=0) / np.array([len(r) for r in raw])
-            yield pdf[rate < RAW_BITS]
+            yield batch.filter(pa.array(rate < RAW_BITS))
 
-    return rows.mapInPandas(keep, rows.schema)
+    return rows.mapInArrow(keep, rows.schema)

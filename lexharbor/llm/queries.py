@@ -72,6 +72,12 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # at the top of the repository, beside the package
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_licences": op1_licences,
     "op2_decontaminate": op2_decontaminate,
@@ -83,6 +89,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_near_dedup": op9_near_dedup,
     "op10_mix": op10_mix,
+    "pipeline": pipeline,
 }
 
 SQL = {

@@ -24,6 +24,7 @@ result; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -82,8 +83,9 @@ def suffix_array(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
     suffixes differ.  (Kasai's carry needs the full order, not one by the first LENGTH bytes.)
     """
     n = len(text)
-    symbols, coded = np.unique(text, return_inverse=True)
-    width = max(1, int(len(symbols)).bit_length())
+    used = np.bincount(text, minlength=256) > 0
+    coded = (np.cumsum(used) - 1)[text]
+    width = max(1, int(used.sum()).bit_length())
     h = 62 // width  # symbols of the first sort
     end = np.repeat(ends, np.diff(np.concatenate([[0], ends])))  # the end of each position's region
     left = end - np.arange(n)
@@ -231,17 +233,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         """Where repeated anchors are, and a digest of their regions; the bytes stay behind."""
         bits = held.value
         for pdf in batches:
-            out = []
-            for o, tag, text in zip(pdf["ord"], pdf["tag"], pdf["text"], strict=True):
+            digs, parts = [], []
+            for o, tag, text in zip(pdf["ord"].tolist(), pdf["tag"].tolist(), pdf["text"], strict=True):
                 b = _raw(text)
                 key, first, last = anchors(b)
                 k = np.flatnonzero(_in_filter(bits, key.view(np.int64)))
                 if len(k):
-                    raw = b.tobytes()
-                    dig = [hashlib.blake2b(raw[x : y + LENGTH], digest_size=16).digest() for x, y in zip(first[k].tolist(), last[k].tolist(), strict=True)]
-                    out.append(pd.DataFrame({"dig": dig, "key": key[k].view(np.int64), "ord": o, "tag": tag, "first": first[k], "last": last[k], "place": _places(o, tag, first[k])}))
-            if out:
-                yield pd.concat(out)
+                    raw, first, last = b.tobytes(), first[k], last[k]
+                    digs += [hashlib.blake2b(raw[x : y + LENGTH], digest_size=16).digest() for x, y in zip(first.tolist(), last.tolist(), strict=True)]
+                    parts.append((key[k].view(np.int64), np.full(len(k), o), np.full(len(k), tag), first, last, _places(o, tag, first)))
+            if parts:
+                yield pd.DataFrame({"dig": digs} | dict(zip(("key", "ord", "tag", "first", "last", "place"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
 
     regions = settle(texts.mapInPandas(place_regions, "dig binary, key long, ord long, tag long, first long, last long, place long"), "sx-regions")
     spot = F.struct("ord", "tag", "first", "place", "key")
@@ -259,17 +261,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def cut_regions(batches):
         bits = held_work.value
         for pdf in batches:
-            out = []
-            for o, tag, text in zip(pdf["ord"], pdf["tag"], pdf["text"], strict=True):
+            places, cut = [], []
+            for o, tag, text in zip(pdf["ord"].tolist(), pdf["tag"].tolist(), pdf["text"], strict=True):
                 b = _raw(text)
                 _, first, last = anchors(b)
                 place = _places(o, tag, first)
                 k = np.flatnonzero(_in_filter(bits, place))
                 if len(k):
                     raw = b.tobytes()
-                    out.append(pd.DataFrame({"place": place[k], "region": [raw[x : y + LENGTH] for x, y in zip(first[k].tolist(), last[k].tolist(), strict=True)]}))
-            if out:
-                yield pd.concat(out)
+                    places.append(place[k])
+                    cut += [raw[x : y + LENGTH] for x, y in zip(first[k].tolist(), last[k].tolist(), strict=True)]
+            if cut:
+                yield pd.DataFrame({"place": np.concatenate(places), "region": cut})
 
     size = work.count()
     shards = int(size * (LENGTH + 40) // shard_bytes) + 1
@@ -279,30 +282,54 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     work = work.select("place", "ord", "tag", "first", hot.alias("hot"), shard.alias("shard"))
     work = texts.mapInPandas(cut_regions, "place long, region binary").join(work, "place").select("ord", "tag", "first", "region", "hot", "shard")
 
+    parts = max(1, size // hot_regions) * 4
+    ranges = "ord long, tag long, lo long, hi long"
+    runs = "part int, strings binary, ords array<long>, tags array<long>, los array<long>"
+
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Covered ranges of a shard; a shard of a hot anchor also gives sorted runs of the strings it keeps."""
         ords = pd.factorize(pd.MultiIndex.from_arrays([pdf["ord"], pdf["tag"]]), sort=True)[0]
-        region, start, first = repeated_starts(list(pdf["region"]), ords, pdf["first"].to_numpy())
+        begin, raw, own_ord, own_tag = pdf["first"].to_numpy(), list(pdf["region"]), pdf["ord"].to_numpy(), pdf["tag"].to_numpy()
+        region, start, first = repeated_starts(raw, ords, begin)
         r, lo, hi = _ranges(region[~first], start[~first])
-        out = pd.DataFrame({"ord": pdf["ord"].to_numpy()[r], "tag": pdf["tag"].to_numpy()[r], "lo": lo, "hi": hi, "string": None})
+        rows = [(o, t, a, b, None, None, None, None, None) for o, t, a, b in zip(own_ord[r].tolist(), own_tag[r].tolist(), lo.tolist(), hi.tolist(), strict=True)]
         if pdf["hot"].iloc[0]:
-            begin, raw = pdf["first"].to_numpy(), list(pdf["region"])
-            own, at = region[first], start[first]
-            kept = [raw[k][s - begin[k] : s - begin[k] + LENGTH] for k, s in zip(own, at, strict=True)]
-            out = pd.concat([out, pd.DataFrame({"ord": pdf["ord"].to_numpy()[own], "tag": pdf["tag"].to_numpy()[own], "lo": at, "hi": at + LENGTH, "string": kept})])
-        return out
-
-    found = settle(work.groupBy("shard").applyInPandas(build, "ord long, tag long, lo long, hi long, string binary"), "sx-found")
-    runs = found.where("string is not null").withColumn("part", F.pmod(F.xxhash64("string"), F.lit(max(1, int(size // hot_regions) * 4))))
+            region, start = region[first], start[first]
+            kept = np.array([raw[k][s - begin[k] : s - begin[k] + LENGTH] for k, s in zip(region, start, strict=True)], dtype=object)
+            part = np.array([zlib.crc32(x) % parts for x in kept])
+            for p in np.unique(part):
+                at = np.flatnonzero(part == p)
+                at = at[np.argsort(kept[at])]
+                rows.append((None, None, None, None, int(p), b"".join(kept[at]), own_ord[region[at]], own_tag[region[at]], start[at]))
+        out = pd.DataFrame(rows, columns=["ord", "tag", "lo", "hi", "part", "strings", "ords", "tags", "los"], dtype=object)
+        return out.astype({c: "Int64" for c in ("ord", "tag", "lo", "hi", "part")})
+
+    found = settle(work.groupBy("shard").applyInPandas(build, f"{ranges}, {runs}"), "sx-found")
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Sorted run against sorted run: each string's place among the distinct ones, then its first start."""
-        strings = np.array([bytes(s) + b"\x01" for s in pdf["string"]], dtype=f"S{LENGTH + 1}")
-        where = np.searchsorted(np.unique(strings), strings)
-        pdf = pdf.assign(where=where).sort_values(["where", "ord", "tag", "lo"])
-        return pdf[pdf.duplicated("where")][["ord", "tag", "lo", "hi"]]
-
-    crossed = runs.groupBy("part").applyInPandas(merge, "ord long, tag long, lo long, hi long")
-    cover = later.unionByName(found.where("string is null").drop("string")).unionByName(crossed)
+        """Merge sorted runs one by one: binary search tells which strings an earlier run has."""
+        out, held, held_at = [], np.zeros(0, dtype=f"S{LENGTH + 1}"), []
+        for strings, *at in pdf[["strings", "ords", "tags", "los"]].itertuples(index=False):
+            run = np.array([strings[i : i + LENGTH] + b"\x01" for i in range(0, len(strings), LENGTH)], dtype=held.dtype)
+            at = list(zip(*at, strict=True))
+            place = np.searchsorted(held, run)
+            known = (place < len(held)) & (held[np.minimum(place, len(held) - 1)] == run) if len(held) else np.zeros(len(run), bool)
+            for i in np.flatnonzero(known).tolist():
+                earlier, later = sorted((held_at[place[i]], at[i]))
+                held_at[place[i]] = earlier
+                out.append((*later, later[2] + LENGTH))
+            fresh = np.flatnonzero(~known)
+            where = place[fresh] + np.arange(len(fresh))
+            grown = np.zeros(len(held) + len(fresh), dtype=held.dtype)
+            old = np.ones(len(grown), dtype=bool)
+            old[where] = False
+            grown[where], grown[old] = run[fresh], held
+            rest, new = iter(held_at), iter([at[i] for i in fresh.tolist()])
+            held, held_at = grown, [next(rest) if o else next(new) for o in old.tolist()]
+        return pd.DataFrame(out, columns=["ord", "tag", "lo", "hi"]).astype("int64")
+
+    crossed = found.where("part is not null").groupBy("part").applyInPandas(merge, ranges)
+    cover = later.unionByName(found.where("part is null").select("ord", "tag", "lo", "hi")).unionByName(crossed)
     cover = settle(cover.groupBy("ord", "tag").agg(F.collect_list(F.struct("lo", "hi")).alias("cover")), "sx-cover")
 
     def cut(batches):

@@ -109,7 +109,7 @@ ORDINARY = [
 ]
 UNKNOWN = "unknown"
 UNKNOWN_SAMPLE, VARIANTS, MAX_FEATURES, ROUNDS = 600, 12, 4000, 250
-#: A word in a larger share of negative rows is ordinary.
+#: A word in a larger share of the sampled paragraphs is ordinary.
 ORDINARY_SHARE = 0.01
 #: Share of the paragraph's words, or of the template's, that the template comparison asks for.
 CONFIRMED = 0.6
@@ -141,10 +141,10 @@ class LicenceModel:
         plain = [_tokens(t) for t in [*negatives, *ORDINARY * 4]]
         rows += [(w, len(self.classes) - 1) for w in plain]
         share: dict[str, int] = {}
-        for words in plain:
-            for w in set(words):
+        for text in negatives:  # the corpus tells what is ordinary, not the sentences written for contrast
+            for w in set(_tokens(text)):
                 share[w] = share.get(w, 0) + 1
-        ordinary = {w for w, n in share.items() if n > max(1, ORDINARY_SHARE * len(plain)) and w not in {"license", "licensed"}}
+        ordinary = {w for w, n in share.items() if n > max(1, ORDINARY_SHARE * len(negatives)) and w not in {"license", "licensed"}}
         counts: dict[str, int] = {}
         for words, k in rows:
             if k < len(self.classes) - 1:

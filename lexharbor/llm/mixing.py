@@ -1,9 +1,9 @@
 """Mixing sources to target weights by subset-sum budget fitting.
 
 Documents are counted by exact token length within their source.  A source's target gives whole
-passes over it and a remaining budget; lengths share the budget in proportion, longest first, with
-the error carried on, and bounded-knapsack dynamic programming over the counts that are left spends
-what then remains (less than about one longest document).  Of each length the documents with the
+passes over it and a remaining budget; lengths share all but the last of it in proportion, longest
+first, with the error carried on, and bounded-knapsack dynamic programming over the counts that are
+left spends what then remains (about two longest documents), to the nearest sum there is.  Of each length the documents with the
 smallest seeded hashes are taken, so reruns agree.
 
 Defined results: a null source is a source of its own, last; null or blank text has size 0 and is
@@ -40,21 +40,22 @@ def reshared_targets(sizes: list[int], weights: list[float], share: float = 1.5,
     return out
 
 
-def subset_sum(lengths: list[int], counts: list[int], budget: int) -> dict[int, int]:
-    """Bounded knapsack: counts by length whose sum is as near below ``budget`` as can be."""
-    mask, reach, steps = (1 << (budget + 1)) - 1, 1, []
+def subset_sum(lengths: list[int], counts: list[int], budget: int, over: int = 0) -> dict[int, int]:
+    """Bounded knapsack: counts by length whose sum is nearest to ``budget``, at most ``over`` above it."""
+    mask, reach, steps = (1 << (budget + over + 1)) - 1, 1, []
     for length, count in zip(lengths, counts, strict=True):
-        if length <= 0 or length > budget:
+        if length <= 0 or length > budget + over:
             continue
-        count, part = min(count, budget // length), 1
-        while count:
+        count, part = min(count, (budget + over) // length), 1
+        while count and not reach >> budget & 1:
             k = min(part, count)
             steps.append((reach, length, k))
             reach |= (reach << (length * k)) & mask
             count, part = count - k, part * 2
-        if reach >> budget & 1:
-            break
-    left, used = reach.bit_length() - 1, {}
+    below = (reach & ((1 << (budget + 1)) - 1)).bit_length() - 1
+    above = reach >> budget
+    above = budget + (above & -above).bit_length() - 1 if above else None
+    left, used = above if above is not None and above - budget < budget - below else below, {}
     for before, length, k in reversed(steps):
         if not before >> left & 1:
             used[length] = used.get(length, 0) + k
@@ -63,22 +64,25 @@ def subset_sum(lengths: list[int], counts: list[int], budget: int) -> dict[int,
 
 
 def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length (descending) to take so that the sum meets ``budget``."""
+    """How many documents of each length (descending) to take so that the sum is nearest to ``budget``.
+
+    Lengths share the budget less two longest documents in proportion; the knapsack spends the rest.
+    """
     total = int((lengths * counts).sum())
     taken, owed = np.zeros(len(lengths), dtype=np.int64), 0
-    if not total:
+    if not total or budget <= 0:
         return taken
-    # Exact integers: what is owed is budget * words so far / total, less what was taken.
+    longest = int(lengths[0])
+    shared = max(0, budget - 2 * longest)
+    # Exact integers: what is owed is shared * words so far / total, less what was taken.
     for i, (length, count) in enumerate(zip(lengths.tolist(), counts.tolist(), strict=True)):
-        owed += budget * length * count
+        owed += shared * length * count
         if length:
             taken[i] = min(count, owed // (length * total))
             owed -= int(taken[i]) * length * total
     rest = budget - int((lengths * taken).sum())
-    if rest > 0:
-        extra = subset_sum(lengths.tolist(), (counts - taken).tolist(), rest)
-        taken += np.array([extra.get(x, 0) for x in lengths.tolist()], dtype=np.int64)
-    return taken
+    extra = subset_sum(lengths.tolist(), (counts - taken).tolist(), rest, longest)
+    return taken + np.array([extra.get(x, 0) for x in lengths.tolist()], dtype=np.int64)
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17) -> DataFrame:

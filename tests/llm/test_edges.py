@@ -1,0 +1,301 @@
+"""Nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
+
+import hashlib
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as P
+from lexharbor.llm import chat, common, decontaminate, exact_dedup, langid, licences, mixing, near_dedup, packing, suffix_dedup, warc
+from lexharbor.llm.components import connected_components
+from lexharbor.llm.shingles import shingle_set
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+LONG = " ".join(f"w{i % 977}x{i % 313}" for i in range(60_000))
+ROWS = [
+    (1, "The cat sat on the mat and looked at the dog for a while.", "en", "a", 1),
+    (1, "The cat sat on the mat and looked at the dog for a while.", "en", "a", 1),
+    (2, "The  cat sat on the mat\tand looked at the dog for a while.", None, None, None),
+    (3, None, "en", "a", 0),
+    (4, "", None, "b", 0),
+    (5, " \n\t ", "de", None, 3),
+    (None, "Der Hund lief durch den Wald und sah die Katze.", "de", "b", 9),
+    (6, LONG, "en", "a", len(LONG)),
+    (7, "12345 67890", "en", "c", 11),
+    (8, "x", "de", "c", 1),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls everywhere, and extra columns named like the operators' own."""
+    return spark.createDataFrame(ROWS, DOCS).withColumns({c: F.lit(c) for c in ("id", "digest", "n", "size", "shard", "idx", "grp", "ord", "row", "kept")})
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def test_exact_dedup(odd, none):
+    rows = exact_dedup.exact_dedup(odd).collect()
+    got = {(r["id"], r["keep_id"], r["group_size"], r["kept"]) for r in rows}
+    assert len(rows) == len(ROWS)
+    assert {(1, 1, 3, True), (2, 1, 3, False), (3, 3, 2, True), (4, 3, 2, False), (5, 5, 1, True), (None, None, 1, True)} <= got
+    assert exact_dedup.exact_dedup(none).collect() == []
+
+
+def test_exact_dedup_decides_on_bytes(odd):
+    """A digest with collisions gives the same classes."""
+    weak = exact_dedup.exact_dedup(odd, digest=lambda c: F.pmod(F.length(c), F.lit(2)).cast("string")).collect()
+    strong = exact_dedup.exact_dedup(odd).collect()
+    key = lambda r: (str(r["id"]), r["keep_id"], r["group_size"], r["kept"])
+    assert sorted(map(str, map(key, weak))) == sorted(map(str, map(key, strong)))
+
+
+def test_lsm_index(spark):
+    index = exact_dedup.LsmIndex(spark, runs=3)
+    index.flush(spark.range(0, 300, numPartitions=5).select(F.sha2((F.col("id") % 200).cast("string"), 256).alias("digest"), "id"))
+    assert index.contains(hashlib.sha256(b"7").hexdigest()) and not index.contains("0" * 64)
+    got = {r["keep_id"]: r["n"] for r in index.compact().collect()}
+    assert got == {i: 2 for i in range(100)}
+
+
+def test_filter_has_no_false_negatives(spark):
+    keys = spark.range(0, 500).select(F.col("id").cast("string").alias("k"))
+    probe = spark.range(0, 2000).select(F.col("id").cast("string").alias("p"))
+    got = common.with_membership(probe, "p", keys, "k", "maybe", bits=1 << 15).where("maybe").collect()
+    hit = {int(r["p"]) for r in got}
+    assert set(range(500)) <= hit and len(hit) < 700
+
+
+@pytest.mark.parametrize("words", [3, 5])
+def test_near_duplicates(odd, none, words):
+    got = {r["id"]: r for r in near_dedup.near_duplicates(odd, words=words).collect()}
+    assert got[1]["component"] == got[2]["component"] == 1
+    assert got[3]["component"] is None and got[3]["n_shingles"] == 0 and got[5]["component"] is None
+    assert got[6]["component"] == 6 and got[8]["n_shingles"] == 1
+    assert near_dedup.near_duplicates(none).collect() == []
+
+
+def test_long_lists_are_exact(spark, monkeypatch):
+    """A large group of near copies, worked through in small blocks, has the components of brute force."""
+    monkeypatch.setattr(near_dedup, "SHORT_LIST", 3)
+    monkeypatch.setattr(near_dedup, "BLOCK_CLASSES", 12)
+    rng, base = np.random.default_rng(3), [f"t{i}" for i in range(60)]
+    texts = []
+    for i in range(120):
+        w = list(base)
+        for p in rng.integers(0, 60, size=rng.integers(0, 4)):
+            w[p] = f"n{rng.integers(1000)}"
+        texts.append(" ".join(w))
+    sets = [set(shingle_set(t, 4).tolist()) for t in texts]
+    root = list(range(120))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(120):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["id"]: r["component"] for r in near_dedup.near_duplicates(df, words=4).collect()}
+    assert got == {i: find(i) for i in range(120)}
+
+
+def test_components_of_a_chain(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
+    got = {r["node"]: r["component"] for r in connected_components(links).collect()}
+    assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_suffix_dedup(spark, none):
+    unit = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(150))
+    rows = [(1, unit + "A" + unit), (2, "é" * 60), (3, "zz" + "é" * 60), (4, None), (5, ""), (6, "a" * 250), (7, unit[:99]), (1, unit + "A" + unit), (8, unit + "A" + unit), (None, unit)]
+    got = {(r["id"], r["n_bytes"]): r for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    first = got[1, 301]
+    assert first["n_removed"] == 150 and [tuple(s) for s in first["spans"]] == [(151, 301)]
+    assert got[2, 120]["n_removed"] == 118 and got[3, 122]["n_removed"] == 120  # the run of one letter repeats itself
+    assert got[6, 250]["n_removed"] == 249 and got[6, 250]["kept"] == "a"
+    assert got[7, 99]["n_removed"] == 0 and got[8, 301]["n_removed"] == 301 and got[None, 150]["n_removed"] == 150
+    assert got[4, 0]["kept_sha256"] == hashlib.sha256(b"").hexdigest()
+    assert suffix_dedup.remove_repeats(none).collect() == []
+
+
+def test_suffix_array_and_prefixes():
+    rng = np.random.default_rng(0)
+    regions = [bytes(rng.integers(97, 99, size=n).astype(np.uint8)) for n in (40, 1, 25, 60)]
+    text, ends = np.frombuffer(b"".join(regions), np.uint8), np.cumsum([len(r) for r in regions])
+    order, _ = suffix_dedup.suffix_array(text, ends)
+    owner = np.searchsorted(ends, np.arange(len(text)), side="right")
+    suffix = [bytes(text[i : ends[owner[i]]]) for i in range(len(text))]
+    sorted_now = [suffix[i] for i in order]
+    assert all(a <= b or b.startswith(a) or a.startswith(b) for a, b in zip(sorted_now, sorted_now[1:], strict=False))
+    lcp = suffix_dedup.common_prefixes(text, ends, order, 30)
+    for k in range(1, len(order)):
+        a, b = suffix[order[k - 1]], suffix[order[k]]
+        n = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+        assert lcp[k] == min(n, 30)
+
+
+def test_packing(odd, none):
+    rows = packing.shard_documents(odd, 4).collect()
+    assert len(rows) == len(ROWS)
+    by = {}
+    for r in rows:
+        by.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(v) == list(range(len(v))) for v in by.values())
+    empty = [r for r in rows if r["id"] in (3, 4)]
+    assert {(r["size"], r["crc"]) for r in empty} == {(8, zlib.crc32(b""))} and len({r["shard"] for r in empty}) == 1
+    assert packing.shard_documents(none).collect() == []
+
+
+def test_best_fit_decreasing():
+    assert packing.pack([6, 5, 4, 3, 2], [1, 1, 1, 1, 1], 10)[1] == 2
+    assert packing.pack([5], [7], 10)[1] == 4
+    assert packing.pack([5], [7], 10, 3) == (None, 4)
+    with pytest.raises(ValueError):
+        packing.pack([11], [1], 10)
+    rng = np.random.default_rng(1)
+    sizes = np.sort(rng.integers(1, 50, size=300))[::-1]
+    free, bins = [], 0
+    for s in sizes:  # plain best fit
+        fit = [f for f in free if f >= s]
+        free.append((min(fit) if fit else 100) - s)
+        if fit:
+            free.remove(min(fit))
+        else:
+            bins += 1
+    values, counts = np.unique(sizes, return_counts=True)
+    assert packing.pack(values[::-1], counts[::-1], 100)[1] == bins
+
+
+def test_mixing(odd, none):
+    rows = mixing.mix_sources(odd).collect()
+    assert len(rows) == len(ROWS)
+    assert all(r["taken"] <= 2 * r["size"] for r in rows)
+    assert [r["taken"] for r in rows if r["id"] in (3, 4, 5)] == [0, 0, 0]
+    assert mixing.mix_sources(none).collect() == []
+    assert mixing.reshared_targets([10, 100, 0], [3, 1, 2]) == [20, 145, 0]
+    assert mixing.reshared_targets([0, 0], [3, 1]) == [0, 0]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_subset_sum_is_best(seed):
+    rng = np.random.default_rng(seed)
+    lengths, counts, budget = rng.integers(1, 30, size=6).tolist(), rng.integers(0, 4, size=6).tolist(), int(rng.integers(1, 120))
+    lengths = sorted(set(lengths), reverse=True)
+    counts = counts[: len(lengths)]
+    reach = {0}
+    for x, c in zip(lengths, counts, strict=True):
+        reach = {r + x * k for r in reach for k in range(c + 1)}
+    used = mixing.subset_sum(lengths, counts, budget)
+    assert sum(k * v for k, v in used.items()) == max(r for r in reach if r <= budget)
+    near = mixing.subset_sum(lengths, counts, budget, 30)
+    assert abs(sum(k * v for k, v in near.items()) - budget) == min(abs(r - budget) for r in reach if r <= budget + 30)
+    assert all(v <= counts[lengths.index(k)] for u in (used, near) for k, v in u.items())
+
+
+def test_language(odd, none, spark):
+    model = langid.train(odd)
+    got = {r["id"]: r for r in langid.identify(odd, model).collect()}
+    assert [got[i]["lang_pred"] for i in (3, 4, 5, 7)] == ["und"] * 4 and got[3]["score"] == 0
+    assert got[None]["lang_pred"] == "de" and got[1]["lang_pred"] == "en"
+    assert langid.train(none) is None
+    assert {r["lang_pred"] for r in langid.identify(odd, None).collect()} == {"und"}
+    kept = langid.keep_known_language(odd)
+    assert kept.columns == odd.columns and {r["doc_id"] for r in kept.collect()} == {1, 2, 6, 8, None}
+
+
+def test_code_lengths_add_up(odd):
+    """Chunks and batches do not change a text's code length."""
+    model = langid.train(odd)
+    texts = [t.encode() for t in ("The cat", "", "Der Hund lief", "x" * 50)]
+    together = model.code_lengths(texts)
+    apart = np.concatenate([model.code_lengths([t]) for t in texts], axis=1)
+    old, langid.CHUNK = langid.CHUNK, 7
+    try:
+        small = model.code_lengths(texts)
+    finally:
+        langid.CHUNK = old
+    assert np.allclose(together, apart) and np.allclose(together, small)
+
+
+def test_decontamination(spark, odd, none):
+    bench = spark.createDataFrame([(1, ROWS[0][1]), (2, None), (3, " "), (4, "w1x1 w2x2 w3x3")], "item_id long, text string")
+    got = {(r["id"], r["item_id"]) for r in decontaminate.find_leaks(odd, bench).collect()}
+    assert got == {(1, 1), (2, 1), (6, 4)}
+    assert decontaminate.find_leaks(none, bench).collect() == [] and decontaminate.find_leaks(odd, bench.limit(0)).collect() == []
+
+
+def test_paraphrases_are_found(spark):
+    rng = np.random.default_rng(5)
+    words = [f"{a}{b}{c}" for a in "bcdfgklm" for b in "aeiou" for c in "nrst"]
+    say = lambda n: [words[i] + words[j] for i, j in rng.integers(0, len(words), size=(n, 2))]
+    items = [say(30) for _ in range(12)]
+    rows = [(i, " ".join(say(200))) for i in range(200)]
+    for k in range(12):  # every sixth word replaced, and two words added
+        w = [x if i % 6 else "changed" for i, x in enumerate(items[k])]
+        rows.append((1000 + k, " ".join(say(80) + w[:15] + ["so", "then"] + w[15:] + say(80))))
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    got = {(r["id"], r["item_id"]) for r in decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert got == {(1000 + k, k) for k in range(12)}
+
+
+def test_common_subsequence():
+    a = lambda *x: np.array(x, dtype=np.uint64)
+    assert decontaminate.common_subsequence(a(1, 2, 3, 4), a(2, 9, 4, 1, 3)) == 2
+    assert decontaminate.common_subsequence(a(1, 1, 2), a(1, 2, 1, 2)) == 3
+    assert decontaminate.common_subsequence(a(1), a()) == 0
+
+
+def test_licences(spark, odd, none):
+    rows = [(1, "Hello.\nReleased under the MIT License.\nBye"), (2, "He renewed his driving licence."), (3, None), (4, ""), (5, "Licensed under CC BY 4.0.\nLicensed under CC BY-NC 4.0."), (1, "All rights reserved.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["id"], ",".join(r["families"])) for r in licences.scan_documents(df).collect())
+    assert got == [(1, "mit"), (1, "proprietary"), (2, ""), (3, ""), (4, ""), (5, "cc-by,cc-by-nc")]
+    assert len(licences.scan_documents(odd).collect()) == len(ROWS)
+    assert licences.scan_documents(none).collect() == []
+
+
+@pytest.mark.parametrize("compress", [True, False])
+def test_warc_round_trip(spark, tmp_path, compress):
+    big = "<p>" + "ü" * 600 + "</p>"
+    rows = [(1, "http://a b/\n", big), (2, None, big), (3, "http://x", None), (4, "http://y", "small"), (5, "http://y", "small"), (None, "http://z", "n\r\n\r\nm"), (6, "u", "\x00" + "q" * 1200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit(1)).repartition(3)
+    index = warc.write_archives(pages, compress=compress)
+    back = {r["page_id"]: r for r in warc.read_archives(index).collect()}
+    assert back[1]["record_type"] == "revisit" and back[1]["refers_to"] == 2 and back[2]["record_type"] == "response"
+    assert back[2]["payload"] == big.encode() and back[1]["payload"] is None and back[1]["payload_bytes"] == len(big.encode())
+    assert back[3]["payload"] == b"" and back[4]["record_type"] == back[5]["record_type"] == "response" and back[None]["payload"] == b"n\r\n\r\nm"
+    assert back[1]["url"] == "http://a%20b/%0A" and back[2]["url"] == "urn:page:2" and back[6]["payload_bytes"] == 1201
+    some = warc.select_records(spark, index, spark.createDataFrame([(1,)], "page_id long"))
+    assert {r["page_id"] for r in warc.read_archives(some).collect()} == {1, 2}
+    assert warc.read_archives(warc.write_archives(pages.limit(0))).collect() == []
+
+
+def test_chat(spark):
+    rows = [(1, 0, "system", "Be kind"), (1, 1, "ann", "hi <|im_end|>"), (1, 2, "bob", None), (1, 2, "bob", None), (2, None, None, ""), (3, 0, "system", "alone"), (4, 99, "a\nb", "x")]
+    got = {(r["conv_id"], r["perspective"], r["piece"]): r for r in chat.rotate_perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert set(got) == {(1, "ann", 0), (1, "bob", 0), (2, "unknown", 0), (4, "a b", 1)}
+    ann = got[1, "ann", 0]
+    assert ann["text"].startswith("<|im_start|>system\nBe kind<|im_end|>\n<|im_start|>assistant\nhi <|im\\_end|><|im_end|>\n<|im_start|>user name=bob\n")
+    assert [ann["text"][m["start"] : m["end"]] for m in ann["masks"]] == ["hi <|im\\_end|><|im_end|>"]
+    assert len(got[1, "bob", 0]["masks"]) == 2 and got[1, "bob", 0]["n_turns"] == 4
+
+
+def test_pipeline_stages(spark, odd, none, sf):
+    docs = odd
+    for name, stage in P.STAGES[:-1]:
+        docs = common.settle(stage(spark, docs, sf), "stage")
+        assert docs.columns == odd.columns, name
+    assert {r["doc_id"] for r in docs.collect()} <= {1, 6, 8, None}
+    assert P.sharding(spark, docs, sf).count() == docs.count()
+    for name, stage in P.STAGES:
+        assert stage(spark, none, sf).count() == 0, name

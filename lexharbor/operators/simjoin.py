@@ -40,6 +40,21 @@ def similar_pairs(left: DataFrame, right: DataFrame | None, threshold: float) ->
     return checked.withColumn("similarity", jaccard(F.col("ta"), F.col("tb"))).where(F.col("similarity") >= threshold).select("a", "b", "similarity")
 
 
+def similarity_links(rows: DataFrame, threshold: float) -> DataFrame:
+    """Rows (ord, bucket, sorted tokens) with class_id and n_links.
+
+    Rows with equal sets are one class; only classes are joined, so a set that many rows share is
+    never expanded into pairs of rows.
+    """
+    rows = saved(rows, "link-rows")
+    classes = saved(rows.groupBy("bucket", "tokens").agg(F.min("ord").alias("node"), F.count(F.lit(1)).alias("n")), "link-classes")
+    pairs = saved(similar_pairs(classes.select("node", "bucket", "tokens"), None, threshold).select("a", "b"), "link-pairs")
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.join(classes.select(F.col("node").alias("b"), "n"), "b").groupBy("a").agg(F.sum("n").alias("near")).withColumnRenamed("a", "node")
+    counted = classes.join(near, "node", "left").withColumn("n_links", F.col("n") - 1 + F.coalesce("near", F.lit(0)))
+    return rows.join(counted.withColumnRenamed("node", "class_id"), ["bucket", "tokens"])
+
+
 def greedy_leaders(edges: DataFrame) -> DataFrame:
     """(node, leader) of the ordered greedy clustering over ``edges`` (a < b), for nodes with a leader.
 

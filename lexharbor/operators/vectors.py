@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,13 +16,9 @@ def norm(v: Column) -> Column:
 
 
 def unit(v: Column) -> Column:
-    """Scaled to length 1; the zero vector stays."""
-    n = norm(v)
-    return F.transform(v, lambda x: x.cast("double") / F.when(n == 0, 1.0).otherwise(n))
-
-
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    """Scaled to length 1; the zero vector stays.  The one-element array binds the norm once."""
+    scaled = F.transform(F.array(norm(v)), lambda n: F.transform(v, lambda x: x.cast("double") / F.when(n == 0, 1.0).otherwise(n)))
+    return F.get(scaled, F.lit(0))
 
 
 def checked(df: DataFrame, size: int, col: str = "embedding") -> DataFrame:
@@ -30,15 +28,29 @@ def checked(df: DataFrame, size: int, col: str = "embedding") -> DataFrame:
 
 
 def score_anchors(df: DataFrame, anchors: DataFrame, col: str = "embedding") -> DataFrame:
-    """Add embed_score (largest cosine, null without vector) and embed_top_anchor (first on ties, -1)."""
-    rows = anchors.orderBy("anchor_idx").select(unit(F.col("embedding")).alias("v")).limit(MAX_ANCHORS + 1).collect()
-    if len(rows) > MAX_ANCHORS:
-        raise ValueError(f"more than {MAX_ANCHORS} anchors")
-    vectors = F.array(*[F.array(*[F.lit(float(x)) for x in r["v"]]) for r in rows])
-    sims = F.transform(vectors, lambda a: F.round(dot(a, unit(F.col(col))), 9))
-    out = df.withColumn("_sims", F.when(F.col(col).isNotNull(), sims))
-    return (
-        out.withColumn("embed_score", F.array_max("_sims"))
-        .withColumn("embed_top_anchor", F.coalesce(F.array_position("_sims", F.col("embed_score")) - 1, F.lit(-1)).cast("int"))
-        .drop("_sims")
-    )
+    """Add embed_score (largest cosine, null without vector) and embed_top_anchor (first on ties, -1).
+
+    One matrix product for each Arrow batch; the anchors travel with the function, their number is
+    checked.  Cosines are rounded to nine digits, so that ties do not depend on the order of sums.
+    """
+    rows = anchors.orderBy("anchor_idx").select("embedding").limit(MAX_ANCHORS + 1).collect()
+    if not 0 < len(rows) <= MAX_ANCHORS:
+        raise ValueError(f"{len(rows)} anchors; 1 to {MAX_ANCHORS} are supported")
+
+    def unit_rows(m):
+        n = np.linalg.norm(m, axis=1, keepdims=True)
+        return m / np.where(n == 0, 1, n)
+
+    marks = unit_rows(np.array([r["embedding"] for r in rows], dtype=np.float64)).T
+
+    def best(v: pd.Series) -> pd.DataFrame:
+        has = v.notna().to_numpy()
+        score, top = np.full(len(v), np.nan), np.full(len(v), -1)
+        if has.any():
+            sims = np.round(unit_rows(np.stack(v[has].to_list()).astype(np.float64)) @ marks, 9)
+            score[has], top[has] = sims.max(axis=1), sims.argmax(axis=1)
+        return pd.DataFrame({"score": pd.Series(score).astype("Float64").where(has), "anchor": top})
+
+    both = F.pandas_udf(best, "score double, anchor int")(F.col(col))
+    out = df.withColumn("_best", both)
+    return out.withColumn("embed_score", F.col("_best.score")).withColumn("embed_top_anchor", F.col("_best.anchor")).drop("_best")

@@ -261,12 +261,14 @@ shared AS (SELECT x.ord AS j, y.ord AS i, any_value(x.n) AS nj, any_value(y.n) A
 e AS MATERIALIZED (SELECT j, i, CAST(k AS DOUBLE) / (nj + ni - k) AS s FROM shared WHERE CAST(k AS DOUBLE) / (nj + ni - k) >= CAST(0.85 AS DOUBLE))"""
 
 
-@query(f"WITH {R.REC}, {_EDGES.format(rec='rec')} SELECT j AS a, i AS b, round(s, 6) AS similarity FROM e")
-def title_jaccard_pairs(spark, sf):
-    r = R.records(spark, sf).select(F.col("ord").alias("node"), F.coalesce(F.lower("language"), F.lit("")).alias("bucket"), text.title_tokens(F.col("title")).alias("tokens"))
-    r = saved(r.where(F.size("tokens") >= 6), "titles")
-    # Equal titles are one class; their pairs are expanded only because this query reports rows.
-    return simjoin.similar_pairs(r, None, 0.85).select("a", "b", F.round("similarity", 6).alias("similarity"))
+@query(
+    f"WITH {R.REC}, {_EDGES.format(rec='rec')}, k AS (SELECT o, count(*) AS n FROM (SELECT j AS o FROM e UNION ALL SELECT i FROM e) GROUP BY o) "
+    "SELECT ord, min(ord) OVER (PARTITION BY b, list_sort(t)) AS class_id, COALESCE(k.n, 0) AS n_links FROM big LEFT JOIN k ON k.o = big.ord"
+)
+def title_jaccard_links(spark, sf):
+    """Records with enough title tokens: their class of equal token sets, and how many records are similar."""
+    r = R.records(spark, sf).select("ord", F.coalesce(F.lower("language"), F.lit("")).alias("bucket"), F.array_sort(text.title_tokens(F.col("title"))).alias("tokens"))
+    return simjoin.similarity_links(r.where(F.size("tokens") >= 6), 0.85).select("ord", "class_id", "n_links")
 
 
 def _resolved(rec: str, extra: str = "") -> str:

@@ -47,10 +47,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes, as often as it takes them (once or twice)."""
-    mixed = mixing.mix_sources(docs).where("copies > 0").select(F.col("id").alias("_id"), F.col("source").alias("_source"), "size", "copies").distinct()
+    mixed = mixing.mix_sources(docs).where("copies > 0").select(
+        F.col("id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_words"), F.col("copies").alias("_copies")
+    ).distinct()
     rows = docs.withColumn("_size", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(mixing.WORD)).cast("long"))
-    same = rows["doc_id"].eqNullSafe(mixed["_id"]) & rows["source"].eqNullSafe(mixed["_source"]) & (rows["_size"] == mixed["size"])
-    taken = rows.join(mixed, same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    same = rows["doc_id"].eqNullSafe(mixed["_id"]) & rows["source"].eqNullSafe(mixed["_source"]) & (rows["_size"] == mixed["_words"])
+    taken = rows.join(mixed, same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
     return taken.select(*[docs[c] for c in docs.columns])
 
 

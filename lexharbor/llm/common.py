@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 #: ASCII white space of every contract in this package: space and \t..\r.
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
-#: Rows per Arrow batch; whole texts are shipped, so batches are kept short.
-ARROW_ROWS = 512
+#: Rows and bytes of an Arrow batch; whole texts are shipped, so batches are kept short.
+ARROW_ROWS, ARROW_BYTES = 512, "8m"
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -48,6 +48,7 @@ def settle(df: DataFrame, tag: str) -> DataFrame:
 def tune(spark: SparkSession) -> None:
     """Short Arrow batches, as rows carry whole texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
 def squeezed(text: Column) -> Column:

@@ -46,6 +46,11 @@ def entry(df: DataFrame, key: Column) -> Column:
     return F.concat(F.lit("@"), kind, F.lit("{"), key, F.lit(",\n  "), body, F.lit("\n}\n"))
 
 
+def _letter(code: Column) -> Column:
+    """The character of a code point (``char`` stops at 255)."""
+    return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+
+
 def _replay(pdf: pd.DataFrame) -> pd.DataFrame:
     used, keys = set(), []
     for base in pdf.sort_values("_ord")["_base"]:
@@ -66,7 +71,7 @@ def with_keys(df: DataFrame, order: str) -> DataFrame:
     keyed = df.withColumn("_base", entry_key(df["authors"], df["year"], df["publication_year"], df["title"])).withColumn("_ord", F.col(order))
     keyed = keyed.withColumn("_root", F.regexp_extract("_base", "^([a-z]*[^a-z]*)", 1))
     n = F.row_number().over(Window.partitionBy("_base").orderBy("_ord")) - 1
-    tried = keyed.withColumn("_n", n).withColumn("bib_key", F.when(F.col("_n") == 0, F.col("_base")).otherwise(F.concat("_base", F.char(F.lit(96) + F.col("_n")))))
+    tried = keyed.withColumn("_n", n).withColumn("bib_key", F.when(F.col("_n") == 0, F.col("_base")).otherwise(F.concat("_base", _letter(F.lit(96) + F.col("_n")))))
     natural = keyed.select(F.col("_base").alias("bib_key")).distinct()
     clash = tried.where("_n > 0").join(natural, "bib_key", "left_semi").select("_root").distinct()
     replayed = keyed.join(clash, "_root", "left_semi").select("_root", "_base", "_ord").groupBy("_root").applyInPandas(_replay, "_ord long, bib_key string")

@@ -71,27 +71,41 @@ def waterfall(df: DataFrame, sources: Sequence[tuple[str, DataFrame, int]], orde
 
 
 def _greedy_match(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Left rows in order take the best right row still free, the first on ties."""
-    taken, out = set(), []
-    for a, own in pdf.groupby("a", sort=True):
-        own = own[~own["b"].isin(taken)].sort_values(["similarity", "b"], ascending=[False, True])
-        if len(own):
-            taken.add(own["b"].iloc[0])
-            out.append((a, own["b"].iloc[0]))
+    """Left rows in order take the best right row still free, the first on ties.
+
+    ``kind`` 0: classes a and b with their similarity; 1 and 2: rows ``o`` of a left and a right class.
+    Rows of one right class are alike, so its first free row is all that has to be looked at.
+    """
+    near: dict[int, list] = {}
+    for a, b, s in pdf.loc[pdf["kind"] == 0, ["a", "b", "s"]].itertuples(index=False):
+        near.setdefault(int(a), []).append((-s, int(b)))
+    free = {int(b): sorted(g["o"].astype(int).tolist(), reverse=True) for b, g in pdf[pdf["kind"] == 2].groupby("b")}
+    out = []
+    for a, o in pdf.loc[pdf["kind"] == 1, ["a", "o"]].sort_values("o").itertuples(index=False):
+        best = min(((s, free[b][-1], b) for s, b in near.get(int(a), ()) if free.get(b)), default=None)
+        if best:
+            out.append((int(o), free[best[2]].pop()))
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
 def title_matches(left: DataFrame, right: DataFrame, threshold: float = 0.85, order: str = "ord") -> DataFrame:
     """(a, b): one-to-one greedy matches by title.  Rows with a DOI are matched before rows without.
 
-    Candidates come from the prefix-filter join; the greedy order is replayed in each connected part.
+    Candidates come from the prefix-filter join of distinct token sets, so equal titles are never
+    paired row by row; the greedy order is replayed in each connected part of similar sets.
     """
-    def sets(df):
-        rank = F.when(normalize_doi(F.col("doi")).isNotNull(), F.col(order)).otherwise(F.col(order) + F.lit(1 << 52))
-        return df.select(rank.alias("node"), F.lit("").alias("bucket"), title_tokens(F.col("title")).alias("tokens")).where("size(tokens) > 0")
-
-    pairs = saved(similar_pairs(sets(left), sets(right), threshold), "title-pairs")
-    # Parts of the bipartite graph: right nodes get odd numbers, left nodes even ones.
+    late = 1 << 52
+
+    def rows(df):
+        rank = F.when(normalize_doi(F.col("doi")).isNotNull(), F.col(order)).otherwise(F.col(order) + F.lit(late))
+        sets = df.select(rank.alias("o"), F.array_sort(title_tokens(F.col("title"))).alias("tokens")).where("size(tokens) > 0")
+        sets = saved(sets, "title-rows")
+        classes = saved(sets.groupBy("tokens").agg(F.min("o").alias("node")).withColumn("bucket", F.lit("")), "title-classes")
+        return sets.join(classes, "tokens").select("o", "node"), classes
+
+    (own, own_classes), (other, other_classes) = rows(left), rows(right)
+    pairs = saved(similar_pairs(own_classes.select("node", "bucket", "tokens"), other_classes.select("node", "bucket", "tokens"), threshold), "title-pairs")
+    # Parts of the bipartite graph of classes: left nodes get even numbers, right ones odd numbers.
     links = pairs.select((F.col("a") * 2).alias("u"), (F.col("b") * 2 + 1).alias("v"))
     part = links.select(F.col("u").alias("n")).unionByName(links.select(F.col("v").alias("n"))).distinct().withColumn("p", F.col("n"))
     while True:
@@ -102,9 +116,14 @@ def title_matches(left: DataFrame, right: DataFrame, threshold: float = 0.85, or
         part = new.select("n", "p")
         if new.where("moved").isEmpty():
             break
-    placed = pairs.join(part.where("n % 2 = 0").select((F.col("n") / 2).cast("long").alias("a"), "p"), "a")
-    found = placed.groupBy("p").applyInPandas(_greedy_match, "a long, b long")
-    back = lambda c: F.when(F.col(c) >= F.lit(1 << 52), F.col(c) - F.lit(1 << 52)).otherwise(F.col(c)).alias(c)
+    none = F.lit(None).cast("long")
+    lefts = part.where("n % 2 = 0").select(F.shiftright("n", 1).alias("node"), "p")
+    rights = part.where("n % 2 = 1").select(F.shiftright("n", 1).alias("node"), "p")
+    edges = pairs.join(lefts.withColumnRenamed("node", "a"), "a").select("p", F.lit(0).alias("kind"), "a", "b", none.alias("o"), F.col("similarity").alias("s"))
+    ours = own.join(lefts, "node").select("p", F.lit(1).alias("kind"), F.col("node").alias("a"), none.alias("b"), "o", F.lit(None).cast("double").alias("s"))
+    theirs = other.join(rights, "node").select("p", F.lit(2).alias("kind"), none.alias("a"), F.col("node").alias("b"), "o", F.lit(None).cast("double").alias("s"))
+    found = edges.unionByName(ours).unionByName(theirs).groupBy("p").applyInPandas(_greedy_match, "a long, b long")
+    back = lambda c: F.when(F.col(c) >= F.lit(late), F.col(c) - F.lit(late)).otherwise(F.col(c)).alias(c)
     return found.select(back("a"), back("b"))
 
 

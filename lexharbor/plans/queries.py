@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import bibtex, nested, text
-from ..operators import citations, filters, labels, merge, reports, resolve, simjoin, vectors
+from ..operators import citations, filters, labels, merge, ranking, reports, resolve, simjoin, vectors
 from ..operators._storage import saved
 from ..sources import archive
 from . import records as R
@@ -228,14 +228,7 @@ _PRIORITY = (
 @query(f"WITH {R.REC}, p AS (SELECT ord, id, {_NON_EN} AS non_english, {_PRIORITY} AS priority_score FROM rec) SELECT ord, non_english, CAST(priority_score AS INTEGER) AS priority_score, row_number() OVER (ORDER BY priority_score DESC, id) AS place FROM p")
 def priority_rank(spark, sf):
     done = filters.augment(R.records(spark, sf), VOCAB).select("ord", "id", "non_english", "priority_score")
-    # A row number over all rows would gather them in one task: count what ranks above instead.
-    per = saved(done.groupBy("priority_score").agg(F.count(F.lit(1)).alias("n")), "priorities")
-    above = per.alias("a").join(per.alias("b"), F.col("b.priority_score") > F.col("a.priority_score"), "left")  # one row per score
-    above = above.groupBy(F.col("a.priority_score").alias("priority_score")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
-    from pyspark.sql import Window
-
-    ranked = done.withColumn("_n", F.row_number().over(Window.partitionBy("priority_score").orderBy("id")))
-    return ranked.join(above, "priority_score").select("ord", "non_english", "priority_score", (F.col("before") + F.col("_n")).cast("long").alias("place"))
+    return ranking.global_rank(done, [F.col("priority_score").desc(), F.col("id")]).drop("id")
 
 
 @query(f"WITH {R.REC} SELECT ord FROM rec WHERE doi IS NULL OR lower(trim(doi)) NOT IN (SELECT lower(trim(doi)) FROM rec WHERE ord % 10 = 1 AND doi IS NOT NULL)")

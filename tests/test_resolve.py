@@ -135,3 +135,8 @@ def test_compare_corpora_statuses(spark):
     right = frame(spark, [dict(doi="doi:10.1/A", title="y"), dict(doi="10.5/z", title=LONG)])
     got = {(r["side"], r["ord"]): r["status"] for r in compare_corpora(left, right).collect()}
     assert got == {("left", 0): "overlap_doi", ("left", 1): "overlap_title", ("left", 2): "only", ("right", 0): "overlap_doi", ("right", 1): "overlap_title"}
+
+
+def test_equal_titles_match_in_order(spark):
+    left, right = frame(spark, [dict(title=LONG)] * 40), frame(spark, [dict(title=LONG)] * 25)
+    assert sorted((r["a"], r["b"]) for r in title_matches(left, right).collect()) == [(i, i) for i in range(25)]

@@ -141,3 +141,11 @@ def test_layout_plan(spark):
 def test_expression_errors_do_not_stop_a_harvest(spark):
     raw = spark.createDataFrame([("core", "q", '{"results": [{"title": "T", "yearPublished": "x", "authors": "none"}]}')], "source string, query string, payload_json string")
     assert normalize.normalize(raw, "core").select(F.col("publication_year")).collect()[0][0] is None
+
+
+def test_many_repeats_of_a_key(spark):
+    from lexharbor.functions.bibtex import with_keys
+
+    df = spark.range(300).selectExpr("id as ord", "'Doe, J' as authors", "2001 as year", "2001 as publication_year", "'x' as title")
+    got = {r[0]: r[1] for r in with_keys(df, "ord").select("ord", "bib_key").collect()}
+    assert got[0] == "doe2001x" and got[1] == "doe2001xa" and got[27] == "doe2001x{" and got[299] == "doe2001x" + chr(96 + 299)

@@ -73,18 +73,24 @@ def waterfall(df: DataFrame, sources: Sequence[tuple[str, DataFrame, int]], orde
 def _greedy_match(pdf: pd.DataFrame) -> pd.DataFrame:
     """Left rows in order take the best right row still free, the first on ties.
 
-    ``kind`` 0: classes a and b with their similarity; 1 and 2: rows ``o`` of a left and a right class.
-    Rows of one right class are alike, so its first free row is all that has to be looked at.
+    ``kind`` 0: classes a and b with their similarity; 1 and 2: rows ``o`` of a left and a right class,
+    late ones after all others.  Rows of one right class are alike, so its first free row is all that
+    has to be looked at.
     """
     near: dict[int, list] = {}
     for a, b, s in pdf.loc[pdf["kind"] == 0, ["a", "b", "s"]].itertuples(index=False):
         near.setdefault(int(a), []).append((-s, int(b)))
-    free = {int(b): sorted(g["o"].astype(int).tolist(), reverse=True) for b, g in pdf[pdf["kind"] == 2].groupby("b")}
+    rows: dict[int, list] = {1: [], 2: []}
+    for kind, c, late, o in pdf.loc[pdf["kind"] > 0, ["kind", "c", "late", "o"]].itertuples(index=False):
+        rows[kind].append((bool(late), int(o), int(c)))
+    free: dict[int, list] = {}
+    for late, o, c in sorted(rows[2], reverse=True):
+        free.setdefault(c, []).append((late, o))
     out = []
-    for a, o in pdf.loc[pdf["kind"] == 1, ["a", "o"]].sort_values("o").itertuples(index=False):
-        best = min(((s, free[b][-1], b) for s, b in near.get(int(a), ()) if free.get(b)), default=None)
+    for _, o, c in sorted(rows[1]):
+        best = min(((s, free[b][-1], b) for s, b in near.get(c, ()) if free.get(b)), default=None)
         if best:
-            out.append((int(o), free[best[2]].pop()))
+            out.append((o, free[best[2]].pop()[1]))
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
@@ -94,14 +100,11 @@ def title_matches(left: DataFrame, right: DataFrame, threshold: float = 0.85, or
     Candidates come from the prefix-filter join of distinct token sets, so equal titles are never
     paired row by row; the greedy order is replayed in each connected part of similar sets.
     """
-    late = 1 << 52
-
     def rows(df):
-        rank = F.when(normalize_doi(F.col("doi")).isNotNull(), F.col(order)).otherwise(F.col(order) + F.lit(late))
-        sets = df.select(rank.alias("o"), F.array_sort(title_tokens(F.col("title"))).alias("tokens")).where("size(tokens) > 0")
+        sets = df.select(F.col(order).alias("o"), normalize_doi(F.col("doi")).isNull().alias("late"), F.array_sort(title_tokens(F.col("title"))).alias("tokens")).where("size(tokens) > 0")
         sets = saved(sets, "title-rows")
         classes = saved(sets.groupBy("tokens").agg(F.min("o").alias("node")).withColumn("bucket", F.lit("")), "title-classes")
-        return sets.join(classes, "tokens").select("o", "node"), classes
+        return sets.join(classes, "tokens").select("o", "late", "node"), classes
 
     (own, own_classes), (other, other_classes) = rows(left), rows(right)
     pairs = saved(similar_pairs(own_classes.select("node", "bucket", "tokens"), other_classes.select("node", "bucket", "tokens"), threshold), "title-pairs")
@@ -116,15 +119,17 @@ def title_matches(left: DataFrame, right: DataFrame, threshold: float = 0.85, or
         part = new.select("n", "p")
         if new.where("moved").isEmpty():
             break
-    none = F.lit(None).cast("long")
+    unused = F.lit(-1).cast("long")  # not null: pandas would read the column as floats
     lefts = part.where("n % 2 = 0").select(F.shiftright("n", 1).alias("node"), "p")
     rights = part.where("n % 2 = 1").select(F.shiftright("n", 1).alias("node"), "p")
-    edges = pairs.join(lefts.withColumnRenamed("node", "a"), "a").select("p", F.lit(0).alias("kind"), "a", "b", none.alias("o"), F.col("similarity").alias("s"))
-    ours = own.join(lefts, "node").select("p", F.lit(1).alias("kind"), F.col("node").alias("a"), none.alias("b"), "o", F.lit(None).cast("double").alias("s"))
-    theirs = other.join(rights, "node").select("p", F.lit(2).alias("kind"), none.alias("a"), F.col("node").alias("b"), "o", F.lit(None).cast("double").alias("s"))
-    found = edges.unionByName(ours).unionByName(theirs).groupBy("p").applyInPandas(_greedy_match, "a long, b long")
-    back = lambda c: F.when(F.col(c) >= F.lit(late), F.col(c) - F.lit(late)).otherwise(F.col(c)).alias(c)
-    return found.select(back("a"), back("b"))
+    edges = pairs.join(lefts.withColumnRenamed("node", "a"), "a").select(
+        "p", F.lit(0).alias("kind"), "a", "b", F.col("similarity").alias("s"), unused.alias("c"), F.lit(False).alias("late"), unused.alias("o")
+    )
+    members = None
+    for kind, side, placed in ((1, own, lefts), (2, other, rights)):
+        one = side.join(placed, "node").select("p", F.lit(kind).alias("kind"), unused.alias("a"), unused.alias("b"), F.lit(0.0).alias("s"), F.col("node").alias("c"), "late", "o")
+        members = one if members is None else members.unionByName(one)
+    return edges.unionByName(members).groupBy("p").applyInPandas(_greedy_match, "a long, b long")
 
 
 def compare_corpora(left: DataFrame, right: DataFrame, threshold: float = 0.85, order: str = "ord") -> DataFrame:

@@ -102,3 +102,12 @@ def gap_novelty(found: DataFrame, corpus: DataFrame, vocab: Mapping, order: str
 
 def recover_sources(spark: SparkSession, df: DataFrame, bib: str) -> DataFrame:
     return merge.recover_sources(df, files.bib_notes(spark, bib))
+
+
+def comparison_tables(left: DataFrame, right: DataFrame, threshold: float = 0.85, order: str = "ord") -> dict[str, DataFrame]:
+    """The rows of overlap (both sides'), left_only and right_only."""
+    status = saved(merge.compare_corpora(left, right, threshold, order), "comparison")
+    side = lambda name, df, kind: df.join(status.where((F.col("side") == name) & kind).select(F.col("ord").alias(order)), order, "left_semi")
+    only = F.col("status") == "only"
+    both = merge.union_by_name(side("left", left, ~only), side("right", right, ~only))
+    return {"overlap": both, "left_only": side("left", left, only), "right_only": side("right", right, only)}

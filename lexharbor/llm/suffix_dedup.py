@@ -84,38 +84,41 @@ def suffix_array(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
     """
     n = len(text)
     used = np.bincount(text, minlength=256) > 0
-    coded = (np.cumsum(used) - 1)[text]
     width = max(1, int(used.sum()).bit_length())
     h = 62 // width  # symbols of the first sort
-    end = np.repeat(ends, np.diff(np.concatenate([[0], ends])))  # the end of each position's region
-    left = end - np.arange(n)
-    pad = np.concatenate([coded.astype(np.uint64) + np.uint64(1), np.zeros(h, np.uint64)])
+    end = np.repeat(ends, np.diff(np.concatenate([[0], ends]))).astype(np.int32)  # of each position's region
+    left = end - np.arange(n, dtype=np.int32)
+    pad = np.concatenate([np.cumsum(used)[text].astype(np.uint8), np.zeros(h, np.uint8)])
     key = np.zeros(n, dtype=np.uint64)
     for j in range(h):
-        key = (key << np.uint64(width)) | np.where(left > j, pad[j : n + j], np.uint64(0))
-    order = np.argsort(key, kind="stable")
-    new = np.concatenate([[True], key[order][1:] != key[order][:-1]])
-    rank = np.empty(n, dtype=np.int64)
-    start = np.flatnonzero(new)
-    group = np.repeat(start, np.diff(np.concatenate([start, [n]])))
+        key <<= np.uint64(width)
+        key |= np.where(left > j, pad[j : n + j], np.uint8(0))
+    order = np.argsort(key, kind="stable").astype(np.int32)
+    key = key[order]
+    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    group = np.repeat(start, np.diff(np.concatenate([start, [n]]))).astype(np.int32)
+    del key, left, pad
+    rank = np.empty(n, dtype=np.int32)
     rank[order] = group
     while True:
-        # Positions (in the order) whose group has more than one suffix.
-        size = np.bincount(group, minlength=n)[group]
-        open_ = np.flatnonzero(size > 1)
+        # Places (in the order) whose group has more than one suffix; a group's places are neighbours.
+        same = group[1:] == group[:-1]
+        open_ = np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same]))
         if not len(open_):
             break
         suffix = order[open_]
         follow = suffix + h
         inside = follow < end[suffix]
-        second = np.where(inside, rank[np.minimum(follow, n - 1)] + n, np.searchsorted(ends, suffix, side="right"))
-        both = group[open_] * (2 * n) + second
+        second = rank[np.minimum(follow, n - 1)].astype(np.int64) + n
+        second[~inside] = np.searchsorted(ends, suffix[~inside], side="right")
+        both = group[open_].astype(np.int64) * (2 * n) + second
         again = np.argsort(both, kind="stable")
-        suffix, second, old = suffix[again], second[again], group[open_][again]
+        suffix, both = suffix[again], both[again]
         order[open_] = suffix
-        differs = np.concatenate([[True], (old[1:] != old[:-1]) | (second[1:] != second[:-1])])
-        head = open_[differs]
-        group[open_] = np.repeat(head, np.diff(np.concatenate([np.flatnonzero(differs), [len(open_)]])))
+        differs = np.concatenate([[True], both[1:] != both[:-1]])
+        # A group's first place stays its number; where a group splits, the later part starts at its own place.
+        at = np.flatnonzero(differs)
+        group[open_] = np.repeat(open_[at], np.diff(np.concatenate([at, [len(open_)]])))
         rank[suffix] = group[open_]
         h *= 2
     return order, rank
@@ -127,11 +130,11 @@ def common_prefixes(text: np.ndarray, ends: np.ndarray, order: np.ndarray, most:
     Kasai's carry (the next suffix shares at least one byte less) runs in step over all regions.
     """
     n = len(text)
-    before = np.full(n, -1, dtype=np.int64)
+    before = np.full(n, -1, dtype=np.int32)
     before[order[1:]] = order[:-1]
     starts = np.concatenate([[0], ends[:-1]])
-    end = np.repeat(ends, ends - starts)
-    lcp_at, held = np.zeros(n, dtype=np.int64), np.zeros(len(ends), dtype=np.int64)
+    end = np.repeat(ends, ends - starts).astype(np.int32)
+    lcp_at, held = np.zeros(n, dtype=np.int32), np.zeros(len(ends), dtype=np.int32)
     for t in range(int((ends - starts).max(initial=0))):
         lanes = np.flatnonzero(starts + t < ends)
         i = starts[lanes] + t
@@ -179,14 +182,19 @@ def repeated_starts(regions: list[bytes], ords: np.ndarray, begins: np.ndarray)
     ends = np.cumsum([len(r) for r in regions])
     order, _ = suffix_array(text, ends)
     lcp = common_prefixes(text, ends, order, LENGTH)
-    region = np.searchsorted(ends, order, side="right")
-    full = ends[region] - order >= LENGTH
+    bounds = np.concatenate([[0], ends])
+    region_at = np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(bounds))
     string = np.cumsum(lcp < LENGTH)  # suffixes with one number share LENGTH bytes
-    region, offset, string = region[full], order[full] - np.concatenate([[0], ends[:-1]])[region[full]], string[full]
-    start = begins[region] + offset
-    by = np.lexsort((start, ords[region], string))
-    region, start, string = region[by], start[by], string[by]
-    first = np.concatenate([[True], string[1:] != string[:-1]]) if len(string) else np.zeros(0, bool)
+    region = region_at[order]
+    full = ends[region] - order >= LENGTH
+    region, string, order = region[full], string[full], order[full]
+    start = begins[region] + order - bounds[region]
+    first = np.ones(len(string), dtype=bool)
+    same = string[1:] == string[:-1]
+    several = np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same])) if len(string) else np.zeros(0, np.int64)
+    by = several[np.lexsort((start[several], ords[region[several]], string[several]))]
+    region[several], start[several] = region[by], start[by]  # equal strings stand together, the earliest ahead
+    first[several[1:]] = string[several[1:]] != string[several[:-1]]
     return region, start, first
 
 

@@ -31,7 +31,7 @@ def _options(parser: argparse.ArgumentParser) -> argparse.ArgumentParser:
     project = ("--project", {"required": True})
     number = lambda flag, default, kind=float: (flag, {"type": kind, "default": default})
     add("harvest", "raw", project, out, "--sources", "--doi-exclude", ("--bibtex", {}), help="raw folder to ranked bibliography")
-    add("embed", "table", project, out, ("--embed-backend", {"default": "hashing"}), ("--model", {"default": "bge-m3"}), ("--host", {"default": "http://localhost:11434"}), number("--batch-size", 32, int), "--cache", help="vectors and best anchors")
+    add("embed", "table", project, out, ("--embed-backend", {"default": "hashing"}), ("--model", {"default": "bge-m3"}), ("--host", {"default": "http://localhost:11434"}), number("--batch-size", 32, int), "--cache", number("--part", 0, int), help="vectors and best anchors")
     add("diagnose", "table", project, number("--min-score", 0.45), number("--top-k", 3, int), "--markdown", help="anchor coverage report")
     add("label", "table", project, out, number("--min-score", 0.45), number("--max-score", None), number("--limit", None, int), ("--label-backend", {"default": "rules"}), "--api-key", "--api-url", "--model", "--host", "--pattern", "--log", "--require-column", number("--min-interval-s", 0.0), help="model labels")
     add("backfill", "table", "raw", out, ("--lookup", {"action": "append", "default": [], "metavar": "NAME=TABLE:CAP"}), "--uids", help="missing abstracts")
@@ -62,7 +62,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
         if a.bibtex:
             archive.write_bibtex(df.withColumn("publication_year", F.col("year")), a.bibtex)
     elif a.command == "embed":
-        df = pipelines.embed_and_score(read(a.table), anchors(), read(a.cache) if a.cache else None, a.embed_backend, model=a.model, host=a.host, batch_size=a.batch_size)
+        options = {"model": a.model, "host": a.host, "batch_size": a.batch_size}
+        cache = pipelines.update_vector_cache(read(a.table), a.cache, a.part, a.embed_backend, **options) if a.cache else None
+        df = pipelines.embed_and_score(read(a.table), anchors(), cache, a.embed_backend, **options)
     elif a.command == "diagnose":
         text = pipelines.diagnose(read(a.table), anchors(), a.min_score, a.top_k)
         if a.markdown:

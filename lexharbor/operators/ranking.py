@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._storage import scratch
+from ._storage import saved, scratch
 
 
 def global_rank(df: DataFrame, order: list, out: str = "place") -> DataFrame:
@@ -15,6 +15,7 @@ def global_rank(df: DataFrame, order: list, out: str = "place") -> DataFrame:
     partition reaches the driver.  The sorted table is written first, so both passes see one order.
     """
     spark, path = df.sparkSession, scratch(df.sparkSession, "ranked")
+    df = saved(df, "unranked")  # sampling the ranges would compute the input a second time
     df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id()).write.parquet(path)
     rows = spark.read.parquet(path).withColumn("_p", F.shiftright("_m", 33))
     counts, before = sorted(tuple(r) for r in rows.groupBy("_p").count().collect()), [(-1, 0)]

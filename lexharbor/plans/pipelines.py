@@ -13,7 +13,8 @@ from ..functions import text as T
 from ..operators import citations, filters, labels, merge, reports, resolve, vectors
 from ..operators._storage import saved
 from ..schema import CSV_COLUMNS
-from ..sources import files, normalize
+from ..sources import files, lookup, normalize
+from ..streaming.ingest import append_missing
 
 
 def harvest(raw: DataFrame, sources: Sequence[str], vocab: Mapping, block: Sequence[str] = (), exclude: DataFrame | None = None) -> DataFrame:
@@ -36,6 +37,13 @@ def embed_and_score(df: DataFrame, anchors: DataFrame, cache: DataFrame | None =
     return vectors.score_anchors(df.join(known, "id", "left"), marks).drop("embedding")
 
 
+def update_vector_cache(df: DataFrame, path: str, part: int, backend: str = "hashing", **options) -> DataFrame:
+    """The cache at ``path`` with vectors for all rows that have a text; ``part`` numbers this run's rows."""
+    rows = df.withColumn("_text", T.row_text(F.col("title"), F.col("abstract_snippet") if "abstract_snippet" in df.columns else F.lit(None), F.col("abstract")))
+    append_missing(rows.where("length(_text) > 0").select("id", "_text"), path, "id", lambda todo: embed_column(todo, "id", "_text", backend, **options), part)
+    return df.sparkSession.read.parquet(path)
+
+
 def diagnose(df: DataFrame, anchors: DataFrame, min_score: float = 0.45, k: int = 3, order: str = "ord") -> str:
     return reports.markdown_report(df, anchors, min_score, k, order=order)
 
@@ -65,6 +73,12 @@ def backfill(df: DataFrame, raw: DataFrame, lookups: Sequence[tuple[str, DataFra
     return df.withColumn("abstract_snippet", T.snippet(F.col("abstract")))
 
 
+def online_lookups(df: DataFrame, order: str = "ord") -> list[tuple[str, DataFrame, int]]:
+    """Lookup tables for ``backfill`` that ask the services, in order, for rows without an abstract."""
+    missing = df.where(filters.missing_text(F.col("abstract"))).withColumn("_key", T.normalize_doi(F.col("doi"))).where("_key is not null").orderBy(order)
+    return [(name, lookup.lookup_table(missing.limit(cap), "_key", fetch).withColumnRenamed("key", "doi"), cap) for name, fetch, cap in lookup.ABSTRACT_LOOKUPS]
+
+
 def chase(corpus: DataFrame, works: DataFrame, edges: DataFrame, vocab: Mapping, top: int = 20, cap: int = 500, block: Sequence[str] = ()) -> DataFrame:
     """Works one citation away from the best core records, filtered, resolved, augmented; only new ones."""
     seeds = saved(citations.seeds_from_labels(corpus, top).select("id"), "seeds")

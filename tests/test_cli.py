@@ -25,6 +25,9 @@ def test_from_raw_folder_to_report(spark, project, tmp_path):
     assert any(p.name.startswith("part-") for p in (tmp_path / "bibtex").iterdir())
     scored = main(["embed", at("bib"), "--project", project, "--out", at("scored")], spark)
     assert set(scored.columns) >= {"embed_score", "embed_top_anchor"}
+    again = main(["embed", at("bib"), "--project", project, "--out", at("scored2"), "--cache", at("cache")], spark)
+    assert sorted(r["embed_score"] for r in again.collect()) == sorted(r["embed_score"] for r in scored.collect())
+    assert spark.read.parquet(at("cache")).count() == 2
     assert "Anchor coverage" in main(["diagnose", at("scored"), "--project", project, "--min-score", "0.1"], spark)
     labelled = main(["label", at("scored"), "--project", project, "--out", at("labelled"), "--min-score", "-1", "--pattern", "weathering"], spark)
     assert sorted(r["relevance_llm"] for r in labelled.collect()) == ["core", "off_topic"]

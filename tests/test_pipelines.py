@@ -149,3 +149,13 @@ def test_incremental_ingest(spark, corpus, tmp_path):
         incremental(stream, out, "id", compute, str(tmp_path / "cp")).awaitTermination()
     assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == ["id0", "id1", "id2", "id3"]
     assert seen == [2, 2]
+
+
+def test_abstract_lookups():
+    from lexharbor.sources import lookup as L
+
+    assert L.crossref_abstracts(["10.1/a", "10.1/b"], opener=replies({"message": {"abstract": "<p>x &amp; y</p>"}}, http(404))) == {"10.1/a": "x & y"}
+    assert L.openalex_abstracts(["10.1/a"], opener=replies({"abstract_inverted_index": {"b": [1], "a": [0, 2]}})) == {"10.1/a": "a b a"}
+    assert L.europepmc_abstracts(["10.1/a"], opener=replies({"resultList": {"result": [{}, {"abstractText": "t"}]}})) == {"10.1/a": "t"}
+    assert L.semantic_scholar_abstracts(["10.1/a"], "k", opener=replies({"abstract": None})) == {}
+    assert L.uid_payload(["WOS:1", "WOS:2"], "k", opener=replies({"Data": {}})) == '{"Data": {}}'

@@ -21,7 +21,7 @@ SHARDS = 24
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows in a learned language; ``und`` and texts that no language's model compresses go."""
+    """Rows in a learned language; ``und`` and texts that no language foresees go."""
     return langid.keep_known_language(docs)
 
 

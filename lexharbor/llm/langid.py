@@ -31,6 +31,9 @@ DOCS_PER_LANGUAGE = 400
 #: Bounds of the model: symbol classes (rarer bytes share class 0) and contexts of three bytes.
 SYMBOLS, LONG_CONTEXTS, LEAST_COUNT = 128, 12_000, 3
 CHUNK = 1 << 20
+#: Bits of a byte without a model.  A text is in no learned language if its best one codes less than
+#: this share of the bytes in fewer; below so many bytes that cannot be told.
+RAW_BITS, KNOWN_SHARE, SHORT_TEXT = 8.0, 0.25, 16
 PAD = b"   "
 
 
@@ -42,12 +45,12 @@ class PpmModel:
     state_of: np.ndarray  # three symbols -> state
     cost: np.ndarray  # language, state * n_sym + symbol -> bits
 
-    def code_lengths(self, texts: list[bytes]) -> np.ndarray:
-        """Bits of each text under each language."""
+    def code_lengths(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Bits of each text under each language, and how many of its bytes cost less than a raw byte."""
         buf = np.frombuffer(b"".join(PAD + t for t in texts), dtype=np.uint8)
         lens = np.array([len(t) + len(PAD) for t in texts])
         starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
-        out = np.zeros((len(self.langs), len(texts)))
+        out, known = np.zeros((len(self.langs), len(texts))), np.zeros((len(self.langs), len(texts)))
         s = self.n_sym
         for a in range(0, len(buf), CHUNK):
             b = min(a + CHUNK, len(buf))
@@ -61,9 +64,11 @@ class PpmModel:
             pads = pads[(pads >= a) & (pads < b)] - a
             for k in range(len(self.langs)):
                 bits = self.cost[k][at]
-                bits[pads] = 0
+                short = bits < RAW_BITS
+                bits[pads], short[pads] = 0, False
                 out[k, first : first + len(points)] += np.add.reduceat(bits, points, dtype=np.float64)
-        return out
+                known[k, first : first + len(points)] += np.add.reduceat(short, points, dtype=np.float64)
+        return out, known
 
 
 def _language_rows(n_sym, states, grams, counts):
@@ -163,7 +168,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", d
 
 
 def identify(docs: DataFrame, model: PpmModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, lang_pred, score, bits_per_byte) for every row; score is the posterior of the language."""
+    """(id, lang_pred, score, bits_per_byte, known_share) for every row; score is the posterior of the language."""
     spark = docs.sparkSession
     tune(spark)
     rows = docs.select(
@@ -177,26 +182,33 @@ def identify(docs: DataFrame, model: PpmModel | None, id_col: str = "doc_id", te
         for pdf in batches:
             text = pdf["text"].tolist()
             use = [i for i, t in enumerate(text) if isinstance(t, str)] if model else []
-            lang, score, rate = np.full(len(pdf), "und", dtype=object), np.zeros(len(pdf)), np.full(len(pdf), np.nan)
+            lang, score = np.full(len(pdf), "und", dtype=object), np.zeros(len(pdf))
+            rate, share = np.full(len(pdf), np.nan), np.full(len(pdf), np.nan)
             if use:
                 raw = [text[i].encode("utf-8", "replace") for i in use]
-                bits = model.code_lengths(raw)
+                bits, known = model.code_lengths(raw)
+                size = np.array([len(r) for r in raw])
                 best = bits.argmin(axis=0)
                 least = bits.min(axis=0)
                 lang[use] = np.array(model.langs, dtype=object)[best]
                 score[use] = 1 / np.exp2(np.maximum(least - bits, -1000)).sum(axis=0)
-                rate[use] = least / np.array([len(r) for r in raw])
-            yield pd.DataFrame({"id": pdf["id"].astype("Int64"), "lang_pred": lang, "score": score, "bits_per_byte": pd.array(rate, dtype="Float64")})
+                rate[use], share[use] = least / size, known[best, np.arange(len(raw))] / size
+            yield pd.DataFrame({
+                "id": pdf["id"].astype("Int64"), "lang_pred": lang, "score": score, "bits_per_byte": pd.array(rate, dtype="Float64"), "known_share": pd.array(share, dtype="Float64"),
+            })
 
-    return rows.mapInPandas(predict, "id long, lang_pred string, score double, bits_per_byte double")
+    return rows.mapInPandas(predict, "id long, lang_pred string, score double, bits_per_byte double, known_share double")
 
 
-#: A text whose best code is no shorter than its bytes is in no learned language.
-RAW_BITS = 8.0
+def in_known_language(model: PpmModel, raw: list[bytes]) -> np.ndarray:
+    """Whether enough bytes of each text are foreseen by its best language; short texts get the benefit of the doubt."""
+    bits, known = model.code_lengths(raw)
+    size = np.array([len(r) for r in raw])
+    return (known[bits.argmin(axis=0), np.arange(len(raw))] >= KNOWN_SHARE * size) | (size < SHORT_TEXT)
 
 
 def keep_known_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Rows of ``docs`` in a learned language; ``und`` and incompressible texts are rejected."""
+    """Rows of ``docs`` in a learned language; ``und`` and texts that no language foresees are rejected."""
     spark = docs.sparkSession
     tune(spark)
     model = train(docs, text_col, lang_col)
@@ -209,7 +221,6 @@ def keep_known_language(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             if model is None or not batch.num_rows:
                 continue
             raw = [t.encode("utf-8", "replace") for t in batch.column(text_col).to_pylist()]
-            rate = model.code_lengths(raw).min(axis=0) / np.array([len(r) for r in raw])
-            yield batch.filter(pa.array(rate < RAW_BITS))
+            yield batch.filter(pa.array(in_known_language(model, raw)))
 
     return rows.mapInArrow(keep, rows.schema)

@@ -59,26 +59,18 @@ def greedy_leaders(edges: DataFrame) -> DataFrame:
     """(node, leader) of the ordered greedy clustering over ``edges`` (a < b), for nodes with a leader.
 
     A node leads unless an earlier leader is its neighbour; it then joins the earliest such leader.
-    Rounds settle all nodes whose earlier neighbours are settled, so nothing is replayed in order.
+    Each round catches the neighbours of all nodes without an open earlier neighbour and closes their
+    edges; a node that is never caught leads, so nothing is replayed in order.
     """
     edges = saved(edges.select("a", "b").distinct(), "leader-edges")
-    open_, leaders = edges, None
+    open_, caught = edges, None
     while True:
-        blocked = open_.select(F.col("b").alias("n")).distinct()
-        fresh = open_.select(F.col("a").alias("n")).distinct().join(blocked, "n", "left_anti")
-        fresh = saved(fresh, "leaders")
-        leaders = fresh if leaders is None else leaders.unionByName(fresh)
-        if fresh.isEmpty():
+        later = open_.select(F.col("b").alias("a")).distinct()
+        fresh = open_.select("a").distinct().join(later, "a", "left_anti")
+        now = saved(open_.join(fresh, "a", "left_semi").select("b").distinct(), "leader-caught")
+        caught = now if caught is None else caught.unionByName(now)
+        if now.isEmpty():
             break
-        caught = open_.join(fresh.withColumnRenamed("n", "a"), "a", "left_semi").select(F.col("b").alias("n")).distinct()
-        gone = fresh.unionByName(caught)
-        rest = open_.join(gone.withColumnRenamed("n", "a"), "a", "left_anti").join(gone.withColumnRenamed("n", "b"), "b", "left_anti")
-        # A node that loses all its open edges without being caught leads.
-        before = open_.select(F.col("b").alias("n")).distinct()
-        after = rest.select("a").unionByName(rest.select(F.col("b").alias("a"))).distinct().withColumnRenamed("a", "n")
-        freed = saved(before.join(gone, "n", "left_anti").join(after, "n", "left_anti"), "leaders")
-        leaders = leaders.unionByName(freed)
-        open_ = saved(rest, "leader-edges")
-    held = saved(leaders.distinct().withColumnRenamed("n", "a"), "leaders")
-    joined = edges.join(held, "a").groupBy("b").agg(F.min("a").alias("leader"))
-    return joined.join(held.withColumnRenamed("a", "b"), "b", "left_anti").select(F.col("b").alias("node"), "leader")
+        open_ = saved(open_.join(now, "b", "left_anti").join(now.withColumnRenamed("b", "a"), "a", "left_anti"), "leader-edges")
+    led = edges.join(caught.withColumnRenamed("b", "a"), "a", "left_anti").join(caught, "b", "left_semi")
+    return led.groupBy("b").agg(F.min("a").alias("leader")).withColumnRenamed("b", "node")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import trim_ws
+
 
 def inverted_index_text(index: Column) -> Column:
     """Text of a map word -> positions: pairs in order of (position, word)."""
@@ -114,7 +116,7 @@ def wos_citations(v: Column) -> Column:
 
 def label_json(reply: Column) -> Column:
     """A model's reply without a code fence around it."""
-    s = F.trim(reply)
+    s = trim_ws(reply)
     opened = F.regexp_replace(s, "^```[^\n]*\n", "")
     closed = F.when(s.startswith("```"), F.regexp_replace(opened, "```$", "")).otherwise(s)
-    return F.trim(closed)
+    return trim_ws(closed)

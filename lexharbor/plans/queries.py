@@ -500,7 +500,7 @@ def bibtex_keys(spark, sf):
     return bibtex.with_keys(r, "ord").select("ord", "bib_key")
 
 
-@query("SELECT lang AS source, 'q' || (doc_id % 10) AS query, count(*) AS n, sum(length(text)) AS chars FROM documents GROUP BY 1, 2")
+@query("SELECT lang AS source, 'q' || (doc_id % 10) AS query, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM documents GROUP BY 1, 2")
 def raw_archive_roundtrip(spark, sf):
     """Raw payloads written as compressed Parquet, verified, and read back."""
     d = R.table(spark, sf, "documents").select(F.col("lang").alias("source"), F.concat(F.lit("q"), (F.col("doc_id") % 10).cast("string")).alias("query"), F.col("text").alias("payload_json"))

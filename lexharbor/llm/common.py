@@ -117,6 +117,7 @@ def dense_index(df: DataFrame, order: list, tag: str, out: str = "idx") -> DataF
     """
     spark = df.sparkSession
     path = scratch(spark, tag)
+    df = settle(df, f"{tag}-input")  # sampling the ranges would compute the input a second time
     (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)

@@ -114,7 +114,7 @@ def cached_abstracts(raw: DataFrame) -> DataFrame:
         paths = JSON_SOURCES[source][0] if source in JSON_SOURCES else ("records", "")
         rec = payload_records(raw.where(F.col("source") == source), (*paths, "docs") if source in ("hal", "theses_fr") else paths)
         key, abstract = pick(F.col("rec"))
-        one = rec.select(F.trim(key).alias("key"), F.trim(abstract).alias("text"), F.struct(F.col("source"), F.col("query")).alias("_o")).where("key <> '' and text <> ''")
+        one = rec.select(F.trim(key).alias("key"), F.trim(abstract).alias("text"), F.struct("source", "query", "pos").alias("_o")).where("key <> '' and text <> ''")
         out = one if out is None else out.unionByName(one)
     return out.groupBy("key").agg(F.min_by("text", "_o").alias("text"))
 

@@ -8,6 +8,7 @@ from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..schema import RECORD
 
@@ -169,13 +170,19 @@ def parse_scielo(page: str) -> list[dict]:
 
 
 def _scan(raw: DataFrame, parse) -> DataFrame:
+    """Records of pages, with the query and the place on its page."""
+    schema = StructType([*RECORD.fields, StructField("query", StringType()), StructField("pos", IntegerType())])
+
     def run(batches):
         for pdf in batches:
-            rows = [r for payload in pdf["payload_json"] if isinstance(payload, str) for r in parse(_page(payload))]
-            out = pd.DataFrame(rows, columns=RECORD.names)
-            yield out.astype({"publication_year": "Int32", "cited_by_count": "Int32"})
-
-    return raw.select("payload_json").mapInPandas(run, RECORD)
+            rows = []
+            for query, payload in zip(pdf["query"], pdf["payload_json"], strict=True):
+                if isinstance(payload, str):
+                    rows += [r | {"query": query, "pos": i} for i, r in enumerate(parse(_page(payload)))]
+            out = pd.DataFrame(rows, columns=schema.names)
+            yield out.astype({"publication_year": "Int32", "cited_by_count": "Int32", "pos": "Int32"})
+
+    return raw.select("query", "payload_json").mapInPandas(run, schema)
 
 
 def base_records(raw: DataFrame) -> DataFrame:

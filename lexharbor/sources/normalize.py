@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import nested as N
 from ..functions import text as T
+from ..operators.ranking import global_rank
 from ..schema import RECORD
 from . import html_scan
 
@@ -162,24 +163,29 @@ DEFAULT_SOURCES = ("openalex", "semantic_scholar", "wos_expanded", "hal", "these
 
 
 def payload_records(raw: DataFrame, paths: tuple[str, ...]) -> DataFrame:
-    """(query, rec): the records of JSON payloads, at the first path that holds some."""
+    """(source, query, pos, rec): the records of JSON payloads, at the first path that holds some."""
     v = F.col("_v")
-    lists = [F.when(F.size(N.as_list(v, p)) > 0, F.try_variant_get(v, f"$.{p}" if p else "$", "array<variant>") if not p else N.as_list(v, p)) for p in paths]
-    return raw.withColumn("_v", N.variant(F.col("payload_json"))).select("source", "query", F.explode(F.coalesce(*lists)).alias("rec"))
+    lists = [F.when(F.size(N.as_list(v, p)) > 0, F.try_variant_get(v, "$", "array<variant>") if not p else N.as_list(v, p)) for p in paths]
+    return raw.withColumn("_v", N.variant(F.col("payload_json"))).select("source", "query", F.posexplode(F.coalesce(*lists)).alias("pos", "rec"))
 
 
-def normalize(raw: DataFrame, source: str) -> DataFrame:
-    """Records of one source's raw responses."""
+def _ordered(raw: DataFrame, source: str) -> DataFrame:
+    """Records of one source's raw responses, with the query and the place in its response."""
     own = raw.where(F.col("source") == source)
     if source in PAGE_SOURCES:
         return PAGE_SOURCES[source](own)
     paths, fields, titled = JSON_SOURCES[source]
     rec = payload_records(own, paths)
     cols = fields(F.col("rec")) | {"raw": F.substring(F.to_json("rec"), 1, RAW_CHARS), "source_database": F.lit(source)}
-    out = rec.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in RECORD.fields])
+    out = rec.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in RECORD.fields], "query", "pos")
     return out.where("title is not null") if titled else out
 
 
+def normalize(raw: DataFrame, source: str) -> DataFrame:
+    """Records of one source's raw responses."""
+    return _ordered(raw, source).select(*RECORD.names)
+
+
 def resolve_sources(wanted: str | None, known) -> list[str]:
     """Source keys of a comma-separated argument; unknown ones raise."""
     if not wanted:
@@ -190,15 +196,19 @@ def resolve_sources(wanted: str | None, known) -> list[str]:
     return keys
 
 
-def harvest(raw: DataFrame, sources: list[str]) -> DataFrame:
-    """All sources' records, with ``ord`` in source order; a source's repeated ids are dropped where it asks for it."""
+def harvest(raw: DataFrame, sources: list[str], queries: list[str] | None = None) -> DataFrame:
+    """All sources' records; ``ord`` counts by source, query (as listed, then by name) and place in the response.
+
+    A source that repeats an identifier over its queries keeps the first, where it asks for that.
+    """
+    place = F.array_position(F.array(*[F.lit(q) for q in queries]), F.col("query")) if queries else F.lit(0)
+    by = ["_s", "_q", "query", "pos", "id", "title"]
     parts = []
     for i, s in enumerate(sources):
-        part = normalize(raw, s).withColumn("_s", F.lit(i))
+        part = _ordered(raw, s).withColumn("_s", F.lit(i)).withColumn("_q", F.when(place > 0, place).otherwise(1 << 30))
         if s == "openalex":
-            part = part.where("id is null").unionByName(part.where("id is not null").dropDuplicates(["id"]))
+            first = Window.partitionBy("id").orderBy(*by[1:])
+            once = part.where("id is not null").withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+            part = part.where("id is null").unionByName(once)
         parts.append(part)
-    out = reduce(DataFrame.unionByName, parts)
-    # Unique and ascending by source; hashes place the rows of one source.
-    order = F.shiftleft(F.col("_s").cast("long"), 56) + F.shiftrightunsigned(F.xxhash64("source_database", "id", "doi", "title", "raw"), 8)
-    return out.withColumn("ord", order).drop("_s")
+    return global_rank(reduce(DataFrame.unionByName, parts), [F.col(c) for c in by], "ord").drop("_s", "_q", "query", "pos")

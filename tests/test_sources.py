@@ -149,3 +149,11 @@ def test_many_repeats_of_a_key(spark):
     df = spark.range(300).selectExpr("id as ord", "'Doe, J' as authors", "2001 as year", "2001 as publication_year", "'x' as title")
     got = {r[0]: r[1] for r in with_keys(df, "ord").select("ord", "bib_key").collect()}
     assert got[0] == "doe2001x" and got[1] == "doe2001xa" and got[27] == "doe2001x{" and got[299] == "doe2001x" + chr(96 + 299)
+
+
+def test_harvest_order_follows_sources_queries_and_places(spark):
+    page = lambda *ids: json.dumps({"results": [{"id": i, "display_name": i} for i in ids]})
+    raw = spark.createDataFrame([("openalex", "b", page("2", "1")), ("openalex", "a", page("3", "2")), ("core", "x", '{"results": [{"id": 9, "title": "T"}]}')], "source string, query string, payload_json string")
+    in_order = lambda df: [r["id"] for r in df.orderBy("ord").collect()]
+    assert in_order(normalize.harvest(raw, ["openalex", "core"])) == ["3", "2", "1", "core:9"]
+    assert in_order(normalize.harvest(raw, ["core", "openalex"], ["b", "a"])) == ["core:9", "2", "1", "3"]

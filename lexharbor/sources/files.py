@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,8 @@ from .normalize import JSON_SOURCES, payload_records
 # Tags that are kept, tags with a value on each line, publication types.
 KEPT_TAGS = ("PT", "AU", "AF", "TI", "SO", "AB", "DI", "PY", "PD", "TC", "UT", "VL", "IS", "BP", "EP", "AR", "DT", "LA")
 LIST_TAGS = ("AU", "AF", "C1", "RP", "EM", "OI", "RI")
+#: Two capitals or digits, not digits only, and a blank; the end mark of a file is no tag.
+_TAG_LINE = re.compile(r"(?!EF)(?=\d?[A-Z])([A-Z0-9]{2}) ")
 PUBLICATION_TYPE = {"J": "article", "B": "book", "S": "series", "C": "proceedings"}
 
 
@@ -22,16 +26,12 @@ def parse_tagged(record: str) -> dict[str, list[str]]:
     out: dict[str, list[str]] = {}
     tag = None
     for line in record.split("\n"):
-        line = line.rstrip("\r")
-        head = line[:2]
-        if not line or line.startswith("EF"):
-            continue
-        if line[2:3] == " " and head.isalnum() and head.isupper():
-            tag = head if head in KEPT_TAGS else None
-            if tag:
-                out[tag] = [line[3:]]
-        elif line.startswith("   ") and tag:
-            out[tag] = out[tag] + [line[3:]] if tag in LIST_TAGS else [f"{out[tag][0]} {line[3:]}".strip()]
+        opens, value = _TAG_LINE.match(line), line[3:].rstrip("\r")
+        if opens:
+            tag = opens[1] if opens[1] in KEPT_TAGS else None
+            out |= {tag: [value]} if tag else {}
+        elif tag and line.startswith("   "):
+            out[tag] = [*out[tag], value] if tag in LIST_TAGS else [" ".join([*out[tag], value]).strip()]
     return out
 
 

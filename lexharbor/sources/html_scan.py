@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
@@ -20,6 +21,10 @@ COLLECTION_LANGUAGE = {
 }
 
 
+#: The collection at the end of an identifier; the links that follow a journal's name.
+_COLLECTION, _PAGE_LINKS = re.compile("-[^-]*$"), re.compile(" Métricas| Sobre")
+
+
 class Node:
     """An element with its attributes, children and text pieces."""
 
@@ -158,12 +163,12 @@ def parse_scielo(page: str) -> list[dict]:
             txt = line.text(" ")
             words = txt.split()
             if not journal and "," in txt and len(txt) < 200 and words and words[0].isalpha():
-                journal = txt.split(" Métricas")[0].split(" Sobre")[0]
+                journal = _PAGE_LINKS.split(txt)[0]
             year = _year(words, 1900, 2100)
             if year:
                 break
         out.append(_record(
-            "scielo", id=f"scielo:{pid}", title=title.text(), publication_year=year, language=COLLECTION_LANGUAGE.get(pid.rsplit("-", 1)[-1] if "-" in pid else ""), type="article",
+            "scielo", id=f"scielo:{pid}", title=title.text(), publication_year=year, language=COLLECTION_LANGUAGE.get((_COLLECTION.search(pid) or [""])[0].lstrip("-")), type="article",
             authors=people.text(" ") if people else "", source_journal_or_publisher=journal or "SciELO", open_access_url=link.attrs.get("href") if link else None,
         ))
     return out

@@ -256,6 +256,33 @@ def test_paraphrases_are_found(spark):
     assert got == {(1000 + k, k) for k in range(12)}
 
 
+def test_items_that_the_latent_space_lacks_are_found(spark):
+    """With more items than latent directions, the space leaves the short ones out; an exact search finds them."""
+    rng = np.random.default_rng(9)
+    words = [f"{a}{b}{c}" for a in "bcdfgklm" for b in "aeiou" for c in "nrst"]
+    say = lambda n: [words[i] + words[j] for i, j in rng.integers(0, len(words), size=(n, 2))]
+    items = [say(8) for _ in range(20)] + [say(32) for _ in range(150)]
+    rows = [(i, " ".join(say(150))) for i in range(20)] + [(100 + k, " ".join([*say(70), *items[k], *say(70)])) for k in range(20)]
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    got = {(r["id"], r["item_id"]) for r in decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert got == {(100 + k, k) for k in range(20)}
+
+
+def test_rare_words_miss_no_place(monkeypatch):
+    rng = np.random.default_rng(4)
+    vocabulary = rng.integers(1, 1 << 62, size=300).astype(np.uint64)
+    say = lambda n: vocabulary[(300 * rng.random(n) ** 3).astype(int)]
+    weights = rng.random(decontaminate.TERMS).astype(np.float32) + np.float32(0.01)
+    items = [say(n) for n in (1, 3, 7, 9, 20, 33, 60, 150)]
+    texts = [say(n) for n in (0, 1, 15, 33, 700)] + [np.concatenate([say(40), w[rng.random(len(w)) < 0.8], say(40)]) for w in items]
+    every = {(t, k, f) for t, w in enumerate(texts) for k, item in enumerate(items) for f in range(0, max(1, -(-len(w) // 16) - 1) * 16, 16) if decontaminate.judge(w, item, f, weights)}
+    for pairs, stretch in ((1 << 20, 1 << 15), (50, 64)):
+        monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+        monkeypatch.setattr(decontaminate, "STRETCH", stretch)
+        found = {(t, k, f) for t, k, places in decontaminate.RareWords(items, weights).places(texts) for f in places}
+        assert every <= found and every
+
+
 def test_common_subsequence():
     a = lambda *x: np.array(x, dtype=np.uint64)
     assert decontaminate.common_subsequence(a(1, 2, 3, 4), a(2, 9, 4, 1, 3)) == 2

@@ -4,9 +4,9 @@ Language identification rejects documents in no learned language; near duplicate
 shingles, similarity 0.8) leave the smallest identifier of each group; documents that leak a
 benchmark item go; sources are mixed to their target weights; the mix is packed into 24 shards.
 
-A document that the mix takes twice is two rows from there on.  Rows with a null ``doc_id`` are kept
-by the near-duplicate stage and by decontamination, and mixed like all others; identifiers are
-expected to name one text each.
+A document that the mix takes twice is two rows from there on.  Rows with a null ``doc_id`` get keys of
+their own where rows are judged, above all identifiers, so they go as near copies and leaks like all
+others; identifiers are expected to name one text each.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexharbor.llm import decontaminate, langid, mixing, near_dedup, packing
-from lexharbor.llm.common import scratch, settle, with_membership, without
+from lexharbor.llm.common import dense_index, scratch, settle, with_membership, without
 
 SHARDS = 24
 
@@ -25,11 +25,23 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_known_language(docs)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_key``: ``doc_id``, or a number of its own above all identifiers where that is null."""
+    named = docs.where("doc_id is not null").withColumn("_key", F.col("doc_id").cast("long"))
+    nameless = docs.where("doc_id is null")
+    if nameless.isEmpty():
+        return named
+    top = named.agg(F.max("_key")).first()[0]
+    nameless = dense_index(nameless, [F.col("text")], "nameless", "_key")
+    return named.unionByName(nameless.withColumn("_key", F.col("_key") + F.lit(0 if top is None else top + 1).cast("long")))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest identifier."""
-    found = near_dedup.near_duplicates(docs, words=5, percent=80)
+    rows = keyed(docs)
+    found = near_dedup.near_duplicates(rows, words=5, percent=80, id_col="_key")
     gone = found.where(F.col("component").isNotNull() & (F.col("id") != F.col("component"))).select("id")
-    kept = without(docs, "doc_id", gone, "id")
+    kept = without(rows, "_key", gone, "id").select(*docs.columns)
     # Rows that repeat an identifier and its text are one document.
     twice = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null").select(F.col("doc_id").alias("_id"))
     twice = settle(twice, "repeated-ids")
@@ -41,8 +53,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a confirmed passage of the benchmark."""
-    leaks = decontaminate.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return without(docs, "doc_id", leaks, "id")
+    rows = keyed(docs)
+    leaks = decontaminate.find_leaks(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_key")
+    return without(rows, "_key", leaks, "id").select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -334,3 +334,13 @@ def test_pipeline_stages(spark, odd, none, sf):
     assert P.sharding(spark, docs, sf).count() == docs.count()
     for name, stage in P.STAGES:
         assert stage(spark, none, sf).count() == 0, name
+
+
+def test_pipeline_judges_rows_without_identifier(spark, sf):
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").first()["text"]
+    other = "Der Hund lief durch den Wald und sah die Katze, dann kam er nach Hause."
+    rows = [(1, other), (None, other), (None, f"Here it is. {item} That was it."), (None, "Quite another text of its own."), (None, "Quite another text of its own.")]
+    docs = common.settle(spark.createDataFrame(rows, "doc_id long, text string"), "nameless-test")
+    near = common.settle(P.near_duplicates(spark, docs, sf), "nameless-near")
+    assert sorted(map(str, near.collect())) == sorted(map(str, spark.createDataFrame([rows[0], rows[2], rows[3]], docs.schema).collect()))
+    assert {tuple(r) for r in P.decontamination(spark, near, sf).collect()} == {rows[0], rows[3]}

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,20 +23,45 @@ ARROW_ROWS, ARROW_BYTES = 512, "8m"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder; a private one is set only where none is configured."""
+    """The cluster's shared folder; a private one is set only on a local master without any."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = held.get() if held.isDefined() else None
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="lexharbor-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+#: Paths written inside each open ``scratch_scope``.
+_scopes: list[list[str]] = []
+
+
 def scratch(spark: SparkSession, tag: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_root(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{tag}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what operators wrote inside: put it around an action that needs their results no more."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            _delete(spark, path)
 
 
 def settle(df: DataFrame, tag: str) -> DataFrame:
@@ -42,7 +69,15 @@ def settle(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._scratch = path
+    return back
+
+
+def discard(*settled: DataFrame) -> None:
+    """Delete settled tables of which nothing that is still to be computed reads."""
+    for df in settled:
+        _delete(df.sparkSession, df._scratch)
 
 
 def tune(spark: SparkSession) -> None:
@@ -108,12 +143,45 @@ def without(rows: DataFrame, key: str, gone: DataFrame, gone_col: str) -> DataFr
     return judged.where("not _maybe").unionByName(rest).select(*rows.columns)
 
 
+# ---------------------------------------------------------------- joins with hot keys
+#: Rows of one key that one task may get whatever the input is, and keys that may be dealt over tasks.
+SHARE_ROWS, HOT_KEYS = 256, 1 << 16
+
+
+def share_limit(total: int) -> int:
+    """Rows beyond which a key is dealt over shares; fewer than HOT_KEYS keys can have more."""
+    return max(SHARE_ROWS, total // HOT_KEYS)
+
+
+def with_shares(rows: DataFrame, sizes: DataFrame, key: str, count: str, salt: str, total: int) -> DataFrame:
+    """Add ``_share``: rows of a hot key are dealt by ``salt`` over shares of SHARE_ROWS, all others are share 0.
+
+    ``sizes`` has one row for each key, with its ``count``.  Only hot keys are broadcast.
+    """
+    hot = sizes.where(F.col(count) > share_limit(total)).select(F.col(key).alias("_hot"), F.ceil(F.col(count) / SHARE_ROWS).alias("_shares"))
+    dealt = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+    return dealt.withColumn("_share", F.coalesce(F.pmod(F.xxhash64(salt), F.col("_shares")), F.lit(0).cast("long"))).drop("_hot", "_shares")
+
+
+def for_shares(table: DataFrame, count: str, total: int) -> DataFrame:
+    """``table`` with a row for each ``_share`` that ``with_shares`` gives its key."""
+    shares = F.when(F.col(count) > share_limit(total), F.ceil(F.col(count) / SHARE_ROWS)).otherwise(1)
+    return table.withColumn("_share", F.explode(F.sequence(F.lit(0).cast("long"), shares.cast("long") - 1)))
+
+
+def spread_join(rows: DataFrame, table: DataFrame, key: str, count: str, salt: str, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``table`` (one row for each ``key``, with its ``count`` in ``rows``); hot keys are spread."""
+    dealt = with_shares(rows, table, key, count, salt, total)
+    return dealt.join(for_shares(table, count, total), [key, "_share"], how).drop("_share")
+
+
 # ---------------------------------------------------------------- global ranks without one task
 def dense_index(df: DataFrame, order: list, tag: str, out: str = "idx") -> DataFrame:
     """``df`` with ``out`` = 0,1,2,... in the given order, written to the shared folder.
 
-    Rows are range-partitioned (ties on the whole order may be split, so no key is too hot), each
-    partition numbers its rows, and only one count per partition reaches the driver.
+    Rows are range-partitioned (equal keys stay in one range, so ``order`` ends with columns that
+    tell rows apart), each partition numbers its rows, and only one count per partition reaches the
+    driver.
     """
     spark = df.sparkSession
     path = scratch(spark, tag)
@@ -124,6 +192,7 @@ def dense_index(df: DataFrame, order: list, tag: str, out: str = "idx") -> DataF
         .withColumn("_m", F.monotonically_increasing_id())
         .write.parquet(path)
     )
+    discard(df)
     back = spark.read.parquet(path)
     part = F.shiftright(F.col("_m"), 33)
     counts = sorted((r[0], r[1]) for r in back.groupBy(part.alias("p")).count().collect())

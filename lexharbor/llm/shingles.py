@@ -1,7 +1,9 @@
-"""Hashes of word shingles of a text, vectorised over its bytes."""
+"""Hashes of words and word shingles, vectorised over the bytes of whole batches."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -10,10 +12,11 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 BREAKS = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += np.uint64(32)
-_MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_BASE, -1, 1 << 64)
 _JOIN = np.uint64(0xD6E8FEB86659FD93)
+#: Bytes that are hashed at once; a longer word is hashed in one go all the same.
+_PIECE = 1 << 19
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -35,27 +38,53 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def word_hashes(text: str, breaks: np.ndarray = _SPACE) -> np.ndarray:
-    """A hash of each word, A-Z lower-cased; words are runs without ``breaks`` (ASCII white space)."""
-    b = np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)
-    if not len(b):
-        return np.zeros(0, np.uint64)
-    inside = np.concatenate([[False], ~breaks[b], [False]])
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
+def batch_words(texts: list, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, bounds): a hash of each word, A-Z lower-cased; those of text i are hashes[bounds[i]:bounds[i + 1]].
+
+    Words are runs without ``breaks`` (ASCII white space); what is no text has none.
+    """
+    raw = [t.encode("utf-8", "replace") if isinstance(t, str) else b"" for t in texts]
+    b = np.frombuffer(b"\n".join([b"", *raw, b""]), dtype=np.uint8)
+    inside = ~breaks[b]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     starts, ends = edges[0::2], edges[1::2]
-    power, inverse = _power_tables(len(b) + 1)
-    total = np.zeros(len(b) + 1, dtype=np.uint64)
-    np.cumsum((_LOWER[b] + np.uint64(1)) * power[: len(b)], out=total[1:])
-    return mix((total[ends] - total[starts]) * inverse[starts])
-
-
-def shingle_set(text: str | None, words: int) -> np.ndarray:
-    """Sorted distinct hashes of the text's shingles; a shorter text is one shingle, none without words."""
-    w = word_hashes(text) if isinstance(text, str) else np.zeros(0, np.uint64)
-    if not len(w):
-        return w
-    k = min(words, len(w))
-    h = np.full(len(w) - k + 1, k, dtype=np.uint64)
+    bounds = np.searchsorted(starts, np.cumsum([1] + [len(r) + 1 for r in raw]))
+    out, first = np.zeros(len(starts), dtype=np.uint64), 0
+    while first < len(starts):
+        at = int(starts[first])
+        last = max(first + 1, int(np.searchsorted(ends, at + _PIECE, side="right")))
+        part = b[at : int(ends[last - 1])]
+        power, inverse = _power_tables(len(part) + 1)
+        total = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum((_LOWER[part] + np.uint64(1)) * power[: len(part)], out=total[1:])
+        s, e = starts[first:last] - at, ends[first:last] - at
+        out[first:last] = mix((total[e] - total[s]) * inverse[s])
+        first = last
+    return out, bounds
+
+
+def word_hashes(text, breaks: np.ndarray = _SPACE) -> np.ndarray:
+    return batch_words([text], breaks)[0]
+
+
+def _joined(w: np.ndarray, k: int) -> np.ndarray:
+    h = np.full(max(len(w) - k + 1, 0), k, dtype=np.uint64)
     for i in range(k):
         h = h * _JOIN + w[i : len(w) - k + 1 + i]
-    return np.unique(mix(h))
+    return mix(h).view(np.int64)
+
+
+def shingle_sets(texts: list, words: int) -> Iterator[np.ndarray]:
+    """Sorted distinct hashes of each text's shingles; a shorter text is one shingle, none without words."""
+    w, bounds = batch_words(texts)
+    every = _joined(w, words)
+    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        if hi - lo >= words:
+            own = np.sort(every[lo : hi - words + 1])
+            yield own[np.concatenate([[True], own[1:] != own[:-1]])]
+        else:
+            yield _joined(w[lo:hi], hi - lo) if hi > lo else np.zeros(0, np.int64)
+
+
+def shingle_set(text, words: int) -> np.ndarray:
+    return next(shingle_sets([text], words))

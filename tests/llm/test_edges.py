@@ -82,7 +82,9 @@ def test_near_duplicates(odd, none, words):
 
 def test_long_lists_are_exact(spark, monkeypatch):
     """A large group of near copies, worked through in small blocks, has the components of brute force."""
-    monkeypatch.setattr(near_dedup, "SHORT_LIST", 3)
+    monkeypatch.setattr(near_dedup, "JOINED_LIST", 3)
+    monkeypatch.setattr(near_dedup, "HUBS", 1)
+    monkeypatch.setattr(common, "SHARE_ROWS", 8)
     monkeypatch.setattr(near_dedup, "BLOCK_CLASSES", 12)
     rng, base = np.random.default_rng(3), [f"t{i}" for i in range(60)]
     texts = []
@@ -109,6 +111,41 @@ def test_long_lists_are_exact(spark, monkeypatch):
     assert got == {i: find(i) for i in range(120)}
 
 
+def test_lists_and_estimate_miss_no_pair_at_the_threshold():
+    """3000 pairs at about 0.8: overlap and estimate let all of them through."""
+    rng, least, missed = np.random.default_rng(8), near_dedup.sampled_overlap(80), 0
+    for _ in range(3000):
+        whole = rng.permutation(np.unique(rng.integers(-(1 << 62), 1 << 62, size=int(rng.integers(80, 400)))))
+        edge = len(whole) // 10
+        a, b = np.sort(whole[edge:]), np.sort(whole[:-edge])
+        s, t = a[: near_dedup.SKETCH], b[: near_dedup.SKETCH]
+        union = np.union1d(s, t)[: near_dedup.SKETCH]
+        guess, size = near_dedup.union_estimates(s, t[None, :])
+        assert size[0] == len(union) and guess[0] == np.isin(union, np.intersect1d(s, t)).mean()
+        missed += len(np.intersect1d(s, t)) < least or guess[0] < near_dedup.least_estimate(size, 80)[0]
+    assert missed == 0 and 30 <= least <= 40
+
+
+def test_overlap_of_whole_sketches_is_no_guess(spark):
+    """The bound for sets that fit into a sketch holds for the worst partner of any size."""
+    k = near_dedup.SKETCH
+    bounds = {r[0]: r[1] for r in spark.range(1, k + 1).select("id", near_dedup.least_overlap(F.col("id"), 80)).collect()}
+    for n, bound in bounds.items():
+        for m in range(1, n * 100 // 80 + 1):
+            for inter in range(1, min(n, m) + 1):
+                if 100 * inter >= 80 * (n + m - inter):
+                    assert bound <= inter - max(0, m - k), (n, m, inter)
+
+
+def test_spread_join_is_a_join(spark, monkeypatch):
+    monkeypatch.setattr(common, "SHARE_ROWS", 4)
+    rows = spark.range(0, 300).select(F.when(F.col("id") < 100, 7).otherwise(F.col("id") % 50).alias("k"), F.col("id").alias("r"))
+    sizes = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    got = common.spread_join(rows, sizes.where("k <> 3"), "k", "n", "r", 300, "left").collect()
+    assert len(got) == 300 and {(r["k"], r["n"]) for r in got} == {(r["k"], r["n"] if r["k"] != 3 else None) for r in sizes.collect()}
+    assert common.spread_join(rows.limit(0), sizes.limit(0), "k", "n", "r", 0).collect() == []
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     got = {r["node"]: r["component"] for r in connected_components(links).collect()}

@@ -48,7 +48,8 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return path
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a path of the shared folder, if it is there."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
@@ -61,7 +62,7 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _scopes.pop():
-            _delete(spark, path)
+            remove_path(spark, path)
 
 
 def settle(df: DataFrame, tag: str) -> DataFrame:
@@ -77,7 +78,7 @@ def settle(df: DataFrame, tag: str) -> DataFrame:
 def discard(*settled: DataFrame) -> None:
     """Delete settled tables of which nothing that is still to be computed reads."""
     for df in settled:
-        _delete(df.sparkSession, df._scratch)
+        remove_path(df.sparkSession, df._scratch)
 
 
 def tune(spark: SparkSession) -> None:

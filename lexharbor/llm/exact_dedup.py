@@ -17,14 +17,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bit_is_set, bit_slot, scratch, settle, squeezed, with_membership
+from .common import bit_is_set, bit_slot, for_shares, scratch, settle, spread_join, squeezed, with_membership, with_shares
 
 #: Filter bits for each digest of the index.
 BITS_PER_KEY = 16
 #: Runs that one ingest flushes; memtables share them.
 RUNS = 8
-#: Rows of one group that meet one copy of its kept text in verification.
-VERIFY_ROWS = 2000
 
 
 def sha256_hex(text: Column) -> Column:
@@ -98,34 +96,34 @@ def exact_dedup(
     index.flush(rows.select("digest", "id"))
     hits = index.compact()
 
-    # The texts of possible hits only; all other rows keep their digest.
-    seen = with_membership(rows, "digest", hits, "digest", "maybe")
-    seen = settle(seen.select("id", "digest", "maybe", F.when(F.col("maybe"), F.col("norm")).alias("norm")), "lsm-rows")
+    # The texts of possible hits only; all other rows keep their digest.  Rows of a hot digest are dealt
+    # over shares before their texts move.
+    total = index.level0().agg(F.sum("n")).first()[0] or 0
+    seen = with_shares(with_membership(rows, "digest", hits, "digest", "maybe"), hits, "digest", "n", "id", total)
+    seen = settle(seen.select("id", "digest", "maybe", "_share", F.when(F.col("maybe"), F.col("norm")).alias("norm")), "lsm-rows")
     single = seen.where(~F.col("maybe")).select("id", "digest", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
 
-    shares = F.ceil(F.col("n") / F.lit(VERIFY_ROWS)).cast("long")
-    found = seen.where("maybe").join(hits, "digest", "left")
-    false_hit = found.where(F.col("n").isNull()).select("id", "digest", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
-    members = found.where(F.col("n").isNotNull()).withColumn("share", F.pmod(F.xxhash64("id"), shares))
-    kept_text = (
-        members.where(F.col("id").eqNullSafe(F.col("keep_id")))
-        .groupBy("digest", "n")
-        .agg(F.min("norm").alias("kept_norm"))
-        .select("digest", "kept_norm", F.explode(F.sequence(F.lit(0).cast("long"), shares - 1)).alias("share"))
-    )
-    judged = members.join(kept_text, ["digest", "share"], "left").withColumn("same", F.col("norm").eqNullSafe(F.col("kept_norm")))
+    # Each hit meets the text of the row that stays.
+    maybe = seen.where("maybe")
+    stays = hits.select(F.col("digest").alias("of"), "keep_id", "n", F.xxhash64("digest", "keep_id").alias("spot"))
+    likely = with_membership(maybe.select("id", "digest", "norm", F.xxhash64("digest", "id").alias("at")), "at", stays, "spot", "stays").where("stays")
+    same_row = (F.col("digest") == F.col("of")) & F.col("id").eqNullSafe(F.col("keep_id"))
+    kept_text = likely.select("id", "digest", "norm").join(stays.drop("spot"), same_row).groupBy("digest", "keep_id", "n").agg(F.min("norm").alias("kept_norm"))
+    judged = maybe.join(for_shares(kept_text, "n", total), ["digest", "_share"], "left").withColumn("same", F.col("norm").eqNullSafe(F.col("kept_norm")))
     judged = settle(
         judged.select("id", "digest", "keep_id", "n", "same", F.when(~F.col("same"), F.col("norm")).alias("norm")), "lsm-judged"
     )
+    false_hit = judged.where("n is null").select("id", "digest", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
+    same = judged.where("n is not null and same")
+    out = single.unionByName(false_hit)
     # Texts that share a digest but not their bytes are classes of their own.
-    other = judged.where(~F.col("same"))
-    classes = other.groupBy("digest", "norm").agg(F.min("id").alias("own_id"), F.count(F.lit(1)).alias("own_n"))
-    apart = other.groupBy("digest").agg(F.count(F.lit(1)).alias("apart"))
-    same = (
-        judged.where("same")
-        .join(apart, "digest", "left")
-        .select("id", "digest", "keep_id", (F.col("n") - F.coalesce("apart", F.lit(0))).alias("group_size"))
-    )
-    rest = other.join(classes, ["digest", "norm"]).select("id", "digest", F.col("own_id").alias("keep_id"), F.col("own_n").alias("group_size"))
-    out = single.unionByName(false_hit).unionByName(same).unionByName(rest)
+    other = judged.where("n is not null and not same")
+    if other.isEmpty():
+        out = out.unionByName(same.select("id", "digest", "keep_id", F.col("n").alias("group_size")))
+    else:
+        classes = other.groupBy("digest", "norm").agg(F.min("id").alias("own_id"), F.count(F.lit(1)).alias("own_n"))
+        apart = other.groupBy("digest").agg(F.count(F.lit(1)).alias("apart"), F.first("n").alias("n"))
+        same = spread_join(same.select("id", "digest", "keep_id", F.col("n").alias("all")), apart, "digest", "n", "id", total, "left")
+        out = out.unionByName(same.select("id", "digest", "keep_id", (F.col("all") - F.coalesce("apart", F.lit(0))).alias("group_size")))
+        out = out.unionByName(other.join(classes, ["digest", "norm"]).select("id", "digest", F.col("own_id").alias("keep_id"), F.col("own_n").alias("group_size")))
     return out.withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id")))

@@ -7,7 +7,8 @@ left spends what then remains (about two longest documents), to the nearest sum
 smallest seeded hashes are taken, so reruns agree.
 
 Defined results: a null source is a source of its own, last; null or blank text has size 0 and is
-taken as 0 words; a source without words has target 0; an empty table gives an empty result.
+taken as 0 words; a source without words has target 0; rows that repeat an identifier, or have none,
+are drawn one by one; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -85,16 +86,18 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
     return taken + np.array([extra.get(x, 0) for x in lengths.tolist()], dtype=np.int64)
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17) -> DataFrame:
-    """(id, source, size, source_size, target, copies, taken) for every document."""
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 17, keep: bool = False) -> DataFrame:
+    """(id, source, size, source_size, target, copies, taken) for every document; with ``keep`` also its row as ``doc``."""
     spark = docs.sparkSession
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.col(source_col).cast("string").alias("source"),
         F.col(source_col).isNull().alias("no_source"),
         F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
-    ).withColumn("draw", F.xxhash64(F.lit(seed), F.col("id")))
-    rows = dense_index(rows, ["no_source", "source", "size", "draw", "id"], "mix-rows")
+        F.xxhash64(F.lit(seed), F.col(text_col)).alias("text_hash"),  # tells rows with one identifier, or none, apart
+        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")] if keep else []),
+    ).withColumn("draw", F.xxhash64(F.lit(seed), F.coalesce("id", "text_hash")))
+    rows = dense_index(rows, ["no_source", "source", "size", "draw", "id", "text_hash"], "mix-rows")
     # One row for each source and length; its documents are neighbours in the index.
     hist = settle(rows.groupBy("no_source", "source", "size").agg(F.count(F.lit(1)).alias("n"), F.min("idx").alias("first")), "mix-hist")
     totals = hist.groupBy("no_source", "source").agg(F.sum(F.col("size") * F.col("n")).alias("words")).collect()
@@ -123,5 +126,5 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return (
         rows.join(plan, same)
         .withColumn("copies", copies.cast("long"))
-        .select("id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+        .select("id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *(["doc"] if keep else []))
     )

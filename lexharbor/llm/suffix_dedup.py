@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle, tune, with_membership
+from .common import discard, settle, spread_join, tune, with_membership
 from .shingles import _power_tables, mix
 
 LENGTH, GRAM = 100, 32
@@ -157,7 +157,7 @@ def _raw(text: str) -> np.ndarray:
 
 
 def _places(o: int, tag: int, first: np.ndarray) -> np.ndarray:
-    """A number for each start in a document."""
+    """A number for each start in a document, for filters only: different starts may share one."""
     return mix(mix(np.array([o, tag], dtype=np.int64).view(np.uint64)).sum(dtype=np.uint64) + first.astype(np.uint64)).view(np.int64)
 
 
@@ -221,12 +221,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # Different texts under one identifier are told apart, and ordered, by the head of their digest.
     rows = rows.withColumn("tag", F.conv(F.substring("sha", 1, 15), 16, 10).cast("long"))
     meta = settle(rows.select("id", "ord", "tag", "sha", F.octet_length("text").cast("long").alias("n_bytes")), "sx-meta")
-    owner = settle(meta.groupBy("sha").agg(F.min("ord").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("sha", "first"), "sx-copies")
+    owner = settle(meta.groupBy("sha").agg(F.min("ord").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "sx-copies")
+    n_rows = meta.count()
 
     # Texts that enter the search: one row for each distinct text.
     judged = with_membership(rows.where(F.octet_length("text") >= LENGTH), "sha", owner, "sha", "maybe").select("ord", "tag", "sha", "text", "maybe")
-    copies = judged.where("maybe").join(owner, "sha", "left").where("first is null or ord = first").select("ord", "tag", "text").dropDuplicates(["ord", "tag"])
-    texts = judged.where("not maybe").select("ord", "tag", "text").unionByName(copies)
+    copies = spread_join(judged.where("maybe"), owner, "sha", "n", "ord", n_rows, "left")
+    copies = copies.where("first is null or ord = first").select("ord", "tag", "text").dropDuplicates(["ord", "tag"])
+    texts = settle(judged.where("not maybe").select("ord", "tag", "text").unionByName(copies), "sx-texts")
 
     def list_anchors(batches):
         for pdf in batches:
@@ -257,38 +259,38 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spot = F.struct("ord", "tag", "first", "place", "key")
     distinct = settle(regions.groupBy("dig").agg(F.min(spot).alias("at"), F.count(F.lit(1)).alias("n")), "sx-distinct")
     # Later occurrences of equal regions: all their strings start earlier in the first one.
-    some = distinct.where("n > 1").select("dig", F.col("at.place").alias("kept_place"))
-    later = regions.select("dig", "ord", "tag", "first", "last", "place").join(some, "dig").where("place <> kept_place")
+    some = distinct.where("n > 1").select("dig", "n", F.struct("at.ord", "at.tag", "at.first").alias("kept"))
+    later = spread_join(regions.select("dig", "ord", "tag", "first", "last", "place"), some, "dig", "n", "place", regions.count())
+    later = later.where(F.struct("ord", "tag", "first") != F.col("kept"))
     later = later.select("ord", "tag", F.col("first").alias("lo"), (F.col("last") + LENGTH).alias("hi"))
 
     # Anchors with several distinct regions: suffix arrays over the bytes of their first occurrences.
     busy = distinct.groupBy(F.col("at.key").alias("key")).agg(F.count(F.lit(1)).alias("d")).where("d > 1")
-    work = settle(distinct.select("dig", "at.*").join(busy, "key"), "sx-work")
+    work = settle(spread_join(distinct.select("dig", "at.*"), busy, "key", "d", "dig", distinct.count()), "sx-work")
     held_work = spark.sparkContext.broadcast(_filter_bits(work, "place"))
 
     def cut_regions(batches):
         bits = held_work.value
         for pdf in batches:
-            places, cut = [], []
+            spots, cut = [], []
             for o, tag, text in zip(pdf["ord"].tolist(), pdf["tag"].tolist(), pdf["text"], strict=True):
                 b = _raw(text)
                 _, first, last = anchors(b)
-                place = _places(o, tag, first)
-                k = np.flatnonzero(_in_filter(bits, place))
+                k = np.flatnonzero(_in_filter(bits, _places(o, tag, first)))
                 if len(k):
                     raw = b.tobytes()
-                    places.append(place[k])
+                    spots.append((np.full(len(k), o), np.full(len(k), tag), first[k]))
                     cut += [raw[x : y + LENGTH] for x, y in zip(first[k].tolist(), last[k].tolist(), strict=True)]
             if cut:
-                yield pd.DataFrame({"place": np.concatenate(places), "region": cut})
+                yield pd.DataFrame(dict(zip(("ord", "tag", "first"), map(np.concatenate, zip(*spots, strict=True)), strict=True)) | {"region": cut})
 
     size = work.count()
     shards = int(size * (LENGTH + 40) // shard_bytes) + 1
     split = F.ceil(F.col("d") / F.lit(hot_regions)).cast("int")  # 1: the anchor is not hot
     hot = F.col("d") > hot_regions
     shard = F.when(hot, F.concat_ws(":", F.col("key"), F.pmod(F.xxhash64("dig"), split))).otherwise(F.pmod(F.xxhash64("key"), F.lit(shards)).cast("string"))
-    work = work.select("place", "ord", "tag", "first", hot.alias("hot"), shard.alias("shard"))
-    work = texts.mapInPandas(cut_regions, "place long, region binary").join(work, "place").select("ord", "tag", "first", "region", "hot", "shard")
+    placed = work.select("ord", "tag", "first", hot.alias("hot"), shard.alias("shard"))
+    cut_out = texts.mapInPandas(cut_regions, "ord long, tag long, first long, region binary").join(placed, ["ord", "tag", "first"])
 
     parts = max(1, size // hot_regions) * 4
     ranges = "ord long, tag long, lo long, hi long"
@@ -312,7 +314,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         out = pd.DataFrame(rows, columns=["ord", "tag", "lo", "hi", "part", "strings", "ords", "tags", "los"], dtype=object)
         return out.astype({c: "Int64" for c in ("ord", "tag", "lo", "hi", "part")})
 
-    found = settle(work.groupBy("shard").applyInPandas(build, f"{ranges}, {runs}"), "sx-found")
+    found = settle(cut_out.groupBy("shard").applyInPandas(build, f"{ranges}, {runs}"), "sx-found")
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         """Merge sorted runs one by one: binary search tells which strings an earlier run has."""
@@ -339,6 +341,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     crossed = found.where("part is not null").groupBy("part").applyInPandas(merge, ranges)
     cover = later.unionByName(found.where("part is null").select("ord", "tag", "lo", "hi")).unionByName(crossed)
     cover = settle(cover.groupBy("ord", "tag").agg(F.collect_list(F.struct("lo", "hi")).alias("cover")), "sx-cover")
+    discard(texts, regions, distinct, work, found)
 
     def cut(batches):
         for pdf in batches:
@@ -363,7 +366,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     touched = touched.mapInPandas(cut, f"ord long, tag long, n_removed long, n_spans long, kept_sha256 string, spans {spans}, kept string")
     copy = F.col("first").isNotNull() & (F.col("ord") != F.col("first")) & (F.col("n_bytes") >= LENGTH)
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
-    out = meta.join(owner, "sha", "left").join(touched, ["ord", "tag"], "left")
+    out = spread_join(meta, owner, "sha", "n", "ord", n_rows, "left").join(touched, ["ord", "tag"], "left")
     return out.select(
         "id",
         "n_bytes",

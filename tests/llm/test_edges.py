@@ -165,6 +165,30 @@ def test_suffix_dedup(spark, none):
     assert suffix_dedup.remove_repeats(none).collect() == []
 
 
+@pytest.mark.parametrize("hot_regions", [1, 3])
+def test_hot_anchors_are_merged_by_search(spark, hot_regions):
+    """Texts that share a passage with changes, one region a shard or few: the bytes of brute force, clashing columns or not."""
+    rng = np.random.default_rng(6)
+    passage = "".join(chr(97 + c) for c in rng.integers(0, 26, size=400))
+    rows = []
+    for i in range(60):
+        p = list(passage)
+        for k in rng.integers(0, 400, size=int(rng.integers(0, 3))):
+            p[k] = "#"
+        rows.append((i, "".join(chr(65 + c) for c in rng.integers(0, 26, size=30)) + "".join(p[: int(rng.integers(150, 401))])))
+    seen, want = set(), {}
+    for i, t in rows:
+        cover = np.zeros(len(t), bool)
+        for s in range(len(t) - 99):
+            if t[s : s + 100] in seen:
+                cover[s : s + 100] = True
+            seen.add(t[s : s + 100])
+        want[i] = (int(cover.sum()), int((np.diff(np.concatenate([[0], cover.view(np.int8)])) == 1).sum()))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("ord", "tag", "sha", "first", "key", "place", "hot")})
+    got = {r["id"]: (r["n_removed"], r["n_spans"]) for r in suffix_dedup.remove_repeats(docs, hot_regions=hot_regions, shard_bytes=2000).collect()}
+    assert got == want and sum(v[0] for v in want.values())
+
+
 def test_suffix_array_and_prefixes():
     rng = np.random.default_rng(0)
     regions = [bytes(rng.integers(97, 99, size=n).astype(np.uint8)) for n in (40, 1, 25, 60)]
@@ -193,6 +217,18 @@ def test_packing(odd, none):
     assert packing.shard_documents(none).collect() == []
 
 
+def test_fixed_capacity(spark, none):
+    rows = spark.createDataFrame([(f"g{i % 40}", 1 + i % 7) for i in range(200)], "grp string, size long")
+    got = packing.fixed_capacity_shards(rows, 60).collect()
+    want = {r["grp"]: (r["b"], r["n"]) for r in rows.groupBy("grp").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).collect()}
+    assert {r["grp"]: (r["g_bytes"], r["n"]) for r in got} == want
+    load = {}
+    for r in got:
+        load[r["shard"]] = load.get(r["shard"], 0) + r["g_bytes"]
+    assert max(load.values()) <= 60 and len(load) == packing.pack(*map(list, zip(*sorted(((b, 1) for b, _ in want.values()), reverse=True), strict=True)), 60)[1]
+    assert packing.fixed_capacity_shards(rows.limit(0), 60).collect() == []
+
+
 def test_best_fit_decreasing():
     assert packing.pack([6, 5, 4, 3, 2], [1, 1, 1, 1, 1], 10)[1] == 2
     assert packing.pack([5], [7], 10)[1] == 4
@@ -373,11 +409,37 @@ def test_pipeline_stages(spark, odd, none, sf):
         assert stage(spark, none, sf).count() == 0, name
 
 
-def test_pipeline_judges_rows_without_identifier(spark, sf):
+def test_pipeline_judges_rows_one_by_one(spark, sf):
+    """Null and repeated identifiers: copies and leaks go, and nothing goes with them."""
     item = spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").first()["text"]
     other = "Der Hund lief durch den Wald und sah die Katze, dann kam er nach Hause."
-    rows = [(1, other), (None, other), (None, f"Here it is. {item} That was it."), (None, "Quite another text of its own."), (None, "Quite another text of its own.")]
+    rows = [(1, other), (None, other), (None, f"Here it is. {item} That was it."), (None, "Quite another text of its own."), (None, "Quite another text of its own."),
+            (2, f"And here as well: {item}"), (2, "A text that only shares its number with a leak."), (3, "Said twice under one number."), (3, "Said twice under one number.")]
     docs = common.settle(spark.createDataFrame(rows, "doc_id long, text string"), "nameless-test")
     near = common.settle(P.near_duplicates(spark, docs, sf), "nameless-near")
-    assert sorted(map(str, near.collect())) == sorted(map(str, spark.createDataFrame([rows[0], rows[2], rows[3]], docs.schema).collect()))
-    assert {tuple(r) for r in P.decontamination(spark, near, sf).collect()} == {rows[0], rows[3]}
+    assert sorted(map(str, near.collect())) == sorted(map(str, spark.createDataFrame([rows[i] for i in (0, 2, 3, 5, 6, 7)], docs.schema).collect()))
+    assert {tuple(r) for r in P.decontamination(spark, near, sf).collect()} == {rows[i] for i in (0, 3, 6, 7)}
+
+
+def test_mixture_takes_what_the_mix_grants(spark, sf):
+    """Partly taken sources of rows without, or with repeated, identifiers of equal lengths."""
+    rows = [(None, f"one two three number {s} {i}", s) for s in "bc" for i in range(40)]
+    rows += [(7, f"four five six number d {i}", "d") for i in range(41)] + [(i, "one two three four five six", "a") for i in range(30)] + [(None, None, None), (9, "x", None)]
+    docs = common.settle(spark.createDataFrame(rows, "doc_id long, text string, source string"), "mixture-test")
+    granted = {r["source"]: r["n"] for r in mixing.mix_sources(docs).groupBy("source").agg(F.sum("copies").alias("n")).collect() if r["n"]}
+    got = P.mixture(spark, docs, sf)
+    assert got.columns == docs.columns
+    assert {r["source"]: r["count"] for r in got.groupBy("source").count().collect()} == granted
+    assert got.groupBy("text", "doc_id").count().where("text like '%number%' and count > 2").isEmpty()
+
+
+def test_scratch_is_deleted(spark, tmp_path):
+    import os
+
+    with common.scratch_scope(spark):
+        held = common.settle(spark.range(5), "scope-test")._scratch
+        assert os.path.isdir(held.removeprefix("file:"))
+    assert not os.path.isdir(held.removeprefix("file:"))
+    kept = common.settle(spark.range(5), "discard-test")
+    common.discard(kept)
+    assert not os.path.isdir(kept._scratch.removeprefix("file:"))

@@ -4,76 +4,16 @@ Language identification rejects documents in no learned language; near duplicate
 shingles, similarity 0.8) leave the smallest identifier of each group; documents that leak a
 benchmark item go; sources are mixed to their target weights; the mix is packed into 24 shards.
 
-A document that the mix takes twice is two rows from there on.  Rows with a null ``doc_id`` get keys of
-their own where rows are judged, above all identifiers, so they go as near copies and leaks like all
-others; identifiers are expected to name one text each.
+A document that the mix takes twice is two rows from there on.  What each stage does with nulls,
+repeated rows and other odd input is stated in ``lexharbor/llm/stages.py``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from lexharbor.llm import decontaminate, langid, mixing, near_dedup, packing
-from lexharbor.llm.common import dense_index, scratch, settle, with_membership, without
-
-SHARDS = 24
-
-
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows in a learned language; ``und`` and texts that no language foresees go."""
-    return langid.keep_known_language(docs)
-
-
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_key``: ``doc_id``, or a number of its own above all identifiers where that is null."""
-    named = docs.where("doc_id is not null").withColumn("_key", F.col("doc_id").cast("long"))
-    nameless = docs.where("doc_id is null")
-    if nameless.isEmpty():
-        return named
-    top = named.agg(F.max("_key")).first()[0]
-    nameless = dense_index(nameless, [F.col("text")], "nameless", "_key")
-    return named.unionByName(nameless.withColumn("_key", F.col("_key") + F.lit(0 if top is None else top + 1).cast("long")))
-
-
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest identifier."""
-    rows = keyed(docs)
-    found = near_dedup.near_duplicates(rows, words=5, percent=80, id_col="_key")
-    gone = found.where(F.col("component").isNotNull() & (F.col("id") != F.col("component"))).select("id")
-    kept = without(rows, "_key", gone, "id").select(*docs.columns)
-    # Rows that repeat an identifier and its text are one document.
-    twice = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null").select(F.col("doc_id").alias("_id"))
-    twice = settle(twice, "repeated-ids")
-    if twice.isEmpty():
-        return kept
-    again = with_membership(kept, "doc_id", twice, "_id", "_maybe")
-    return again.where("not _maybe").unionByName(again.where("_maybe").dropDuplicates(["doc_id", "text"])).select(*docs.columns)
-
-
-def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a confirmed passage of the benchmark."""
-    rows = keyed(docs)
-    leaks = decontaminate.find_leaks(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_key")
-    return without(rows, "_key", leaks, "id").select(*docs.columns)
-
-
-def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the mix takes, as often as it takes them (once or twice)."""
-    mixed = mixing.mix_sources(docs).where("copies > 0").select(
-        F.col("id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_words"), F.col("copies").alias("_copies")
-    ).distinct()
-    rows = docs.withColumn("_size", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(mixing.WORD)).cast("long"))
-    same = rows["doc_id"].eqNullSafe(mixed["_id"]) & rows["source"].eqNullSafe(mixed["_source"]) & (rows["_size"] == mixed["_words"])
-    taken = rows.join(mixed, same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return taken.select(*[docs[c] for c in docs.columns])
-
-
-def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, size, text_crc32, shard, slot) of every row of the mix."""
-    out = packing.shard_documents(docs, SHARDS)
-    return out.select(F.col("id").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), "shard", "slot")
 
+from lexharbor.llm.common import remove_path, scratch, scratch_scope
+from lexharbor.llm.stages import decontamination, language, mixture, near_duplicates, sharding
 
 STAGES = [
     ("language", language),
@@ -88,10 +28,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; only the last one's table is left in the shared folder."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove_path(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

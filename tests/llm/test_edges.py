@@ -356,6 +356,34 @@ def test_rare_words_miss_no_place(monkeypatch):
         assert every <= found and every
 
 
+def test_passages_are_windows_of_two_blocks(monkeypatch):
+    rng = np.random.default_rng(2)
+    latent = np.concatenate([rng.standard_normal((decontaminate.TERMS, 3)), np.zeros((1, 3))])
+    texts = [rng.integers(1, 1 << 62, size=n).astype(np.uint64) for n in (0, 1, 16, 17, 32, 33, 0, 200, 5)]
+    want = {(t, a): latent[decontaminate.terms_of(w[a:b])].sum(axis=0) for t, w in enumerate(texts) for a, b in decontaminate.windows(len(w))}
+    for stretch, summed in ((1 << 15, 64), (16, 1), (48, 2)):
+        monkeypatch.setattr(decontaminate, "STRETCH", stretch)
+        monkeypatch.setattr(decontaminate, "SUMMED", summed)
+        p, got = decontaminate.Passages(texts), {}
+        for blocks, vectors in p.stretches(latent):
+            for b, v in zip(blocks.tolist(), vectors, strict=True):
+                t = int(np.searchsorted(p.start, b, side="right")) - 1
+                got[t, (b - int(p.start[t])) * decontaminate.BLOCK] = v
+        assert set(got) == set(want) and all(np.allclose(got[k], want[k]) for k in want)
+
+
+def test_missing_words_follow_from_the_length():
+    assert [decontaminate.missing_words(n) for n in (1, 7, 8, 10, 30, 1005)] == [0, 0, 1, 2, 10, 400]
+
+
+def test_benchmark_shards_find_the_same(spark, monkeypatch):
+    say = lambda k: " ".join(f"w{k}x{i}" for i in range(25))
+    bench = spark.createDataFrame([(k, say(k)) for k in range(6)], "item_id long, text string")
+    docs = spark.createDataFrame([(k, f"so {say(k)} then") for k in range(0, 6, 2)] + [(9, "none of it")], "doc_id long, text string")
+    monkeypatch.setattr(decontaminate, "SHARD_WORDS", 60)
+    assert {(r["id"], r["item_id"]) for r in decontaminate.find_leaks(docs, bench).collect()} == {(0, 0), (2, 2), (4, 4)}
+
+
 def test_common_subsequence():
     a = lambda *x: np.array(x, dtype=np.uint64)
     assert decontaminate.common_subsequence(a(1, 2, 3, 4), a(2, 9, 4, 1, 3)) == 2

@@ -15,15 +15,15 @@ from pyspark.sql import DataFrame
 
 from . import BackendError, make_backend
 
+# Attempts, attempts at a rate limit, and seconds of one request.
 RETRIES, RATE_RETRIES, TIMEOUT_S = 3, 8, 60
 
 
 def without_fence(text: str) -> str:
+    """A reply without the code fence around it."""
     s = text.strip()
-    if s.startswith("```"):
-        s = s.partition("\n")[2] or s
-        s = s.removesuffix("```")
-    return s.strip()
+    fenced = re.fullmatch(r"```[^\n]*\n(.*?)(?:```)?", s, re.DOTALL)
+    return (fenced[1] if fenced else s).strip()
 
 
 @dataclass

@@ -68,16 +68,22 @@ def snippet(c: Column, n: int = 400) -> Column:
 
 
 def strip_markup(c: Column) -> Column:
-    """Text at nesting depth 0 of ``<`` and ``>``: a fold over the pieces between brackets."""
-    pieces = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit("([<>]|[^<>]+)"), F.lit(1))
-    zero = F.struct(F.lit(0).alias("d"), F.array().cast("array<string>").alias("o"))
+    """Text at nesting depth 0 of ``<`` and ``>``: the pieces between brackets that stand at depth 0.
+
+    Outside of all brackets, ``>`` alone opens nothing and a last ``<`` without an end hides the rest.
+    """
+    text = F.coalesce(c, F.lit(""))
+    pieces = F.regexp_extract_all(text, F.lit("([<>]|[^<>]+)"), F.lit(1))
+    zero = F.struct(F.lit(0).alias("d"), F.lit("").alias("o"))
 
     def step(a: Column, p: Column) -> Column:
         depth = F.when(p == "<", a["d"] + 1).when(p == ">", F.greatest(a["d"] - 1, F.lit(0))).otherwise(a["d"])
-        out = F.when(~p.isin("<", ">") & (a["d"] == 0), F.array_append(a["o"], p)).otherwise(a["o"])
+        out = F.when(~p.isin("<", ">") & (a["d"] == 0), F.concat(a["o"], p)).otherwise(a["o"])
         return F.struct(depth.alias("d"), out.alias("o"))
 
-    return collapse_ws(F.aggregate(pieces, zero, step, lambda a: F.array_join(a["o"], "")))
+    # Innermost pairs first: without nesting, one replacement leaves no bracket, and no fold is needed.
+    flat = F.regexp_replace(text, "<[^<>]*>", "")
+    return collapse_ws(F.when(flat.rlike("[<>]"), F.aggregate(pieces, zero, step, lambda a: a["o"])).otherwise(flat))
 
 
 def strip_tags(c: Column) -> Column:

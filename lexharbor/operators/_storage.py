@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
-    """A fresh path below the shared folder; a private one only where none is configured."""
+    """A fresh path below the shared folder; a private one only on a local master without any."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = held.get() if held.isDefined() else None
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="lexharbor-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
@@ -25,3 +27,22 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     path = scratch(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a path of any Hadoop file system, if it is there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def copy(spark: SparkSession, source: str, target: str) -> None:
+    """Copy a file or folder; raises where it does not arrive."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    a, b = hadoop.Path(source), hadoop.Path(target)
+    if not hadoop.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, True, conf):
+        raise OSError(f"{source} was not copied to {target}")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)

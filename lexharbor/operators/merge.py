@@ -34,8 +34,15 @@ def novelty(new: DataFrame, corpus: DataFrame) -> DataFrame:
     """Add novelty: no_doi, in_corpus or new."""
     known = corpus.select(normalize_doi(F.col("doi")).alias("_k")).where("_k is not null").distinct()
     d = normalize_doi(F.col("doi"))
-    out = new.join(known, d == F.col("_k"), "left")
-    return out.withColumn("novelty", F.when(d.isNull(), "no_doi").when(F.col("_k").isNotNull(), "in_corpus").otherwise("new")).drop("_k")
+    with_doi = new.where(d.isNotNull()).join(known, d == F.col("_k"), "left")
+    with_doi = with_doi.withColumn("novelty", F.when(F.col("_k").isNotNull(), "in_corpus").otherwise("new")).drop("_k")
+    return with_doi.unionByName(new.where(d.isNull()).withColumn("novelty", F.lit("no_doi")))
+
+
+def net_new(main: DataFrame, merged: DataFrame) -> DataFrame:
+    """One row (before, after, net_new): rows that a merge adds."""
+    before = main.agg(F.count(F.lit(1)).alias("before"))
+    return before.crossJoin(merged.agg(F.count(F.lit(1)).alias("after"))).withColumn("net_new", F.col("after") - F.col("before"))  # one row each
 
 
 def novelty_counts(tagged: DataFrame) -> DataFrame:
@@ -45,7 +52,8 @@ def novelty_counts(tagged: DataFrame) -> DataFrame:
 def recover_sources(df: DataFrame, notes: DataFrame) -> DataFrame:
     """Fill empty source_databases from (doi, note), by normalised DOI; the last note of a DOI wins upstream."""
     known = notes.select(normalize_doi(F.col("doi")).alias("_d"), F.col("note").alias("_note")).where("_d is not null and _note <> ''").dropDuplicates(["_d"])
-    out = df.join(known, normalize_doi(F.col("doi")) == F.col("_d"), "left")
+    own = normalize_doi(F.col("doi"))
+    out = df.where(own.isNotNull()).join(known, own == F.col("_d"), "left").unionByName(df.where(own.isNull()), allowMissingColumns=True)
     return out.withColumn("source_databases", F.coalesce(F.nullif("source_databases", F.lit("")), "_note", F.lit(""))).drop("_d", "_note")
 
 
@@ -59,15 +67,30 @@ def fill_from_cache(df: DataFrame, cache: DataFrame, col: str = "abstract") -> D
 def waterfall(df: DataFrame, sources: Sequence[tuple[str, DataFrame, int]], order: str = "ord", col: str = "abstract") -> DataFrame:
     """Fill missing texts by DOI, source after source; each gets its cap of rows still missing, in order.
 
-    ``sources``: (name, (doi, text) table, cap).  Adds ``filled_by``.
+    ``sources``: (name, (doi, text) table, cap).  Adds ``filled_by``.  Only places and DOIs of rows
+    without a text go from pass to pass; texts are joined to the table once.
     """
-    df = df.withColumn("_doi", normalize_doi(F.col("doi"))).withColumn("filled_by", F.lit(None).cast("string"))
+    open_ = saved(df.where(missing_text(F.col(col)) & normalize_doi(F.col("doi")).isNotNull()).select(F.col(order).alias("_o"), normalize_doi(F.col("doi")).alias("_k")), "waterfall")
+    filled = None
     for name, table, cap in sources:
-        asked = df.where(missing_text(F.col(col)) & F.col("_doi").isNotNull()).orderBy(order).limit(cap).select(F.col(order).alias("_o"), F.col("_doi").alias("_k"))
+        asked = open_.orderBy("_o").limit(cap)
         known = table.select(normalize_doi(F.col("doi")).alias("_k"), F.col("text").alias("_t")).where("_k is not null").dropDuplicates(["_k"])
-        got = asked.join(known, "_k").where(~missing_text(F.col("_t"))).select("_o", "_t")
-        df = df.join(got, F.col(order) == F.col("_o"), "left").withColumn("filled_by", F.when(F.col("_t").isNotNull(), name).otherwise(F.col("filled_by"))).withColumn(col, F.coalesce("_t", col)).drop("_o", "_t")
-    return df.drop("_doi")
+        got = saved(asked.join(known, "_k").where(~missing_text(F.col("_t"))).select("_o", "_t", F.lit(name).alias("filled_by")), f"waterfall-{name}")
+        filled = got if filled is None else filled.unionByName(got)
+        open_ = open_.join(got.select("_o"), "_o", "left_anti")
+    if filled is None:
+        return df.withColumn("filled_by", F.lit(None).cast("string"))
+    out = df.join(filled, F.col(order) == F.col("_o"), "left")
+    return out.withColumn(col, F.coalesce("_t", col)).drop("_o", "_t")
+
+
+def coverage_by_pass(filled: DataFrame, sources: Sequence[str], col: str = "abstract") -> DataFrame:
+    """(pass, filled, covered, percent): texts after each pass of a waterfall, ``start`` first, in order."""
+    had = F.count_if(~missing_text(F.col(col)) & F.col("filled_by").isNull())
+    counts = filled.agg(F.count(F.lit(1)).alias("_n"), had.alias("_0"), *[F.count_if(F.col("filled_by") == s).alias(f"_{i}") for i, s in enumerate(sources, 1)])
+    row = lambda i, name: F.struct(F.lit(i).alias("step"), F.lit(name).alias("pass"), F.col(f"_{i}").alias("filled"), sum((F.col(f"_{k}") for k in range(1, i + 1)), F.col("_0")).alias("covered"))
+    rows = counts.select("_n", F.inline(F.array(*[row(i, s) for i, s in enumerate(["start", *sources])])))
+    return rows.select("step", "pass", "filled", "covered", (100.0 * F.col("covered") / F.greatest("_n", F.lit(1))).alias("percent"))
 
 
 def _greedy_match(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -45,7 +45,8 @@ def cluster_leaders(df: DataFrame, order: str = "ord", threshold: float = 0.85,
         "resolve-rows",
     )
     dois = rows.where("d is not null").groupBy("d").agg(F.min("ord").alias("doi_first"))
-    rows = rows.join(dois, "d", "left").withColumn("doi_first", F.coalesce("doi_first", "ord"))
+    # Rows without a DOI take no part in the join: they would all meet in one task.
+    rows = rows.where("d is not null").join(dois, "d").unionByName(rows.where("d is null").withColumn("doi_first", F.col("ord")))
     lead = rows.where("ord = doi_first and size(tokens) >= " + str(min_tokens))
     classes = lead.groupBy("bucket", "tokens").agg(F.min("ord").alias("node"))
     classes = saved(classes, "resolve-titles")
@@ -80,3 +81,9 @@ def first_by(df: DataFrame, key: str, order: str) -> DataFrame:
 
 def last_by(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(F.col(order).desc()))).where("_n = 1").drop("_n")
+
+
+def resolve_plain(records: DataFrame, threshold: float = 0.85, min_tokens: int = 6) -> DataFrame:
+    """``resolve`` of rows that have no order column: in the order in which they are read."""
+    rows = saved(records.withColumn("_ord", F.monotonically_increasing_id()), "plain")
+    return resolve(rows, "_ord", threshold, min_tokens).orderBy("_ord").drop("_ord")

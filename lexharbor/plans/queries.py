@@ -49,7 +49,8 @@ _HAY = "(COALESCE(title, '') || ' ' || COALESCE(abstract, ''))"
 _blocked = " OR ".join(f"contains(lower(COALESCE(title, '')), '{b}')" for b in BLOCK)
 _NON_EN = "COALESCE(lower(language) NOT IN ('en', 'eng', 'english'), false)"
 
-QUERIES, SQL = {}, {}
+QUERIES: dict = {}
+SQL: dict[str, str] = {}
 
 
 def query(sql: str | None = None):
@@ -372,7 +373,7 @@ def backfill_waterfall(spark, sf):
 
 @query()
 def corpus_compare(spark, sf):
-    """Greedy one-to-one title matching is sequential; tests compare it with a plain loop."""
+    """Its DuckDB text steps through the left rows in order."""
     return merge.compare_corpora(R.records(spark, sf), R.second_corpus(spark, sf))
 
 
@@ -475,13 +476,16 @@ def value_counts_type_top10(spark, sf):
 
 
 # ------------------------------------------------------------------ sinks
+_KEY = """lower(COALESCE(nullif(regexp_replace(trim(string_split(string_split(COALESCE(authors, ''), ';')[1], ',')[1]), '[^A-Za-z]+', '', 'g'), ''), 'anon') || publication_year ||
+COALESCE(nullif(substring(regexp_replace(string_split(COALESCE(trim(title), ''), ' ')[1], '[^A-Za-z0-9]+', '', 'g'), 1, 20), ''), 'untitled'))"""
+
+
 def _esc(c: str) -> str:
     return rf"replace(replace(replace({c}, '\', '\\'), '{{', '\{{'), '}}', '\}}')"
 
 
 @query(
-    rf"""WITH {R.REC}, f AS (SELECT *, lower(COALESCE(nullif(regexp_replace(trim(string_split(string_split(COALESCE(authors, ''), ';')[1], ',')[1]), '[^A-Za-z]+', '', 'g'), ''), 'anon') || publication_year ||
-COALESCE(nullif(substring(regexp_replace(string_split(COALESCE(trim(title), ''), ' ')[1], '[^A-Za-z0-9]+', '', 'g'), 1, 20), ''), 'untitled')) AS key,
+    rf"""WITH {R.REC}, f AS (SELECT *, {_KEY} AS key,
 CASE WHEN lower(COALESCE(type, '')) IN ('thesis', 'dissertation') THEN 'phdthesis' WHEN lower(COALESCE(type, '')) = 'book-chapter' THEN 'incollection' ELSE 'article' END AS kind FROM rec)
 SELECT ord, '@' || kind || '{{' || key || ',' || chr(10) || '  ' || concat_ws(',' || chr(10) || '  ', 'title = {{' || nullif({_esc('trim(title)')}, '') || '}}',
 'author = {{' || nullif(array_to_string(string_split(authors, '; '), ' and '), '') || '}}', 'year = {{' || publication_year || '}}', 'journal = {{Journal}}', 'doi = {{' || doi || '}}',
@@ -495,7 +499,7 @@ def bibtex_entries(spark, sf):
 
 @query()
 def bibtex_keys(spark, sf):
-    """Keys made unique in row order; tests compare with a plain loop."""
+    """Keys made unique in row order; the DuckDB text steps through the rows."""
     r = R.records(spark, sf).withColumn("year", F.col("publication_year"))
     return bibtex.with_keys(r, "ord").select("ord", "bib_key")
 
@@ -506,3 +510,6 @@ def raw_archive_roundtrip(spark, sf):
     d = R.table(spark, sf, "documents").select(F.col("lang").alias("source"), F.concat(F.lit("q"), (F.col("doc_id") % 10).cast("string")).alias("query"), F.col("text").alias("payload_json"))
     back = archive.archive_verified(d)
     return back.groupBy("source", "query").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("payload_json")).alias("chars"))
+
+
+from . import file_queries, flow_queries, source_queries  # noqa: E402, F401  (they add their queries)

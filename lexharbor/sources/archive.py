@@ -5,23 +5,70 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators._storage import saved, scratch
+from ..operators._storage import copy, delete, exists, saved, scratch
 
 
-def archive_verified(raw: DataFrame, path: str | None = None, level: int = 9) -> DataFrame:
-    """Write (source, query, payload_json) as zstd Parquet; raises unless all rows read back."""
+def content_digest(raw: DataFrame) -> tuple[int, int]:
+    """(rows, sum of the heads of the rows' md5): equal for tables with the same rows, in any order."""
+    cells = [F.coalesce(F.concat(F.lit("1"), F.col(c).cast("string")), F.lit("0")) for c in raw.columns]
+    head = F.conv(F.substring(F.md5(F.to_json(F.array(*cells))), 1, 12), 16, 10).cast("decimal(38,0)")
+    n, total = raw.agg(F.count(F.lit(1)), F.sum(head)).first()
+    return n, int(total or 0)
+
+
+def archive_verified(raw: DataFrame, path: str | None = None, level: int = 9, remove: str | None = None) -> DataFrame:
+    """Write (source, query, payload_json) as zstd Parquet; raises unless all rows read back as they were.
+
+    ``remove``: the folder of the raw files; it is deleted once the archive is verified, never before.
+    """
     raw, spark = saved(raw, "raw"), raw.sparkSession
     target = path or scratch(spark, "archive")
     raw.write.mode("overwrite").option("compression", "zstd").option("parquet.compression.codec.zstd.level", str(level)).parquet(target)
     back = spark.read.schema(raw.schema).parquet(target)
-    if back.count() != raw.count():
-        raise OSError("the archive holds another number of rows than the input; the input is kept")
+    if content_digest(back) != content_digest(raw):
+        raise OSError("the archive differs from its input; the input is kept")
+    if remove is not None:
+        delete(spark, remove)
     return back
 
 
+def rewrite(df: DataFrame, path: str, write) -> str | None:
+    """``write(df, path)`` after a copy of what is there; returns the copy's path, the next free ``.bak`` name.
+
+    ``df`` may read from ``path``: it is settled first.
+    """
+    spark, kept = df.sparkSession, None
+    df = saved(df, "rewrite")
+    if exists(spark, path):
+        n = 0
+        while exists(spark, kept := f"{path}.bak" + (f".{n}" if n else "")):
+            n += 1
+        copy(spark, path, kept)
+    write(df, path)
+    return kept
+
+
 def write_csv(df: DataFrame, path: str, single: bool = True) -> None:
     """RFC quoting; one file where ``single`` (a deliverable, not an intermediate)."""
-    (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
+def write_raw_files(raw: DataFrame, path: str) -> None:
+    """One file for each row of (source, query, payload_json), named by source and query; written by the executors."""
+    from pyarrow import fs
+
+    from .replay import raw_name
+
+    def write(batches):
+        store, root = fs.FileSystem.from_uri(path)
+        store.create_dir(root, recursive=True)
+        for pdf in batches:
+            for source, query, payload in zip(pdf["source"], pdf["query"], pdf["payload_json"], strict=True):
+                with store.open_output_stream(f"{root}/{raw_name(source, query)}") as f:
+                    f.write(payload.encode())
+            yield pdf[["source"]]
+
+    raw.select("source", "query", "payload_json").mapInPandas(write, "source string").write.format("noop").mode("overwrite").save()
 
 
 def read_csv(spark, path: str, schema) -> DataFrame:
@@ -45,6 +92,17 @@ def append_checkpoint(labels: DataFrame, path: str, chunk: int) -> None:
     labels.withColumn("chunk", F.lit(chunk)).write.mode("append").parquet(path)
 
 
+def clear_checkpoints(spark, path: str, expected: DataFrame, key: str = "id") -> bool:
+    """Delete the checkpoints at ``path`` if every key of ``expected`` has a row there; tells whether it did."""
+    if not exists(spark, path):
+        return False
+    done = spark.read.parquet(path)
+    if not expected.select(key).join(done.select(key), key, "left_anti").isEmpty():
+        return False
+    delete(spark, path)
+    return True
+
+
 def rejects(df: DataFrame, path: str) -> None:
     """The error log as a table."""
     df.write.mode("append").parquet(path)

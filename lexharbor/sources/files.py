@@ -76,6 +76,20 @@ def list_file(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.lower(T.trim_ws(F.col("value"))).alias("value")).where("value <> ''").distinct()
 
 
+def exclude_lists(spark: SparkSession, *paths: str) -> DataFrame:
+    """(value): the union of several lists, each value once."""
+    out = list_file(spark, paths[0])
+    for p in paths[1:]:
+        out = out.unionByName(list_file(spark, p))
+    return out.distinct()
+
+
+def anchor_labels(spark: SparkSession, path: str) -> DataFrame:
+    """(anchor_idx, label) of a JSON object {"0": "name", ...}."""
+    text = spark.read.option("wholetext", True).text(path)
+    return text.select(F.explode(F.from_json("value", "map<string,string>")).alias("k", "label")).select(F.col("k").cast("int").alias("anchor_idx"), "label")
+
+
 def corpus_dois(spark: SparkSession, path: str) -> DataFrame:
     """(doi): distinct DOIs of a CSV, TSV or Parquet corpus, sorted."""
     kind = path.rsplit(".", 1)[-1].lower()

@@ -1,37 +1,175 @@
 """A Python data source for every connector: replays the raw archive, or asks the service.
 
 ``spark.read.format("records").option("source", "crossref").option("archive", path)`` returns raw
-responses as (source, query, payload_json); ``normalize`` makes records of them.  Each query is an
-input partition; archives are read through any file system with a URI (``raw_folder`` is the same
-through Spark's own reader).  Online reading goes through ``lookup.request`` with the source's own pause.
+responses as (source, query, payload_json, error); ``normalize`` makes records of them.  Each query
+is an input partition; archives are read through any file system with a URI (``raw_folder`` is the
+same through Spark's own reader).  Online, a query follows its source's pages up to ``per_query_cap``
+records and is one row; a query that fails is a row with ``error`` and without a payload, so an outage
+does not look like an empty result.  With ``raw`` (a folder) every page is also written there.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
+import re
+import urllib.request
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 from pyarrow import fs
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-#: Source: (address, query parameter, fixed parameters, pause in seconds, key option or None).
+from .lookup import WOS_URL, ask
+
+#: Records of one query; a page is finished where the source cannot ask for fewer.
+QUERY_CAP = 500
+
+
+@dataclass(frozen=True)
+class Endpoint:
+    """How a source is asked: ``{key}`` and ``{email}`` in headers and parameters are filled from options."""
+
+    url: str
+    query: str
+    fixed: dict = field(default_factory=dict)
+    pause: float = 0.5
+    headers: dict = field(default_factory=dict)
+    key: str | None = None
+    key_header: tuple[str, str] | None = None
+    needs_key: bool = False
+    keyed_pause: float | None = None
+    page: str = "json"
+
+
+# Addresses, parameters, header names, field lists and pauses of the services.
+BROWSER = {
+    "User-Agent": "Mozilla/5.0 (X11; Linux x86_64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/120.0 Safari/537.36",
+    "Accept": "text/html,application/xhtml+xml",
+    "Accept-Language": "en,es;q=0.8,pt;q=0.7",
+}
+POLITE = {"User-Agent": "lexharbor (mailto:{email}; literature search)"}
+CROSSREF_FIELDS = "DOI,title,abstract,author,published,URL,publisher,container-title"
 ENDPOINTS = {
-    "openalex": ("https://api.openalex.org/works", "search", {"per_page": 200, "cursor": "*"}, 0.15, None),
-    "semantic_scholar": ("https://api.semanticscholar.org/graph/v1/paper/search", "query", {"limit": 100}, 3.5, None),
-    "wos": ("https://api.clarivate.com/apis/wos-starter/v1/documents", "q", {"limit": 50}, 1.0, "wos_key"),
-    "wos_expanded": ("https://api.clarivate.com/api/wos", "usrQuery", {"databaseId": "WOS", "count": 100, "firstRecord": 1}, 1.1, "wos_expanded_key"),
-    "hal": ("https://api.archives-ouvertes.fr/search/tel", "q", {"rows": 100, "wt": "json"}, 0.5, None),
-    "theses_fr": ("https://theses.fr/api/v1/theses/recherche/", "q", {"nombre": 100}, 0.5, None),
-    "base": ("https://api.base-search.net/cgi-bin/BaseHttpSearchInterface.fcgi", "query", {"func": "PerformSearch", "hits": 100}, 0.5, "base_key"),
-    "bdtd": ("https://bdtd.ibict.br/vufind/Search/Results", "lookfor", {"type": "AllFields", "limit": 50}, 1.0, None),
-    "scielo": ("https://search.scielo.org/", "q", {"count": 100}, 1.0, None),
-    "europepmc": ("https://www.ebi.ac.uk/europepmc/webservices/rest/search", "query", {"format": "json", "pageSize": 100, "resultType": "core"}, 0.3, None),
-    "eartharxiv": ("https://api.crossref.org/works", "query", {"rows": 50, "filter": "prefix:10.31223,type:posted-content"}, 0.3, None),
-    "crossref": ("https://api.crossref.org/works", "query", {"rows": 50}, 0.3, None),
-    "core": ("https://api.core.ac.uk/v3/search/works/", "q", {"limit": 50}, 0.4, None),
+    "openalex": Endpoint("https://api.openalex.org/works", "search", {"per_page": 200, "mailto": "{email}"}, 0.15),
+    "semantic_scholar": Endpoint(
+        "https://api.semanticscholar.org/graph/v1/paper/search", "query",
+        {"limit": 100, "fields": "paperId,externalIds,title,year,abstract,authors,venue,citationCount,isOpenAccess,openAccessPdf,fieldsOfStudy"},
+        3.5, key="semantic_scholar_key", key_header=("x-api-key", "{key}"), keyed_pause=1.0,
+    ),
+    "wos": Endpoint("https://api.clarivate.com/apis/wos-starter/v1/documents", "q", {"limit": 50, "page": 1, "db": "WOS"}, 1.0, {"accept": "application/json"}, "wos_key", ("X-ApiKey", "{key}"), True),
+    "wos_expanded": Endpoint(WOS_URL, "usrQuery", {"databaseId": "WOS"}, 1.1, {"Accept": "application/json"}, "wos_expanded_key", ("X-ApiKey", "{key}"), True),
+    "hal": Endpoint("https://api.archives-ouvertes.fr/search/tel", "q", {"fl": "docid,title_s,authFullName_s,producedDate_s,uri_s,abstract_s,language_s,doiId_s", "rows": 100, "wt": "json"}, 0.5),
+    "theses_fr": Endpoint("https://theses.fr/api/v1/theses/recherche/", "q", {"nombre": 100, "debut": 0}, 0.5),
+    "base": Endpoint("https://api.base-search.net/cgi-bin/BaseHttpSearchInterface.fcgi", "query", {"func": "PerformSearch", "hits": 100, "format": "xml"}, 0.5, key="base_key", key_header=("Authorization", "{key}"), needs_key=True, page="xml"),
+    "bdtd": Endpoint("https://bdtd.ibict.br/vufind/Search/Results", "lookfor", {"type": "AllFields", "limit": 50}, 1.0, BROWSER, page="html"),
+    "scielo": Endpoint("https://search.scielo.org/", "q", {"output": "site", "count": 100}, 1.0, BROWSER, page="html"),
+    "europepmc": Endpoint("https://www.ebi.ac.uk/europepmc/webservices/rest/search", "query", {"format": "json", "pageSize": 100, "resultType": "core"}, 0.3),
+    "eartharxiv": Endpoint("https://api.crossref.org/works", "query", {"filter": "prefix:10.31223,type:posted-content", "rows": 50, "select": CROSSREF_FIELDS}, 0.3, POLITE),
+    "crossref": Endpoint("https://api.crossref.org/works", "query", {"rows": 50, "select": CROSSREF_FIELDS}, 0.3, POLITE),
+    "core": Endpoint("https://api.core.ac.uk/v3/search/works/", "q", {"limit": 50}, 0.4, key="core_key", key_header=("Authorization", "Bearer {key}")),
 }
-#: Soft or hard cap of one query's records.
-QUERY_CAP = 500
+
+
+class Failed(Exception):
+    """A request or reply that gives no payload."""
+
+
+def _get(end: Endpoint, text: str, options: dict, opener: Callable, **more) -> str:
+    fill = lambda s, **kw: s.format(email=options.get("email", "anonymous@example.com"), **kw) if isinstance(s, str) and "{" in s else s
+    key = options.get(end.key) if end.key else None
+    headers = {k: fill(v) for k, v in end.headers.items()}
+    if key and end.key_header:
+        headers[end.key_header[0]] = end.key_header[1].format(key=key)
+    params = {k: fill(v) for k, v in end.fixed.items()} | {end.query: text} | more
+    body, reason = ask(end.url, params, headers, end.keyed_pause if key and end.keyed_pause else end.pause, opener=opener)
+    if body is None:
+        raise Failed(f"status={reason}" + (f" first={more['firstRecord']}" if "firstRecord" in more else ""))
+    return body
+
+
+def _parsed(body: str):
+    try:
+        return json.loads(body)
+    except ValueError as e:
+        raise Failed(f"json={e}") from None
+
+
+def _cursor_pages(end, text, options, opener, cap) -> Iterator[tuple[str, list]]:
+    cursor, seen = "*", 0
+    while cursor and seen < cap:
+        got = _parsed(_get(end, text, options, opener, cursor=cursor))
+        records = got.get("results") or []
+        yield text, records
+        seen, cursor = seen + len(records), (got.get("meta") or {}).get("next_cursor") if records else None
+
+
+def _numbered_pages(end, text, options, opener, cap) -> Iterator[tuple[str, list]]:
+    first, total = 1, cap
+    while first <= min(total, cap):
+        want = min(100, cap + 1 - first)
+        got = _parsed(_get(end, text, options, opener, count=want, firstRecord=first))
+        records = got
+        for step in ("Data", "Records", "records", "REC"):
+            records = records.get(step) if isinstance(records, dict) else None
+        records = [records] if isinstance(records, dict) else records if isinstance(records, list) else []
+        yield f"{text}__p{first}", records
+        found = (got.get("QueryResult") or {}).get("RecordsFound")
+        total = total if found is None else int(found)
+        if len(records) < want:
+            break
+        first += len(records)
+
+
+#: Sources whose pages are followed, and how their records make one payload again.
+PAGED = {
+    "openalex": (_cursor_pages, lambda records: {"results": records}),
+    "wos_expanded": (_numbered_pages, lambda records: {"Data": {"Records": {"records": {"REC": records}}}}),
+}
+
+
+def harvest_query(source: str, text: str, options: dict, opener: Callable = urllib.request.urlopen, keep: Callable[[str, str], None] | None = None) -> tuple[str | None, str | None]:
+    """(payload, error) of one query, all its pages together; ``keep(query, payload)`` gets each page.
+
+    A failure after the first page keeps what came before, and says so.  A source that needs a key
+    and has none is not asked.
+    """
+    end, cap = ENDPOINTS[source], int(options.get("per_query_cap", QUERY_CAP))
+    if end.needs_key and not options.get(end.key):
+        return None, None
+    if source == "europepmc" and options.get("only_preprints", "true") == "true":
+        text = f"({text}) AND SRC:PPR"
+    keep = keep or (lambda query, payload: None)
+    if source not in PAGED:
+        try:
+            body = _get(end, text, options, opener)
+            payload = json.dumps({end.page: body}, ensure_ascii=False) if end.page != "json" else json.dumps(_parsed(body), ensure_ascii=False)
+        except Failed as e:
+            return None, str(e)
+        keep(text, payload)
+        return payload, None
+    pages, whole = PAGED[source]
+    records, error, any_page = [], None, False
+    try:
+        for name, got in pages(end, text, options, opener, cap):
+            records, any_page = records + got, True
+            if name != text:
+                keep(name, json.dumps(whole(got), ensure_ascii=False))
+    except Failed as e:
+        error = str(e)
+    payload = json.dumps(whole(records), ensure_ascii=False) if any_page else None
+    if payload and source == "openalex":
+        keep(text, payload)
+    return payload, error
+
+
+def raw_name(source: str, query: str) -> str:
+    """File name of a raw response, as ``functions.text.raw_file_name``."""
+    safe = re.sub(r"[^A-Za-z0-9_.\-]+", "_", query).strip()[:60]
+    return f"{source}__{safe}__{hashlib.sha1(query.encode()).hexdigest()[:10]}.json"
 
 
 class _Query(InputPartition):
@@ -54,32 +192,35 @@ class _Reader(DataSourceReader):
             return [_Query(os.path.splitext(n)[0].partition("__")[2] or "(no_query)", n) for n in names] or [_Query("")]
         return [_Query(q) for q in json.loads(self.options.get("queries", "[]"))] or [_Query("")]
 
+    def _keep(self, query: str, payload: str) -> None:
+        store, root = fs.FileSystem.from_uri(self.options["raw"])
+        store.create_dir(root, recursive=True)
+        with store.open_output_stream(f"{root}/{raw_name(self.source, query)}") as f:
+            f.write(payload.encode())
+
     def read(self, part):
         if part.path:
             store, root = fs.FileSystem.from_uri(self.options["archive"])
             with store.open_input_file(f"{root}/{part.path}") as f:
-                yield (self.source, part.text, f.read().decode("utf-8", "replace"))
+                yield (self.source, part.text, f.read().decode("utf-8", "replace"), None)
         elif part.text:
-            from .lookup import request
-
-            url, name, fixed, pause, key = ENDPOINTS[self.source]
-            if key and not self.options.get(key):
-                return
-            text = f"({part.text}) AND SRC:PPR" if self.source == "europepmc" and self.options.get("only_preprints", "true") == "true" else part.text
-            body = request(url, fixed | {name: text}, {"Authorization": self.options[key]} if key else None, pause)
-            if body is not None:
-                yield (self.source, part.text, body if body.lstrip()[:1] in "{[" else json.dumps({"html": body}))
+            payload, error = harvest_query(self.source, part.text, self.options, keep=self._keep if self.options.get("raw") else None)
+            if payload is not None or error is not None:
+                yield (self.source, part.text, payload, error)
 
 
 class RecordsSource(DataSource):
-    """Format ``records``: options source, and archive (a folder) or queries (a JSON list)."""
+    """Format ``records``: options source, and archive (a folder) or queries (a JSON list).
+
+    Online also: per_query_cap, raw, email, only_preprints and the keys named in ENDPOINTS.
+    """
 
     @classmethod
     def name(cls):
         return "records"
 
     def schema(self):
-        return "source string, query string, payload_json string"
+        return "source string, query string, payload_json string, error string"
 
     def reader(self, schema):
         return _Reader(self.options)
@@ -87,3 +228,8 @@ class RecordsSource(DataSource):
 
 def register(spark) -> None:
     spark.dataSource.register(RecordsSource)
+
+
+def errors(raw: DataFrame) -> DataFrame:
+    """The error log of a harvest: a line ``[source]<tab>query<tab>reason`` for each query that failed."""
+    return raw.where("error is not null").select(F.concat(F.lit("["), "source", F.lit("]\t"), "query", F.lit("\t"), "error").alias("value"))

@@ -36,5 +36,6 @@ def test_bibtex_keys_match_a_plain_loop(spark, sf):
 def test_entry_runs(spark):
     import __spark_entry__ as e
 
+    assert set(Q.QUERIES) == set(Q.SQL)
     assert set(e.oracle_sql()) <= set(e.queries())
     assert e.entry(spark).count() > 0

@@ -2,10 +2,13 @@
 
 Paragraphs (lines) are classified by multinomial logistic regression over sparse word uni- and
 bigrams: one class for each licence family and ``unknown``.  Positive training rows are the notices
-below and seeded variants of them; negative rows are ordinary sentences and a bounded sample of the
-corpus (``UNKNOWN_SAMPLE`` paragraphs expected).  A temperature and the least probability of a named
-family are calibrated on held-out rows.  A prediction counts when a template of its family confirms
-it.  The fit runs on the driver over those bounded rows; the scan is all Catalyst expressions.
+below and seeded variants of them; negative rows are notices of licences without a class, ordinary
+sentences and a bounded sample of the corpus (``UNKNOWN_SAMPLE`` paragraphs expected).  A temperature
+and the least probability of a named family are calibrated on whole notices, of named and of other
+licences, that a first fit has not seen; the model is then fitted on all rows.  A prediction counts
+when a template of its family confirms it: enough words in common, some of them side by side, and one
+that few families have.  The fit runs on the driver over those bounded rows; the scan is all Catalyst
+expressions.
 
 A feature always contains a word that ordinary paragraphs hardly have.  A text without any such word
 has no feature, so its paragraphs are ``unknown`` by the intercept, and it needs no scoring.
@@ -41,6 +44,7 @@ TEMPLATES = {
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
         "Licensed under the BSD 3-Clause License.",
+        'This software is provided by the copyright holders and contributors "as is" and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed.',
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "SPDX-License-Identifier: BSD-3-Clause",
     ],
@@ -78,6 +82,7 @@ TEMPLATES = {
         "This project is licensed under the terms of the MIT license.",
         "SPDX-License-Identifier: MIT",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        'The software is provided "as is", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement.',
     ],
     "mpl": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
@@ -94,6 +99,24 @@ TEMPLATES = {
         "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
     ],
 }
+#: Notices of licences that have no class here (fixed values).
+OTHER = [
+    "Distributed under the Eclipse Public License 2.0.",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "Distributed under the Boost Software License, Version 1.0.",
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+    "This package is free software; you can redistribute it under the terms of the Artistic License 2.0.",
+    "The contents of this file are subject to the terms of the Common Development and Distribution License.",
+    "Licensed under the European Union Public Licence, version 1.2.",
+    "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+    "Do what the fuck you want to public license, version 2.",
+    "Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted, provided that the above copyright notice appear in all copies.",
+    "Licensed under the Open Software License version 3.0.",
+    "Licensed under the Academic Free License version 3.0.",
+    "SPDX-License-Identifier: EPL-2.0",
+    "SPDX-License-Identifier: BSL-1.0",
+]
 #: Ordinary sentences that use some of the same words (fixed values).
 ORDINARY = [
     "He renewed his driving licence at the office before the end of the month.",
@@ -108,11 +131,17 @@ ORDINARY = [
     "A copy of the notice was sent to the public office.",
 ]
 UNKNOWN = "unknown"
-UNKNOWN_SAMPLE, VARIANTS, MAX_FEATURES, ROUNDS = 600, 12, 4000, 250
+UNKNOWN_SAMPLE, VARIANTS, ROUNDS = 600, 12, 250
 #: A word in a larger share of the sampled paragraphs is ordinary.
 ORDINARY_SHARE = 0.01
-#: Share of the paragraph's words, or of the template's, that the template comparison asks for.
-CONFIRMED = 0.6
+#: Least threshold of a named family, whatever the calibration says.
+LEAST_PROBABILITY = 0.3
+#: Share of the paragraph's words that a template must have, and of its word pairs; a template that is
+#: in the paragraph as a whole confirms as well.  A word of at most so many families tells them apart.
+CONFIRMED, PAIRED, FAMILIES = 0.6, 0.35, 3
+#: A word of such a share of the notices is a notice's word, unless it is one of these (fixed values).
+NOTICE_WORD = 0.2
+STOPS = set("a an and any by for from has in is it its of on or that the this to under use with you your".split())
 _NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
@@ -130,39 +159,33 @@ class LicenceModel:
     def __init__(self, negatives: list[str], seed: int = 5):
         rng = random.Random(seed)
         self.classes = sorted(TEMPLATES) + [UNKNOWN]
-        rows: list[tuple[list[str], int]] = []
-        for k, family in enumerate(sorted(TEMPLATES)):
-            for text in TEMPLATES[family]:
-                words = _tokens(text)
-                pieces = [words] + [_tokens(s) for s in re.split(r"(?<=[.;:])\s+", text) if len(_tokens(s)) >= 3]
-                for n in range(VARIANTS):
-                    kept = [w for w in pieces[n % len(pieces)] if n < len(pieces) or rng.random() > 0.15]
-                    rows.append((kept, k))
-        plain = [_tokens(t) for t in [*negatives, *ORDINARY * 4]]
-        rows += [(w, len(self.classes) - 1) for w in plain]
+        unknown, rows = len(self.classes) - 1, []  # rows: (words, class, whether its notice is held out at first)
+        notices = [(k, n, text) for k, family in enumerate(sorted(TEMPLATES)) for n, text in enumerate(TEMPLATES[family])]
+        for k, n, text in notices + [(unknown, n, text) for n, text in enumerate(OTHER)]:
+            words = _tokens(text)
+            pieces = [words] + [_tokens(s) for s in re.split(r"(?<=[.;:])\s+", text) if len(_tokens(s)) >= 3]
+            for v in range(VARIANTS):
+                kept = [w for w in pieces[v % len(pieces)] if v < len(pieces) or rng.random() > 0.15]
+                rows.append((kept, k, n % 3 == 2))
+        rows += [(_tokens(t), unknown, i % 5 == 4) for i, t in enumerate([*negatives, *ORDINARY * 4])]
         share: dict[str, int] = {}
         for text in negatives:  # the corpus tells what is ordinary, not the sentences written for contrast
             for w in set(_tokens(text)):
                 share[w] = share.get(w, 0) + 1
-        ordinary = {w for w, n in share.items() if n > max(1, ORDINARY_SHARE * len(negatives)) and w not in {"license", "licensed"}}
-        counts: dict[str, int] = {}
-        for words, k in rows:
-            if k < len(self.classes) - 1:
-                for g in set(_grams(words)):
-                    if any(w not in ordinary for w in g.split(" ")):
-                        counts[g] = counts.get(g, 0) + 1
-        self.grams = sorted(sorted(counts), key=lambda g: -counts[g])[:MAX_FEATURES]
+        # A word of many notices is no ordinary word, however often the corpus grants licences.
+        spoken = {w for w in share if sum(w in _tokens(text) for _, _, text in notices) < NOTICE_WORD * len(notices)}
+        ordinary = {w for w, n in share.items() if n > max(1, ORDINARY_SHARE * len(negatives)) and w in spoken | STOPS}
+        self.grams = sorted({g for words, k, _ in rows if k != unknown for g in _grams(words) if any(w not in ordinary for w in g.split(" "))})
         self.cues = sorted({w for g in self.grams for w in g.split(" ") if w not in ordinary})
         at = {g: i for i, g in enumerate(self.grams)}
         x = np.zeros((len(rows), len(self.grams)), dtype=np.float32)
-        for r, (words, _) in enumerate(rows):
-            for g in _grams(words):
-                if g in at:
-                    x[r, at[g]] = 1.0
-        y = np.eye(len(self.classes), dtype=np.float32)[[k for _, k in rows]]
-        held = np.arange(len(rows)) % 5 == 4
+        for r, (words, _, _) in enumerate(rows):
+            x[r, [at[g] for g in _grams(words) if g in at]] = 1.0
+        y = np.eye(len(self.classes), dtype=np.float32)[[k for _, k, _ in rows]]
+        held = np.array([h for _, _, h in rows])
         self._fit(x[~held], y[~held])
         self._calibrate(x[held], y[held])
+        self._fit(x, y)
 
     def _fit(self, x, y, rate=1.0, ridge=2e-4, shrink=2e-5):
         """Proximal gradient with momentum: ridge, and soft thresholds that keep the weights sparse."""
@@ -188,8 +211,9 @@ class LicenceModel:
         grid = [0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0]
         self.temperature = min(grid, key=lambda t: -np.log(np.maximum((probabilities(t) * y).sum(axis=1), 1e-9)).mean())
         p = probabilities(self.temperature)
-        wrong = p[:, :-1].max(axis=1)[y[:, -1] == 1]
-        self.threshold = float(min(0.9, max(0.5, wrong.max(initial=0.0) + 0.01)))
+        wrong = np.sort(p[:, :-1].max(axis=1)[y[:, -1] == 1])
+        # At most a twentieth of unseen notices of other licences, and of ordinary sentences, may pass for a family.
+        self.threshold = float(min(0.9, max(LEAST_PROBABILITY, wrong[int(0.95 * len(wrong))] + 0.01))) if len(wrong) else 0.5
 
 
 def training_negatives(docs: DataFrame, text_col: str, expected: int = UNKNOWN_SAMPLE) -> list[str]:
@@ -203,6 +227,21 @@ def training_negatives(docs: DataFrame, text_col: str, expected: int = UNKNOWN_S
     return sorted(r["line"] for r in rows.collect())
 
 
+def template_shapes() -> dict[str, list[tuple[set[str], set[str], set[str]]]]:
+    """(words, word pairs, marks) of each template.
+
+    Marks are its words that no other family has; where there is none, those that at most FAMILIES have.
+    """
+    words_of = {f: [_tokens(t) for t in texts] for f, texts in sorted(TEMPLATES.items())}
+    plain = STOPS | {w for t in ORDINARY for w in _tokens(t)}
+    spread: dict[str, int] = {}
+    for texts in words_of.values():
+        for w in set().union(*texts):
+            spread[w] = spread.get(w, 0) + 1
+    marks = lambda t, most: {w for w in t if spread[w] <= most and len(w) > 1 and not w.isdigit() and w not in plain}
+    return {f: [(set(t), set(_grams(t)[len(t) :]), marks(t, 1) or marks(t, FAMILIES)) for t in texts] for f, texts in words_of.items()}
+
+
 def _sql_text(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -225,7 +264,7 @@ def scan_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     values = ", ".join(
         f"({_sql_text(g)}, array({', '.join(f'{v:.6f}D' for v in w)}))" for g, w in zip(model.grams, model.weights.tolist(), strict=True) if any(w)
     )
-    weights = spark.sql(f"SELECT gram, w FROM VALUES {values} AS t(gram, w)")  # at most MAX_FEATURES rows
+    weights = spark.sql(f"SELECT gram, w FROM VALUES {values} AS t(gram, w)")  # one for each gram of the notices
     k = len(model.classes)
     sums = (
         lines.select("id", "row", "paragraph", F.explode(grams).alias("gram"))
@@ -243,16 +282,22 @@ def scan_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "id", "row", "paragraph", (1 / total).alias("probability"), F.element_at(names, F.array_position("z", F.col("top")).cast("int")).alias("family")
     ).where((F.col("family") != UNKNOWN) & (F.col("probability") >= model.threshold))
 
+    listed = lambda words: "array(" + ", ".join(_sql_text(w) for w in sorted(words)) + ")" if words else "cast(array() as array<string>)"
     shapes = ", ".join(
-        f"({_sql_text(f)}, array({', '.join('array(' + ', '.join(_sql_text(w) for w in sorted(set(_tokens(t)))) + ')' for t in texts)}))"
-        for f, texts in sorted(TEMPLATES.items())
+        f"({_sql_text(f)}, array({', '.join(f'struct({listed(words)} AS words, {listed(pairs)} AS pairs, {listed(marks)} AS marks)' for words, pairs, marks in own)}))" for f, own in template_shapes().items()
     )
     templates = spark.sql(f"SELECT family, shapes FROM VALUES {shapes} AS t(family, shapes)")
     found = lines.dropDuplicates(["id", "row", "paragraph"]).join(scored, ["id", "row", "paragraph"]).join(F.broadcast(templates), "family")
-    own = F.array_distinct("words")
-    shared = lambda t: F.size(F.array_intersect(own, t))
-    share = F.array_max(F.transform("shapes", lambda t: F.greatest(shared(t) / F.size(own), F.when(shared(t) == F.size(t), 1.0).otherwise(0.0))))
-    return found.withColumn("similarity", share).where(F.col("similarity") >= CONFIRMED).select("id", "row", "paragraph", "text", "family", "probability", "similarity")
+    found = found.withColumn("own", F.array_distinct("words")).withColumn("own_pairs", F.array_distinct(F.when(F.size("words") > 1, pairs).otherwise(F.array().cast("array<string>"))))
+
+    def likeness(t):
+        words, side = F.size(F.array_intersect("own", t["words"])), F.size(F.array_intersect("own_pairs", t["pairs"]))
+        told = (F.size(t["marks"]) == 0) | F.arrays_overlap("own", t["marks"])
+        whole = (words == F.size(t["words"])) & (side == F.size(t["pairs"]))
+        return F.when(told & whole, 1.0).when(told & (side >= PAIRED * F.size("own_pairs")), words / F.size("own")).otherwise(0.0)
+
+    found = found.withColumn("similarity", F.array_max(F.transform("shapes", likeness)))
+    return found.where(F.col("similarity") >= CONFIRMED).select("id", "row", "paragraph", "text", "family", "probability", "similarity")
 
 
 def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: LicenceModel | None = None) -> DataFrame:

@@ -437,6 +437,50 @@ def test_licences(spark, odd, none):
     assert licences.scan_documents(none).collect() == []
 
 
+def test_licences_equal_a_plain_scorer(spark):
+    """Every template, notices of other licences, parts of both and ordinary lines, scored in plain Python."""
+    model = licences.LicenceModel(["The sea was calm and the boat lay still.", "He wrote a letter to the office."])
+    shapes, at = licences.template_shapes(), {g: i for i, g in enumerate(model.grams)}
+    named = [t for texts in licences.TEMPLATES.values() for t in texts]
+    lines = named + licences.OTHER + licences.ORDINARY + [" ".join(t.split()[2:9]) for t in named + licences.OTHER] + ["license", "x", "MIT"]
+
+    def plain(text):
+        words = licences._tokens(text)
+        z = model.bias.astype(float).round(4).copy()
+        z += np.round(sum((model.weights[at[g]].astype(float) for g in set(licences._grams(words)) if g in at), np.zeros(len(z))), 4)
+        p = np.exp((z - z.max()) / model.temperature)
+        k, p = int(p.argmax()), float(p.max() / p.sum())
+        if model.classes[k] == licences.UNKNOWN or p < model.threshold or not any(g in at for g in licences._grams(words)):
+            return None
+        own, pairs, best = set(words), set(licences._grams(words)[len(words) :]), 0.0
+        for w, side, marks in shapes[model.classes[k]]:
+            if marks and not marks & own:
+                continue
+            if w <= own and side <= pairs:
+                best = 1.0
+            elif len(side & pairs) >= licences.PAIRED * len(pairs):
+                best = max(best, len(w & own) / len(own))
+        return (model.classes[k], round(p, 3)) if best >= licences.CONFIRMED else None
+
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r["id"]: (r["family"], round(r["probability"], 3)) for r in licences.scan_paragraphs(df, model=model).collect()}
+    want = {i: plain(t) for i, t in enumerate(lines) if plain(t)}
+    assert {i: v[0] for i, v in got.items()} == {i: v[0] for i, v in want.items()}
+    assert all(abs(got[i][1] - want[i][1]) <= 0.002 for i in want)
+
+
+def test_other_licences_are_unknown(spark):
+    """Notices of licences without a class, none of them in training, get no family; every template gets its own."""
+    model = licences.LicenceModel(["The sea was calm and the boat lay still.", "He wrote a letter to the office."])
+    other = ["Redistributed under the zlib/libpng License.", "Available under the Microsoft Public License (Ms-PL).", "Licensed under the Python Software Foundation License Version 2.",
+             "Distributed under the Eclipse Public License 1.0.", "Licensed under the Universal Permissive License 1.0.", "SPDX-License-Identifier: ISC", "You may use this under the PHP License, version 3.01."]
+    named = [(f, t) for f, texts in sorted(licences.TEMPLATES.items()) for t in texts]
+    df = spark.createDataFrame(list(enumerate([t for _, t in named] + other)), "doc_id long, text string")
+    got = {r["id"]: r["families"] for r in licences.scan_documents(df, model=model).collect()}
+    assert [got[i] for i in range(len(named))] == [[f] for f, _ in named]
+    assert [got[len(named) + i] for i in range(len(other))] == [[]] * len(other)
+
+
 @pytest.mark.parametrize("compress", [True, False])
 def test_warc_round_trip(spark, tmp_path, compress):
     big = "<p>" + "ü" * 600 + "</p>"

@@ -35,7 +35,7 @@ def _expect(**cells: str) -> str:
 
 _NULL, _NULL_INT = "CAST(NULL AS VARCHAR)", "CAST(NULL AS INTEGER)"
 _people = lambda key: F.array(_obj(**{key: "A B"}), _obj(**{key: F.concat(F.lit("C"), c("ord"))}))
-_YEAR_DATE = F.concat(c("publication_year").cast("string"), F.lit("-05-01"))
+_year_date = lambda: F.concat(c("publication_year").cast("string"), F.lit("-05-01"))  # noqa: E731  (columns need a session)
 _URL_OR_DOI = "COALESCE(open_access_url, 'https://doi.org/' || doi)"
 
 
@@ -87,7 +87,7 @@ def source_wos_expanded(spark, sf):
 @query(_expect(id="'hal:' || ord", title="title", abstract="abstract", type="'thesis'", source_journal_or_publisher="'HAL/TEL'", cited_by_count=_NULL_INT))
 def source_hal(spark, sf):
     doc = _obj(
-        docid=c("ord").cast("string"), title_s=F.array(c("title"), F.lit("second")), authFullName_s=F.array(F.lit("A B"), F.concat(F.lit("C"), c("ord"))), producedDate_s=_YEAR_DATE,
+        docid=c("ord").cast("string"), title_s=F.array(c("title"), F.lit("second")), authFullName_s=F.array(F.lit("A B"), F.concat(F.lit("C"), c("ord"))), producedDate_s=_year_date(),
         uri_s=c("open_access_url"), abstract_s=F.array(c("abstract")), language_s=F.when(c("language").isNotNull(), F.array(c("language"))), doiId_s=c("doi"),
     )
     return _read_back(spark, sf, "hal", F.to_json(_obj(response=_obj(docs=F.array(doc)))))
@@ -99,7 +99,7 @@ def source_theses_fr(spark, sf):
     shown = lambda cond, v: F.when(cond, v)
     one = _obj(
         id=shown(even, c("ord").cast("string")), nnt=shown(~even, c("ord").cast("string")), titrePrincipal=shown(even, c("title")), titre=c("title"), auteurs=_people("nom"),
-        dateSoutenance=shown(even, _YEAR_DATE), annee=c("publication_year").cast("string"), langue=c("language"), resume=c("abstract"),
+        dateSoutenance=shown(even, _year_date()), annee=c("publication_year").cast("string"), langue=c("language"), resume=c("abstract"),
         etablissementSoutenance=shown(even, F.lit("Journal")), etablissement="Journal", accessibleEnLigne=c("open_access_url"),
     )
     return _read_back(spark, sf, "theses_fr", F.when(even, F.to_json(_obj(theses=F.array(one)))).otherwise(F.to_json(_obj(results=F.array(one)))))
@@ -146,7 +146,7 @@ def source_core(spark, sf):
     return _read_back(spark, sf, "core", F.to_json(_obj(results=F.array(work))))
 
 
-_n = F.col("ord").cast("string")
+_n = lambda: F.col("ord").cast("string")
 _PAGE = dict(doi=_NULL, title="'T ' || ord", abstract=_NULL, cited_by_count=_NULL_INT)
 
 
@@ -154,7 +154,7 @@ _PAGE = dict(doi=_NULL, title="'T ' || ord", abstract=_NULL, cited_by_count=_NUL
 def source_base(spark, sf):
     language = F.when(c("language").isNotNull(), F.concat(F.lit("<dclang>"), c("language"), F.lit("</dclang>"))).otherwise("")
     page = F.concat(
-        F.lit("<r><doc><dctitle>T "), _n, F.lit("</dctitle><dccreator>A</dccreator><dccreator>B</dccreator><dcyear>"), c("publication_year"), F.lit("</dcyear><dclink>u"), _n,
+        F.lit("<r><doc><dctitle>T "), _n(), F.lit("</dctitle><dccreator>A</dccreator><dccreator>B</dccreator><dcyear>"), c("publication_year"), F.lit("</dcyear><dclink>u"), _n(),
         F.lit("</dclink><dctype>thesis</dctype>"), language, F.lit("</doc></r>"),
     )
     return _read_back(spark, sf, "base", F.to_json(_obj(xml=page)))
@@ -162,14 +162,14 @@ def source_base(spark, sf):
 
 @query(_expect(**_PAGE, id="'bdtd:https://bdtd.ibict.br/R/' || ord", language="'pt'", type="'thesis'", authors="'A B'", source_journal_or_publisher="'BDTD'", open_access_url="'https://bdtd.ibict.br/R/' || ord"))
 def source_bdtd(spark, sf):
-    page = F.concat(F.lit('<div class="result"><h3><a class="title" href="/R/'), _n, F.lit('">T '), _n, F.lit('</a></h3><span class="author">A <b>B</b></span><i class="date">em '), c("publication_year"), F.lit('</i></div><div class="result"><p>none</p></div>'))
+    page = F.concat(F.lit('<div class="result"><h3><a class="title" href="/R/'), _n(), F.lit('">T '), _n(), F.lit('</a></h3><span class="author">A <b>B</b></span><i class="date">em '), c("publication_year"), F.lit('</i></div><div class="result"><p>none</p></div>'))
     return _read_back(spark, sf, "bdtd", F.to_json(_obj(html=page)))
 
 
 @query(_expect(**_PAGE, id="'scielo:S' || ord || CASE WHEN ord % 2 = 0 THEN '-mex' ELSE '-bra' END", language="CASE WHEN ord % 2 = 0 THEN 'es' ELSE 'pt' END", type="'article'", authors="'A; B'", source_journal_or_publisher="'Revista X, Dic ' || publication_year || ' Vol 3'", open_access_url="'http://x/sci_arttext?p=' || ord"))
 def source_scielo(spark, sf):
     page = F.concat(
-        F.lit('<div class="item" id="S'), _n, F.when(c("ord") % 2 == 0, "-mex").otherwise("-bra"), F.lit('"><strong class="title">T '), _n, F.lit('</strong><a href="http://x/sci_arttext?p='), _n,
+        F.lit('<div class="item" id="S'), _n(), F.when(c("ord") % 2 == 0, "-mex").otherwise("-bra"), F.lit('"><strong class="title">T '), _n(), F.lit('</strong><a href="http://x/sci_arttext?p='), _n(),
         F.lit('">x</a><div class="line authors">A; B</div><div class="line">Revista X, Dic '), c("publication_year"), F.lit(" Vol 3</div></div>"),
     )
     return _read_back(spark, sf, "scielo", F.to_json(_obj(html=page)))

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from lexharbor.plans import queries as Q
@@ -39,3 +41,12 @@ def test_entry_runs(spark):
     assert set(Q.QUERIES) == set(Q.SQL)
     assert set(e.oracle_sql()) <= set(e.queries())
     assert e.entry(spark).count() > 0
+
+
+def test_imports_without_a_session():
+    """The driver may import the entry before it opens a session."""
+    import subprocess
+    import sys
+
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()))"], capture_output=True, text=True, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), timeout=120)
+    assert done.returncode == 0, done.stderr[-500:]

@@ -45,9 +45,9 @@ _LAST = (1 << 63) - 1
 _POS = np.uint64((1 << 24) - 1)
 
 
-def anchors(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, first start, last start): maximal runs of windows of ``b`` that select one anchor."""
-    keys, firsts, lasts = [], [], []
+def anchors(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, first start): maximal runs of windows of ``b`` that select one anchor; a run ends where the next starts."""
+    keys, firsts = [], []
     for at in range(0, max(len(b) - LENGTH + 1, 0), STRETCH):
         part = b[at : at + STRETCH + LENGTH - 1]
         power, inverse = _power_tables(len(part) + 1)
@@ -70,10 +70,14 @@ def anchors(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         first = np.concatenate([[0], cut])
         keys.append(h[place[first]])
         firsts.append(first + at)
-        lasts.append(np.concatenate([cut - 1, [starts - 1]]) + at)
     if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(keys), np.concatenate(firsts), np.concatenate(lasts)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(keys).view(np.int64), np.concatenate(firsts)
+
+
+def _region_ends(first: np.ndarray, n: int) -> np.ndarray:
+    """Where the regions of runs that start at ``first`` end in a text of ``n`` bytes."""
+    return np.append(first[1:] - 1 + LENGTH, n)
 
 
 def suffix_array(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -228,15 +232,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     judged = with_membership(rows.where(F.octet_length("text") >= LENGTH), "sha", owner, "sha", "maybe").select("ord", "tag", "sha", "text", "maybe")
     copies = spread_join(judged.where("maybe"), owner, "sha", "n", "ord", n_rows, "left")
     copies = copies.where("first is null or ord = first").select("ord", "tag", "text").dropDuplicates(["ord", "tag"])
-    texts = settle(judged.where("not maybe").select("ord", "tag", "text").unionByName(copies), "sx-texts")
+    texts = judged.where("not maybe").select("ord", "tag", "text").unionByName(copies)
 
-    def list_anchors(batches):
+    def select_anchors(batches):
         for pdf in batches:
-            found = [anchors(_raw(t))[0] for t in pdf["text"]]
-            if found:
-                yield pd.DataFrame({"key": np.concatenate(found).view(np.int64)})
+            found = [anchors(_raw(t)) for t in pdf["text"]]
+            yield pdf.assign(keys=[key for key, _ in found], firsts=[first for _, first in found])
 
-    repeated = texts.select("text").mapInPandas(list_anchors, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    texts = settle(texts.mapInPandas(select_anchors, "ord long, tag long, text string, keys array<long>, firsts array<int>"), "sx-texts")
+    repeated = texts.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     held = spark.sparkContext.broadcast(_filter_bits(repeated, "key"))
 
     def place_regions(batches):
@@ -244,25 +248,24 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         bits = held.value
         for pdf in batches:
             digs, parts = [], []
-            for o, tag, text in zip(pdf["ord"].tolist(), pdf["tag"].tolist(), pdf["text"], strict=True):
-                b = _raw(text)
-                key, first, last = anchors(b)
-                k = np.flatnonzero(_in_filter(bits, key.view(np.int64)))
+            for o, tag, text, key, first in zip(pdf["ord"].tolist(), pdf["tag"].tolist(), pdf["text"], pdf["keys"], pdf["firsts"], strict=True):
+                k = np.flatnonzero(_in_filter(bits, key))
                 if len(k):
-                    raw, first, last = b.tobytes(), first[k], last[k]
-                    digs += [hashlib.blake2b(raw[x : y + LENGTH], digest_size=16).digest() for x, y in zip(first.tolist(), last.tolist(), strict=True)]
-                    parts.append((key[k].view(np.int64), np.full(len(k), o), np.full(len(k), tag), first, last, _places(o, tag, first)))
+                    raw, first = text.encode("utf-8", "replace"), first.astype(np.int64)
+                    first, end = first[k], _region_ends(first, len(raw))[k]
+                    digs += [hashlib.blake2b(raw[x:y], digest_size=16).digest() for x, y in zip(first.tolist(), end.tolist(), strict=True)]
+                    parts.append((key[k], np.full(len(k), o), np.full(len(k), tag), first, end, _places(o, tag, first)))
             if parts:
-                yield pd.DataFrame({"dig": digs} | dict(zip(("key", "ord", "tag", "first", "last", "place"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
+                yield pd.DataFrame({"dig": digs} | dict(zip(("key", "ord", "tag", "first", "end", "place"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
 
-    regions = settle(texts.mapInPandas(place_regions, "dig binary, key long, ord long, tag long, first long, last long, place long"), "sx-regions")
+    regions = settle(texts.mapInPandas(place_regions, "dig binary, key long, ord long, tag long, first long, end long, place long"), "sx-regions")
     spot = F.struct("ord", "tag", "first", "place", "key")
     distinct = settle(regions.groupBy("dig").agg(F.min(spot).alias("at"), F.count(F.lit(1)).alias("n")), "sx-distinct")
     # Later occurrences of equal regions: all their strings start earlier in the first one.
     some = distinct.where("n > 1").select("dig", "n", F.struct("at.ord", "at.tag", "at.first").alias("kept"))
-    later = spread_join(regions.select("dig", "ord", "tag", "first", "last", "place"), some, "dig", "n", "place", regions.count())
+    later = spread_join(regions.select("dig", "ord", "tag", "first", "end", "place"), some, "dig", "n", "place", regions.count())
     later = later.where(F.struct("ord", "tag", "first") != F.col("kept"))
-    later = later.select("ord", "tag", F.col("first").alias("lo"), (F.col("last") + LENGTH).alias("hi"))
+    later = later.select("ord", "tag", F.col("first").alias("lo"), F.col("end").alias("hi"))
 
     # Anchors with several distinct regions: suffix arrays over the bytes of their first occurrences.
     busy = distinct.groupBy(F.col("at.key").alias("key")).agg(F.count(F.lit(1)).alias("d")).where("d > 1")
@@ -273,14 +276,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         bits = held_work.value
         for pdf in batches:
             spots, cut = [], []
-            for o, tag, text in zip(pdf["ord"].tolist(), pdf["tag"].tolist(), pdf["text"], strict=True):
-                b = _raw(text)
-                _, first, last = anchors(b)
+            for o, tag, text, first in zip(pdf["ord"].tolist(), pdf["tag"].tolist(), pdf["text"], pdf["firsts"], strict=True):
+                first = first.astype(np.int64)
                 k = np.flatnonzero(_in_filter(bits, _places(o, tag, first)))
                 if len(k):
-                    raw = b.tobytes()
+                    raw = text.encode("utf-8", "replace")
                     spots.append((np.full(len(k), o), np.full(len(k), tag), first[k]))
-                    cut += [raw[x : y + LENGTH] for x, y in zip(first[k].tolist(), last[k].tolist(), strict=True)]
+                    cut += [raw[x:y] for x, y in zip(first[k].tolist(), _region_ends(first, len(raw))[k].tolist(), strict=True)]
             if cut:
                 yield pd.DataFrame(dict(zip(("ord", "tag", "first"), map(np.concatenate, zip(*spots, strict=True)), strict=True)) | {"region": cut})
 
@@ -290,7 +292,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     hot = F.col("d") > hot_regions
     shard = F.when(hot, F.concat_ws(":", F.col("key"), F.pmod(F.xxhash64("dig"), split))).otherwise(F.pmod(F.xxhash64("key"), F.lit(shards)).cast("string"))
     placed = work.select("ord", "tag", "first", hot.alias("hot"), shard.alias("shard"))
-    cut_out = texts.mapInPandas(cut_regions, "ord long, tag long, first long, region binary").join(placed, ["ord", "tag", "first"])
+    cut_out = texts.select("ord", "tag", "text", "firsts").mapInPandas(cut_regions, "ord long, tag long, first long, region binary").join(placed, ["ord", "tag", "first"])
 
     parts = max(1, size // hot_regions) * 4
     ranges = "ord long, tag long, lo long, hi long"

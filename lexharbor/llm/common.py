@@ -76,9 +76,14 @@ def settle(df: DataFrame, tag: str) -> DataFrame:
 
 
 def discard(*settled: DataFrame) -> None:
-    """Delete settled tables of which nothing that is still to be computed reads."""
+    """Delete settled tables of which nothing that is still to be computed reads, and shuffles of finished steps.
+
+    Spark deletes the files of a shuffle when the driver's collector finds its plan unreachable, which
+    may be long after the table that the shuffle served is written.
+    """
     for df in settled:
         remove_path(df.sparkSession, df._scratch)
+    settled[0].sparkSession._jvm.System.gc()
 
 
 def tune(spark: SparkSession) -> None:
@@ -154,7 +159,7 @@ def share_limit(total: int) -> int:
     return max(SHARE_ROWS, total // HOT_KEYS)
 
 
-def with_shares(rows: DataFrame, sizes: DataFrame, key: str, count: str, salt: str, total: int) -> DataFrame:
+def with_shares(rows: DataFrame, sizes: DataFrame, key: str, count: str, salt: str | Column, total: int) -> DataFrame:
     """Add ``_share``: rows of a hot key are dealt by ``salt`` over shares of SHARE_ROWS, all others are share 0.
 
     ``sizes`` has one row for each key, with its ``count``.  Only hot keys are broadcast.
@@ -170,7 +175,7 @@ def for_shares(table: DataFrame, count: str, total: int) -> DataFrame:
     return table.withColumn("_share", F.explode(F.sequence(F.lit(0).cast("long"), shares.cast("long") - 1)))
 
 
-def spread_join(rows: DataFrame, table: DataFrame, key: str, count: str, salt: str, total: int, how: str = "inner") -> DataFrame:
+def spread_join(rows: DataFrame, table: DataFrame, key: str, count: str, salt: str | Column, total: int, how: str = "inner") -> DataFrame:
     """``rows`` joined with ``table`` (one row for each ``key``, with its ``count`` in ``rows``); hot keys are spread."""
     dealt = with_shares(rows, table, key, count, salt, total)
     return dealt.join(for_shares(table, count, total), [key, "_share"], how).drop("_share")

@@ -28,7 +28,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, settle, spread_join, tune, with_membership
@@ -160,14 +160,9 @@ def _raw(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
 
 
-def _places(o: int, tag: int, first: np.ndarray) -> np.ndarray:
-    """A number for each start in a document, for filters only: different starts may share one."""
-    return mix(mix(np.array([o, tag], dtype=np.int64).view(np.uint64)).sum(dtype=np.uint64) + first.astype(np.uint64)).view(np.int64)
-
-
-def _filter_bits(rows: DataFrame, col: str) -> np.ndarray:
-    """Bits of ``rows[col]``; at most FILTER_BITS / 8 bytes reach the driver, whatever the input is."""
-    slot = F.pmod(F.col(col), F.lit(FILTER_BITS)) + 1
+def _filter_bits(rows: DataFrame, value: Column) -> np.ndarray:
+    """Bits of ``value`` over ``rows``; at most FILTER_BITS / 8 bytes reach the driver, whatever the input is."""
+    slot = F.pmod(value, F.lit(FILTER_BITS)) + 1
     pages = rows.groupBy(F.bitmap_bucket_number(slot).alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
     bits = np.zeros((FILTER_BITS // 32768, 4096), dtype=np.uint8)
     for page, got in pages.toLocalIterator():
@@ -241,7 +236,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     texts = settle(texts.mapInPandas(select_anchors, "ord long, tag long, text string, keys array<long>, firsts array<int>"), "sx-texts")
     repeated = texts.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    held = spark.sparkContext.broadcast(_filter_bits(repeated, "key"))
+    held = spark.sparkContext.broadcast(_filter_bits(repeated, F.col("key")))
 
     def place_regions(batches):
         """Where repeated anchors are, and a digest of their regions; the bytes stay behind."""
@@ -254,23 +249,26 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     raw, first = text.encode("utf-8", "replace"), first.astype(np.int64)
                     first, end = first[k], _region_ends(first, len(raw))[k]
                     digs += [hashlib.blake2b(raw[x:y], digest_size=16).digest() for x, y in zip(first.tolist(), end.tolist(), strict=True)]
-                    parts.append((key[k], np.full(len(k), o), np.full(len(k), tag), first, end, _places(o, tag, first)))
+                    parts.append((key[k], np.full(len(k), o), np.full(len(k), tag), first, end))
             if parts:
-                yield pd.DataFrame({"dig": digs} | dict(zip(("key", "ord", "tag", "first", "end", "place"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
+                yield pd.DataFrame({"dig": digs} | dict(zip(("key", "ord", "tag", "first", "end"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
 
-    regions = settle(texts.mapInPandas(place_regions, "dig binary, key long, ord long, tag long, first long, end long, place long"), "sx-regions")
-    spot = F.struct("ord", "tag", "first", "place", "key")
+    regions = settle(texts.mapInPandas(place_regions, "dig binary, key long, ord long, tag long, first long, end long"), "sx-regions")
+    spot = F.struct("ord", "tag", "first", "key")
     distinct = settle(regions.groupBy("dig").agg(F.min(spot).alias("at"), F.count(F.lit(1)).alias("n")), "sx-distinct")
     # Later occurrences of equal regions: all their strings start earlier in the first one.
     some = distinct.where("n > 1").select("dig", "n", F.struct("at.ord", "at.tag", "at.first").alias("kept"))
-    later = spread_join(regions.select("dig", "ord", "tag", "first", "end", "place"), some, "dig", "n", "place", regions.count())
+    later = spread_join(regions.drop("key"), some, "dig", "n", F.struct("ord", "first"), regions.count())
     later = later.where(F.struct("ord", "tag", "first") != F.col("kept"))
-    later = later.select("ord", "tag", F.col("first").alias("lo"), F.col("end").alias("hi"))
+    later = settle(later.select("ord", "tag", F.col("first").alias("lo"), F.col("end").alias("hi")), "sx-later")
+    discard(regions)
 
     # Anchors with several distinct regions: suffix arrays over the bytes of their first occurrences.
     busy = distinct.groupBy(F.col("at.key").alias("key")).agg(F.count(F.lit(1)).alias("d")).where("d > 1")
     work = settle(spread_join(distinct.select("dig", "at.*"), busy, "key", "d", "dig", distinct.count()), "sx-work")
-    held_work = spark.sparkContext.broadcast(_filter_bits(work, "place"))
+    discard(distinct)
+    # ``tag`` is a digest of the text, so its sum without carry with a start spreads well over the filter.
+    held_work = spark.sparkContext.broadcast(_filter_bits(work, F.col("tag").bitwiseXOR(F.col("first"))))
 
     def cut_regions(batches):
         bits = held_work.value
@@ -278,7 +276,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             spots, cut = [], []
             for o, tag, text, first in zip(pdf["ord"].tolist(), pdf["tag"].tolist(), pdf["text"], pdf["firsts"], strict=True):
                 first = first.astype(np.int64)
-                k = np.flatnonzero(_in_filter(bits, _places(o, tag, first)))
+                k = np.flatnonzero(_in_filter(bits, first ^ tag))
                 if len(k):
                     raw = text.encode("utf-8", "replace")
                     spots.append((np.full(len(k), o), np.full(len(k), tag), first[k]))
@@ -317,6 +315,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return out.astype({c: "Int64" for c in ("ord", "tag", "lo", "hi", "part")})
 
     found = settle(cut_out.groupBy("shard").applyInPandas(build, f"{ranges}, {runs}"), "sx-found")
+    discard(texts, work)
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         """Merge sorted runs one by one: binary search tells which strings an earlier run has."""
@@ -343,7 +342,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     crossed = found.where("part is not null").groupBy("part").applyInPandas(merge, ranges)
     cover = later.unionByName(found.where("part is null").select("ord", "tag", "lo", "hi")).unionByName(crossed)
     cover = settle(cover.groupBy("ord", "tag").agg(F.collect_list(F.struct("lo", "hi")).alias("cover")), "sx-cover")
-    discard(texts, regions, distinct, work, found)
+    discard(later, found)
 
     def cut(batches):
         for pdf in batches:

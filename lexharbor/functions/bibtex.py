@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ranking import global_rank
 from .text import blank_to_null
 
 
@@ -68,12 +69,14 @@ def with_keys(df: DataFrame, order: str) -> DataFrame:
     ``order`` is unique.  A suffixed key can only meet a natural key with the same surname and year,
     so only such groups with a real clash are replayed in order; all others take a row number.
     """
-    keyed = df.withColumn("_base", entry_key(df["authors"], df["year"], df["publication_year"], df["title"])).withColumn("_ord", F.col(order))
-    keyed = keyed.withColumn("_root", F.regexp_extract("_base", "^([a-z]*[^a-z]*)", 1))
-    n = F.row_number().over(Window.partitionBy("_base").orderBy("_ord")) - 1
-    tried = keyed.withColumn("_n", n).withColumn("bib_key", F.when(F.col("_n") == 0, F.col("_base")).otherwise(F.concat("_base", _letter(F.lit(96) + F.col("_n")))))
-    natural = keyed.select(F.col("_base").alias("bib_key")).distinct()
-    clash = tried.where("_n > 0").join(natural, "bib_key", "left_semi").select("_root").distinct()
-    replayed = keyed.join(clash, "_root", "left_semi").select("_root", "_base", "_ord").groupBy("_root").applyInPandas(_replay, "_ord long, bib_key string")
-    fixed = replayed.withColumnRenamed("bib_key", "_fixed")
-    return tried.join(fixed, "_ord", "left").withColumn("bib_key", F.coalesce("_fixed", "bib_key")).drop("_fixed", "_base", "_ord", "_root", "_n")
+    base = entry_key(df["authors"], df["year"], df["publication_year"], df["title"])
+    # Numbered over ranges: records without authors, year and title may all share one key.
+    placed = global_rank(df.select(F.col(order).alias("_ord"), base.alias("_base")), ["_base", "_ord"], "_place")
+    placed = placed.withColumn("_root", F.regexp_extract("_base", "^([a-z]*[^a-z]*)", 1))
+    firsts = placed.groupBy("_base").agg(F.min("_place").alias("_first"))
+    tried = placed.join(firsts, "_base").withColumn("_n", F.col("_place") - F.col("_first"))
+    tried = tried.withColumn("bib_key", F.when(F.col("_n") == 0, F.col("_base")).otherwise(F.concat("_base", _letter(F.lit(96) + F.col("_n")))))
+    clash = tried.where("_n > 0").join(firsts.select(F.col("_base").alias("bib_key")), "bib_key", "left_semi").select("_root").distinct()
+    replayed = placed.join(clash, "_root", "left_semi").select("_root", "_base", "_ord").groupBy("_root").applyInPandas(_replay, "_ord long, bib_key string")
+    keys = tried.join(replayed.withColumnRenamed("bib_key", "_fixed"), "_ord", "left").select("_ord", F.coalesce("_fixed", "bib_key").alias("bib_key"))
+    return df.join(keys, F.col(order) == F.col("_ord")).drop("_ord")

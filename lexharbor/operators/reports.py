@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import short_label
+from .ranking import global_rank
 
 
 def value_counts(df: DataFrame, col: str, null_as: str | None = None, keep_null: bool = False) -> DataFrame:
@@ -15,23 +18,44 @@ def value_counts(df: DataFrame, col: str, null_as: str | None = None, keep_null:
     return (out if keep_null else out.where("value is not null")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def quantiles(df: DataFrame, col: str, shares: Mapping[str, float], by: str | None = None) -> DataFrame:
+    """n, min, max and the named shares (interpolated linearly) of ``col``, for each ``by`` if given.
+
+    Values are ranked over ranges and only those next to a wanted place are read, so no task holds the
+    values of a group.  Nulls are left out; a group without values has no row, and neither has an empty
+    table if ``by`` is given.
+    """
+    group = F.col(by) if by else F.lit(0)
+    values = df.where(F.col(col).isNotNull()).select(group.alias("_g"), F.col(col).alias("_v"), F.rand(0).alias("_tie"))  # a value that many rows share is split
+    ranked = global_rank(values, ["_g", "_v", "_tie"], "_r")
+    groups = ranked.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), F.min("_r").alias("_first"), F.min("_v").alias("min"), F.max("_v").alias("max"))
+    place = {name: F.lit(float(share)) * (F.col("n") - 1) for name, share in shares.items()}
+    spots = [c for p in place.values() for c in (F.floor(p), F.ceil(p))]
+    # Spots are at most two for each share and group, so a hot group sends hardly any row on.
+    wanted = groups.select(F.col("_g").alias("_of"), F.explode(F.array_distinct(F.transform(F.array(*spots), lambda c: c + F.col("_first")))).alias("_at"))
+    near = ranked.join(wanted, F.col("_r") == F.col("_at")).groupBy("_of").agg(F.map_from_entries(F.collect_list(F.struct("_at", "_v"))).alias("_near"))
+
+    def value(p: Column) -> Column:
+        low, high = F.floor(p), F.ceil(p)
+        at = lambda c: F.element_at("_near", c + F.col("_first"))
+        return F.when(low == high, at(low)).otherwise((high - p) * at(low) + (p - low) * at(high))
+
+    out = groups.join(near, F.col("_g").eqNullSafe(F.col("_of")))
+    return out.select(*([F.col("_g").alias(by)] if by else []), "n", "min", "max", *[value(p).alias(name) for name, p in place.items()])
+
+
 def score_stats(df: DataFrame, col: str = "embed_score") -> DataFrame:
-    """n, min, median, p75, p90, max, and how many reach p75 (percentiles interpolate linearly)."""
-    s = df.where(F.col(col).isNotNull())
-    stats = s.agg(
-        F.count(F.lit(1)).alias("n"), F.min(col).alias("min"), F.percentile(col, F.lit(0.5)).alias("median"),
-        F.percentile(col, F.lit(0.75)).alias("p75"), F.percentile(col, F.lit(0.9)).alias("p90"), F.max(col).alias("max"),
-    )
-    above = s.crossJoin(F.broadcast(stats.select("p75"))).agg(F.count_if(F.col(col) >= F.col("p75")).alias("n_p75"))  # one row
-    return stats.crossJoin(above)
+    """n, min, median, p75, p90, max, and how many reach p75; one row, also without scores."""
+    stats = quantiles(df, col, {"median": 0.5, "p75": 0.75, "p90": 0.9})
+    stats = df.sparkSession.range(1).drop("id").join(stats, F.lit(True), "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("long"))  # one row
+    above = df.where(F.col(col).isNotNull()).join(F.broadcast(stats.select("p75")), F.col(col) >= F.col("p75")).agg(F.count(F.lit(1)).alias("n_p75"))
+    return stats.select("n", "min", "median", "p75", "p90", "max").crossJoin(above)  # one row each
 
 
 def anchor_coverage(df: DataFrame, anchors: DataFrame, min_score: float = 0.45) -> DataFrame:
     """A row for each anchor, also without records: n, median, p10, p90, max of the scores above the limit."""
-    s = df.where(F.col("embed_score") >= min_score).groupBy(F.col("embed_top_anchor").alias("anchor_idx")).agg(
-        F.count(F.lit(1)).alias("n"), F.percentile("embed_score", F.lit(0.5)).alias("median"), F.percentile("embed_score", F.lit(0.1)).alias("p10"),
-        F.percentile("embed_score", F.lit(0.9)).alias("p90"), F.max("embed_score").alias("max"),
-    )
+    s = quantiles(df.where(F.col("embed_score") >= min_score), "embed_score", {"median": 0.5, "p10": 0.1, "p90": 0.9}, "embed_top_anchor")
+    s = s.select(F.col("embed_top_anchor").alias("anchor_idx"), "n", "median", "p10", "p90", "max")
     return anchors.select("anchor_idx").join(s, "anchor_idx", "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("long"))
 
 
@@ -65,7 +89,7 @@ def markdown_report(df: DataFrame, anchors: DataFrame, min_score: float = 0.45,
     """The coverage table and the best records of each anchor; a few rows reach the driver."""
     names = labels or {r[0]: r[1] for r in anchors.select("anchor_idx", short_label(F.col("text"))).collect()}
     t = global_totals(df, min_score).first()
-    st = df.where("embed_score is not null").agg(F.min("embed_score"), F.max("embed_score"), F.percentile("embed_score", F.lit(0.5))).first()
+    st = quantiles(df, "embed_score", {"median": 0.5}).select("min", "max", "median").first() or (None, None, None)
     num = lambda x: "—" if x is None else f"{x:.3f}"
     lines = [
         "# Anchor coverage",

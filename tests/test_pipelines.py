@@ -105,6 +105,24 @@ def test_vectors(spark):
         vectors.checked(df, 3).select(F.sum(F.size("embedding"))).collect()
 
 
+def test_quantiles_equal_those_of_numpy(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    rows = [(int(g), float(v)) for g, v in zip(rng.choice(3, 900, p=[0.8, 0.19, 0.01]), rng.choice([0.0, 0.25, 0.5, *rng.random(60)], 900), strict=True)]
+    df = spark.createDataFrame([*rows, (1, None), (4, None), (None, 2.0)], "g int, v double")
+    shares = {"low": 0.1, "mid": 0.5, "high": 0.9, "top": 1.0}
+    got = {r["g"]: r for r in reports.quantiles(df, "v", shares, "g").collect()}
+    assert set(got) == {g for g, _ in rows} | {None} and got[None]["mid"] == 2.0
+    for g in {g for g, _ in rows}:
+        own = [v for h, v in rows if h == g]
+        assert (got[g]["n"], got[g]["min"], got[g]["max"]) == (len(own), min(own), max(own))
+        assert [got[g][s] for s in shares] == pytest.approx(np.quantile(own, list(shares.values())).tolist())
+    whole = reports.quantiles(df, "v", shares).collect()
+    assert len(whole) == 1 and whole[0]["high"] == pytest.approx(np.quantile([*[v for _, v in rows], 2.0], 0.9))
+    assert reports.score_stats(df.where("g = 4"), "v").first().asDict() == {"n": 0, "min": None, "median": None, "p75": None, "p90": None, "max": None, "n_p75": 0}
+
+
 def test_reports_without_rows(spark):
     none = spark.createDataFrame([], "ord long, embed_score double, embed_top_anchor int")
     anchors = spark.createDataFrame([(0, "A"), (1, "B")], "anchor_idx int, text string")

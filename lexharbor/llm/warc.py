@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, settle, tune
+from .common import scratch, settle, tune, with_membership
 
 INDEX = "page_id long, url string, file string, offset long, length long, digest string, payload_bytes long, record_type string, refers_to long"
 #: An archive is closed beyond this size, a range ends at this size, and gaps up to this are read over.
@@ -100,8 +100,14 @@ def record_decisions(pages: DataFrame, id_col: str, payload_col: str, revisit_by
         large.join(groups, ["sha1", "check"]).where(~F.col("page_id").eqNullSafe(F.col("first_id"))).select("page_id", F.col("first_id").alias("refers_to"), F.col("sha1").alias("r_sha1")).distinct(),
         "warc-revisits",
     )
-    same = rows["page_id"].eqNullSafe(revisits["page_id"]) & (rows["sha1"] == revisits["r_sha1"])
-    return rows.join(revisits, same, "left").select(rows["page_id"], "url", "payload", "sha1", "refers_to")
+    # Only rows that may be revisits are shuffled; all other payloads stay where they were read.
+    spot = F.xxhash64("page_id", "sha1")
+    revisits = revisits.select(F.col("page_id").alias("r_id"), "r_sha1", "refers_to", F.xxhash64("page_id", "r_sha1").alias("r_spot"))
+    judged = with_membership(rows.drop("check").withColumn("spot", spot), "spot", revisits, "r_spot", "maybe")
+    same = F.col("page_id").eqNullSafe(F.col("r_id")) & (F.col("sha1") == F.col("r_sha1"))
+    out = ["page_id", "url", "payload", "sha1", "refers_to"]
+    known = judged.where("not maybe").withColumn("refers_to", F.lit(None).cast("long")).select(*out)
+    return known.unionByName(judged.where("maybe").join(revisits, same, "left").select(*out))
 
 
 def write_archives(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", revisit_bytes: int = 1000, compress: bool = True, path: str | None = None) -> DataFrame:
@@ -146,12 +152,15 @@ def read_archives(selected: DataFrame) -> DataFrame:
     tune(selected.sparkSession)
     cell = F.floor(F.col("offset") / F.lit(RANGE_BYTES))  # bounds a range; a record belongs to the cell it starts in
     ranges = selected.groupBy("file", cell.alias("cell")).agg(F.array_sort(F.collect_list(F.struct("offset", "length"))).alias("spans"))
+    ranges = ranges.sortWithinPartitions("file", "cell")  # each archive is opened once in a task
 
     def read(batches):
         opened, at, held = None, None, None
         for pdf in batches:
             for file, spans in zip(pdf["file"], pdf["spans"], strict=True):
                 if file != opened:
+                    if held is not None:
+                        held.close()
                     at, root = fs.FileSystem.from_uri(file)
                     held, opened = at.open_input_file(root), file
                 spans = [(int(s["offset"]), int(s["length"])) for s in spans]
@@ -178,6 +187,8 @@ def read_archives(selected: DataFrame) -> DataFrame:
                         ))
                 got = pd.DataFrame(rows, columns=["page_id", "url", "record_type", "digest", "payload_bytes", "refers_to", "payload", "file", "offset"])
                 yield got.astype({"page_id": "Int64", "refers_to": "Int64"})
+        if held is not None:
+            held.close()
 
     return ranges.mapInPandas(
         read, "page_id long, url string, record_type string, digest string, payload_bytes long, refers_to long, payload binary, file string, offset long"

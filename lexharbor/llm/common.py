@@ -181,6 +181,22 @@ def spread_join(rows: DataFrame, table: DataFrame, key: str, count: str, salt: s
     return dealt.join(for_shares(table, count, total), [key, "_share"], how).drop("_share")
 
 
+def joined_spread(rows: DataFrame, table: DataFrame, key: str, salt: str | Column, how: str = "inner", counted: DataFrame | None = None) -> DataFrame:
+    """``rows`` joined with ``table`` (one row for each ``key``); keys that are hot in ``rows`` are spread.
+
+    Rows are counted first (``counted``: a table with the same keys as often), so give settled ones.
+    """
+    counted = rows if counted is None else counted
+    total = counted.count()
+    hot = counted.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > share_limit(total))
+    hot = settle(hot, "hot")
+    if hot.isEmpty():
+        return rows.join(table, key, how)
+    dealt = with_shares(rows, hot, key, "_rows", salt, total)
+    held = for_shares(table.join(F.broadcast(hot), key, "left"), "_rows", total).drop("_rows")  # fewer than HOT_KEYS keys
+    return dealt.join(held, [key, "_share"], how).drop("_share")
+
+
 # ---------------------------------------------------------------- global ranks without one task
 def dense_index(df: DataFrame, order: list, tag: str, out: str = "idx") -> DataFrame:
     """``df`` with ``out`` = 0,1,2,... in the given order, written to the shared folder.

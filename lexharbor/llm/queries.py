@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, langid, licences, mixing, near_dedup, packing, suffix_dedup, warc
+from . import chat, collocations, decontaminate, exact_dedup, fim, langid, licences, mixing, near_dedup, packing, quality, suffix_dedup, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +72,22 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.fill_in_middle(_table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c, 256)
+    back = fim.restored(F.col("output"), F.col("form"))
+    return out.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", digest("output").alias("output_sha256"), digest(back).alias("restored_sha256"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "reason")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # at the top of the repository, beside the package
 
@@ -89,6 +105,9 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_near_dedup": op9_near_dedup,
     "op10_mix": op10_mix,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_collocations": op13_collocations,
     "pipeline": pipeline,
 }
 
@@ -127,4 +146,30 @@ r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM
 c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
 SELECT w.doc_id, CAST(COALESCE(n.n, 0) AS BIGINT) AS n_shingles, component_id, w.doc_id = component_id AS kept
 FROM w LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)""",
+    "op11_fill_in_middle": r"""
+WITH d AS (SELECT doc_id, COALESCE(text, '') AS t, sha256('7:' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+l AS (SELECT *, CASE WHEN t = '' THEN [] ELSE regexp_extract_all(t, '[^\n]*\n|[^\n]+') END AS l, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+    CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, len(l) AS n, least(h1 % (len(l) + 1), h2 % (len(l) + 1)) AS a, greatest(h1 % (len(l) + 1), h2 % (len(l) + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM l),
+p AS (SELECT *, array_to_string(l[1:a], '') AS p, array_to_string(l[a + 1:b], '') AS m, array_to_string(l[b + 1:], '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(t) AS restored_sha256 FROM p""",
+    "op13_collocations": r"""
+WITH d AS (SELECT COALESCE(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+g AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase FROM p, range(1, 6) AS s(m)),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(f) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 100),
+i AS (SELECT lang, f, unnest([array_to_string(w[1:m - 1], ' '), array_to_string(w[2:m], ' ')]) AS phrase FROM c WHERE m > 2),
+k AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.lang = c.lang AND i.phrase = c.phrase AND i.f >= c.f)),
+u AS (SELECT lang, phrase, f AS a, w, m, unnest(range(1, m)) AS cut FROM k),
+s AS (SELECT u.lang, u.phrase, u.a, u.cut, x.f AS l, y.f AS r, t.n, (1000::HUGEINT * u.a * t.n) // (x.f::HUGEINT * y.f) AS score FROM u
+    JOIN f x ON x.lang = u.lang AND x.phrase = array_to_string(u.w[1:u.cut], ' ') JOIN f y ON y.lang = u.lang AND y.phrase = array_to_string(u.w[u.cut + 1:u.m], ' ') JOIN t ON t.lang = u.lang),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM b QUALIFY rank <= 2000""",
 }

@@ -1,34 +1,23 @@
-"""Hashes of words and word shingles, vectorised over the bytes of whole batches."""
+"""Hashes of words and word shingles of whole batches.
+
+Words are hashed with a keyed 64-bit function (SipHash), so no pattern in their letters makes two of
+them collide: among n words two share a hash with probability below n * n / 2**65.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: As _SPACE, with all ASCII characters that are neither letters nor digits.
 BREAKS = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
-_LOWER = np.arange(256, dtype=np.uint64)
-_LOWER[65:91] += np.uint64(32)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INV = pow(_BASE, -1, 1 << 64)
 _JOIN = np.uint64(0xD6E8FEB86659FD93)
-#: Bytes that are hashed at once; a longer word is hashed in one go all the same.
-_PIECE = 1 << 19
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _power_tables(n: int) -> list[np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i below ``n`` at least."""
-    if len(_powers[0]) < n:
-        size = max(n, 2 * len(_powers[0]), 1 << 16)
-        for k, b in enumerate((_BASE, _INV)):
-            steps = np.full(size, b, dtype=np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps, dtype=np.uint64)
-    return _powers
+#: Words that are held at once; those of one text are held together all the same.
+_PIECE = 1 << 17
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -38,29 +27,25 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def hash_words(words: list[bytes]) -> np.ndarray:
+    return pd.util.hash_array(np.array(words, dtype=object), categorize=False) if words else np.zeros(0, np.uint64)
+
+
 def batch_words(texts: list, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, bounds): a hash of each word, A-Z lower-cased; those of text i are hashes[bounds[i]:bounds[i + 1]].
 
     Words are runs without ``breaks`` (ASCII white space); what is no text has none.
     """
-    raw = [t.encode("utf-8", "replace") if isinstance(t, str) else b"" for t in texts]
-    b = np.frombuffer(b"\n".join([b"", *raw, b""]), dtype=np.uint8)
-    inside = ~breaks[b]
-    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-    starts, ends = edges[0::2], edges[1::2]
-    bounds = np.searchsorted(starts, np.cumsum([1] + [len(r) + 1 for r in raw]))
-    out, first = np.zeros(len(starts), dtype=np.uint64), 0
-    while first < len(starts):
-        at = int(starts[first])
-        last = max(first + 1, int(np.searchsorted(ends, at + _PIECE, side="right")))
-        part = b[at : int(ends[last - 1])]
-        power, inverse = _power_tables(len(part) + 1)
-        total = np.zeros(len(part) + 1, dtype=np.uint64)
-        np.cumsum((_LOWER[part] + np.uint64(1)) * power[: len(part)], out=total[1:])
-        s, e = starts[first:last] - at, ends[first:last] - at
-        out[first:last] = mix((total[e] - total[s]) * inverse[s])
-        first = last
-    return out, bounds
+    table = bytes(32 if breaks[i] else i + 32 if 65 <= i <= 90 else i for i in range(256))
+    bounds, held, done = np.zeros(len(texts) + 1, dtype=np.int64), [], []
+    for i, t in enumerate(texts):
+        own = t.encode("utf-8", "replace").translate(table).split() if isinstance(t, str) else []
+        bounds[i + 1] = bounds[i] + len(own)
+        held += own
+        if len(held) >= _PIECE:
+            done.append(hash_words(held))
+            held = []
+    return np.concatenate([*done, hash_words(held)]), bounds
 
 
 def word_hashes(text, breaks: np.ndarray = _SPACE) -> np.ndarray:

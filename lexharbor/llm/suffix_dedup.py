@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, settle, spread_join, tune, with_membership
-from .shingles import _power_tables, mix
+from .shingles import mix
 
 LENGTH, GRAM = 100, 32
 #: Bits of the filters that the texts meet: 16 MiB each whatever the input is.
@@ -43,6 +43,20 @@ SHARD_BYTES, HOT_REGIONS = 1 << 20, 8000
 STRETCH = 1 << 18
 _LAST = (1 << 63) - 1
 _POS = np.uint64((1 << 24) - 1)
+_BASE = 0x9E3779B97F4A7C15 | 1
+_INV = pow(_BASE, -1, 1 << 64)
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _power_tables(n: int) -> list[np.ndarray]:
+    """base**i and base**-i modulo 2**64 for i below ``n`` at least."""
+    if len(_powers[0]) < n:
+        size = max(n, 2 * len(_powers[0]), 1 << 16)
+        for k, b in enumerate((_BASE, _INV)):
+            steps = np.full(size, b, dtype=np.uint64)
+            steps[0] = 1
+            _powers[k] = np.cumprod(steps, dtype=np.uint64)
+    return _powers
 
 
 def anchors(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -3,13 +3,16 @@
 1. **Words** are counted for each language.  The frequencies of the frequent ones are held in a table
    of ``SLOTS`` numbers, whatever the vocabulary is: it orders words by rarity and shows which are
    infrequent (a shared slot makes a word look more frequent, which costs work and changes no count).
-2. **Rewriting.**  The pivot of a phrase is its rarest word, the leftmost if it stands there twice.
+2. **Pairs** of neighbouring frequent words are counted by hash; a filter of ``PAIR_BITS`` bits shows
+   which may be frequent.  No frequent phrase goes across another pair.  (Equal hashes and shared bits
+   let a pair pass, which costs work and changes no count.)
+3. **Rewriting.**  The pivot of a phrase is its rarest word, the leftmost if it stands there twice.
    Around every word of a text the fragment is cut in which all phrases of this pivot lie: up to
-   ``longest`` - 1 words on either side, as far as no word is rarer (to the left: no word is as rare).
-   Other words never matter to this pivot, so they are left out.
-3. **Routing.**  Fragments go to their pivot's partition, equal ones as one row with a count.  The
+   ``longest`` - 1 words on either side, as far as pairs may be frequent and no word is rarer (to the
+   left: no word is as rare).  Other words never matter to this pivot, so they are left out.
+4. **Routing.**  Fragments go to their pivot's partition, equal ones as one row with a count.  The
    fragments of a pivot with more than ``SHARE_WORDS`` occurrences are dealt over shares.
-4. **Mining.**  In its partition, every fragment gives the phrases that hold its pivot; an infrequent
+5. **Mining.**  In its partition, every fragment gives the phrases that hold its pivot; an infrequent
    phrase never leaves the partition, unless its pivot has shares that must be added up first.
 
 A phrase of k words has its score at the weakest of its cuts.  A phrase is redundant if a longer
@@ -23,6 +26,7 @@ long texts are cut in one pass; an empty table gives an empty result; extra colu
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -34,8 +38,13 @@ from .shingles import hash_words, mix
 
 #: Entries of the rarity table; steps of an octave that it tells apart.
 SLOTS, STEPS = 1 << 20, 1024
-#: Occurrences of a pivot in one share, and fragments that a task combines before it sends them on.
-SHARE_WORDS, COMBINED = 1 << 18, 100_000
+#: Bits of the filter of pairs, and pairs that a task combines before it sends them on.
+PAIR_BITS, PAIRS = 1 << 26, 1 << 21
+#: Characters of texts that are looked at together.
+JOINED = 1 << 19
+#: Occurrences of a pivot in one share, and different fragments that a task combines
+#: before it sends them on, SENT rows at once.
+SHARE_WORDS, COMBINED, SENT = 1 << 18, 1 << 19, 1 << 16
 #: Characters that end a piece, and all that end a word (fixed values).
 BREAK = r".,;:!?\x0A-\x0D"
 _GAPS = re.compile(rb"[\x20\x09]+")
@@ -43,6 +52,8 @@ _IS_BREAK = np.zeros(256, dtype=bool)
 _IS_BREAK[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
 _IS_END = _IS_BREAK.copy()
 _IS_END[[9, 32]] = True
+_BEFORE = [bytes([n]) for n in range(256)]
+_TO_SPACE = bytes(32 if _IS_END[i] else i for i in range(256))
 
 
 def _language(lang_col: str):
@@ -57,9 +68,13 @@ def word_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     return rows.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("f"))
 
 
-def word_keys(words: list[bytes], langs: list[str]) -> np.ndarray:
+def word_keys(words: list[bytes], lang: str) -> np.ndarray:
     """A hash of each word in its language."""
-    return mix(hash_words(words) ^ hash_words([s.encode() for s in langs]) * np.uint64(3))
+    return mix(hash_words(words) ^ hash_words([lang.encode()]) * np.uint64(3))
+
+
+def levels_of(levels: np.ndarray, key: np.ndarray) -> np.ndarray:
+    return levels[(key & np.uint64(len(levels) - 1)).astype(np.int64)]
 
 
 def rarity_levels(frequent: DataFrame, least: int) -> np.ndarray:
@@ -67,9 +82,10 @@ def rarity_levels(frequent: DataFrame, least: int) -> np.ndarray:
 
     def levels(batches):
         for pdf in batches:
-            key = word_keys([w.encode() for w in pdf["word"]], pdf["lang"].tolist())
-            level = 1 + np.floor(STEPS * np.log2(pdf["f"].to_numpy(np.float64) / least)).astype(np.int64)
-            yield pd.DataFrame({"slot": (key % np.uint64(SLOTS)).astype(np.int64), "level": np.minimum(level, 65535)})
+            for lang, own in pdf.groupby("lang", sort=False):
+                key = word_keys([w.encode() for w in own["word"]], lang)
+                level = 1 + np.floor(STEPS * np.log2(own["f"].to_numpy(np.float64) / least)).astype(np.int64)
+                yield pd.DataFrame({"slot": (key & np.uint64(SLOTS - 1)).astype(np.int64), "level": np.minimum(level, 65535)})
 
     held = frequent.mapInPandas(levels, "slot long, level long").groupBy("slot").agg(F.max("level").alias("level")).toPandas()  # SLOTS rows at most
     table = np.zeros(SLOTS, dtype=np.uint16)
@@ -77,79 +93,152 @@ def rarity_levels(frequent: DataFrame, least: int) -> np.ndarray:
     return table
 
 
-def cut_fragments(texts: list, langs: list[str], levels: np.ndarray, longest: int):
-    """(lang, pivot's hash, pivot's level, words before the pivot, fragment) of every frequent word with company."""
-    for text, lang in zip(texts, langs, strict=True):
-        raw = _GAPS.sub(b" ", text.encode("utf-8").lower())
-        b = np.frombuffer(b" " + raw + b" ", np.uint8)
-        inside = ~_IS_END[b]
-        edges = np.flatnonzero(inside[1:] != inside[:-1])
-        starts, ends = edges[0::2], edges[1::2]  # places in ``raw``
-        if len(starts) < 2:
-            continue
-        piece = np.cumsum(_IS_BREAK[b])[starts + 1]
-        key = mix(hash_words([raw[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]) ^ hash_words([lang.encode()]) * np.uint64(3))
-        level = levels[(key % np.uint64(len(levels))).astype(np.int64)].astype(np.uint64)
-        # Higher is rarer; infrequent words are a wall on both sides.
-        rarity = np.where(level > 0, ((np.uint64(65535) - level) << np.uint64(47)) | (key >> np.uint64(17)), np.uint64(1 << 63))
-        left, right = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
-        before, after = level > 0, level > 0
-        for d in range(1, min(longest, len(key))):
-            together = piece[d:] == piece[:-d]
-            before = np.concatenate([np.zeros(d, bool), before[d:] & together & (rarity[:-d] < rarity[d:])])
-            after = np.concatenate([after[:-d] & together & (rarity[d:] <= rarity[:-d]), np.zeros(d, bool)])
-            left += before
-            right += after
-        at = np.flatnonzero(left + right)
-        first, last = starts[at - left[at]], ends[at + right[at]]
-        for k, lv, n, a, z in zip(key[at].view(np.int64).tolist(), level[at].tolist(), left[at].tolist(), first.tolist(), last.tolist(), strict=True):
-            yield lang, k, lv, n, raw[a:z]
-
-
-def fragments(docs: DataFrame, levels: np.ndarray, least: int, longest: int, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, pivot, share, shares, before, fragment, n): the rewritten texts, equal ones of a task combined."""
+def _joined(batches):
+    """(lang, texts) of a batch: texts of a language are joined by breaks, so no phrase goes across them."""
+    for pdf in batches:
+        for lang, texts in pdf.groupby("lang", sort=False)["text"]:
+            held, size = [], 0
+            for text in texts:
+                held.append(text)
+                size += len(text)
+                if size >= JOINED:
+                    yield lang, "\n".join(held)
+                    held, size = [], 0
+            if held:
+                yield lang, "\n".join(held)
+
+
+def _text_words(text: str, lang: str, levels: np.ndarray):
+    """(raw, starts, ends, keys, levels, pairs): a text's words, and which neighbours stand in one piece and are frequent."""
+    raw = text.encode("utf-8").lower()
+    if b"\t" in raw or b"  " in raw:
+        raw = _GAPS.sub(b" ", raw)
+    b = np.frombuffer(b" " + raw + b" ", np.uint8)
+    inside = ~_IS_END[b]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[0::2], edges[1::2]  # places in ``raw``
+    key = word_keys(raw.translate(_TO_SPACE).split(), lang)
+    level = levels_of(levels, key).astype(np.uint64)
+    # Words of one piece have no break between them.
+    pairs = (level[1:] > 0) & (level[:-1] > 0) & (starts[1:] - ends[:-1] == 1) & ~_IS_BREAK[b[ends[:-1] + 1]]
+    return raw, starts, ends, key, level, pairs
+
+
+def _pair_hashes(key: np.ndarray) -> np.ndarray:
+    return mix(key[:-1] * np.uint64(0xD6E8FEB86659FD93) + key[1:])
+
+
+def pair_filter(docs: DataFrame, levels: np.ndarray, least: int, text_col: str = "text", lang_col: str = "lang") -> np.ndarray:
+    """A bitmap of the hashes of all pairs that occur ``least`` times: PAIR_BITS bits, whatever the input is."""
     held = docs.sparkSession.sparkContext.broadcast(levels)  # 2 * SLOTS bytes
 
-    def rows(found: dict) -> pd.DataFrame:
-        out = pd.DataFrame([(*k[:3], k[3], k[4].decode("utf-8"), n) for k, n in found.items()], columns=["lang", "pivot", "level", "before", "fragment", "n"])
-        words = least * np.exp2(out["level"].to_numpy(np.float64) / STEPS)
-        out["shares"] = np.ceil(words / SHARE_WORDS).astype(np.int64)
-        spread = hash_words([k[4] for k in found]) >> np.uint64(1)
-        out["share"] = spread.astype(np.int64) % out["shares"].to_numpy()
-        return out[["lang", "pivot", "share", "shares", "before", "fragment", "n"]]
+    def counted(parts: list) -> pd.DataFrame:
+        pairs, n = np.unique(np.concatenate(parts), return_counts=True)
+        return pd.DataFrame({"pair": pairs.view(np.int64), "n": n})
+
+    def count(batches):
+        parts, size = [], 0
+        for lang, text in _joined(batches):
+            _, _, _, key, _, pairs = _text_words(text, lang, held.value)
+            parts.append(_pair_hashes(key)[pairs] if len(key) > 1 else np.zeros(0, np.uint64))
+            size += len(parts[-1])
+            if size >= PAIRS:
+                yield counted(parts)
+                parts, size = [], 0
+        if parts:
+            yield counted(parts)
+
+    pairs = _texts(docs, text_col, lang_col).mapInPandas(count, "pair long, n long")
+    slot = F.pmod("pair", F.lit(PAIR_BITS)) + 1
+    found = pairs.groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    pages = found.groupBy(F.bitmap_bucket_number(slot).alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    bitmap = np.zeros(PAIR_BITS // 8, dtype=np.uint8)
+    for page, bits in pages.collect():  # 4 KiB for each 32768 bits of the filter
+        bitmap[(page - 1) * 4096 : page * 4096] = np.frombuffer(bits, np.uint8)
+    return bitmap
+
+
+def cut_fragments(text: str, lang: str, levels: np.ndarray, longest: int, bitmap: np.ndarray | None = None) -> list[bytes]:
+    """The fragment of every frequent word with company, behind a byte that tells how many words stand before the pivot."""
+    raw, starts, ends, key, level, pairs = _text_words(text, lang, levels)
+    if len(key) < 2:
+        return []
+    if bitmap is not None:
+        slot = (_pair_hashes(key) & np.uint64(8 * len(bitmap) - 1)).astype(np.int64)
+        pairs &= (bitmap[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+    # Higher is rarer.
+    rarity = ((np.uint64(65535) - level) << np.uint64(47)) | (key >> np.uint64(17))
+    left, right = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
+    # The d-th word on a side follows if all before it did, its pair is open and it is no rarer.
+    more = np.flatnonzero(pairs) + 1
+    for d in range(1, longest):
+        more = more[rarity[more - d] < rarity[more]]
+        left[more] = d
+        more = more[more > d]
+        more = more[pairs[more - d - 1]]
+    more = np.flatnonzero(pairs)
+    for d in range(1, longest):
+        more = more[rarity[more + d] <= rarity[more]]
+        right[more] = d
+        more = more[more + d < len(pairs)]
+        more = more[pairs[more + d]]
+    at = np.flatnonzero(left + right)
+    first, last = starts[at - left[at]], ends[at + right[at]]
+    return [_BEFORE[n] + raw[a:z] for n, a, z in zip(left[at].tolist(), first.tolist(), last.tolist(), strict=True)]
+
+
+def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    return docs.select(_language(lang_col).alias("lang"), F.col(text_col).alias("text")).where("text <> ''")
+
+
+def fragments(docs: DataFrame, levels: np.ndarray, bitmap: np.ndarray, least: int, longest: int, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(lang, pivot, share, shares, before, fragment, n): the rewritten texts, equal ones of a task combined."""
+    held = docs.sparkSession.sparkContext.broadcast((levels, bitmap))  # 2 * SLOTS and PAIR_BITS / 8 bytes
+
+    def rows(lang: str, keys: list[bytes], n: list[int]) -> pd.DataFrame:
+        before = [k[0] for k in keys]
+        pivot = word_keys([k[1:].split(b" ")[b] for k, b in zip(keys, before, strict=True)], lang)
+        level = levels_of(held.value[0], pivot).astype(np.float64)
+        shares = np.ceil(least * np.exp2(level / STEPS) / SHARE_WORDS).astype(np.int64)
+        share = (hash_words(keys) >> np.uint64(1)).astype(np.int64) % shares
+        text = [k[1:].decode("utf-8") for k in keys]
+        return pd.DataFrame({"lang": lang, "pivot": pivot.view(np.int64), "share": share, "shares": shares, "before": before, "fragment": text, "n": n})
 
     def rewrite(batches):
-        found: dict = {}
-        for pdf in batches:
-            for fragment in cut_fragments(pdf["text"].tolist(), pdf["lang"].tolist(), held.value, longest):
-                found[fragment] = found.get(fragment, 0) + 1
-                if len(found) >= COMBINED:
-                    yield rows(found)
-                    found = {}
-        if found:
-            yield rows(found)
+        found: dict[str, Counter] = {}
+
+        def combined():
+            for lang, own in found.items():
+                keys, n = list(own), list(own.values())
+                for i in range(0, len(keys), SENT):
+                    yield rows(lang, keys[i : i + SENT], n[i : i + SENT])
+            found.clear()
+
+        for lang, text in _joined(batches):
+            found.setdefault(lang, Counter()).update(cut_fragments(text, lang, held.value[0], longest, held.value[1]))
+            if sum(map(len, found.values())) >= COMBINED:
+                yield from combined()
+        yield from combined()
+
+    return _texts(docs, text_col, lang_col).mapInPandas(rewrite, "lang string, pivot long, share long, shares long, before int, fragment string, n long")
+
 
-    texts = docs.select(_language(lang_col).alias("lang"), F.col(text_col).alias("text")).where("text <> ''")
-    return texts.mapInPandas(rewrite, "lang string, pivot long, share long, shares long, before int, fragment string, n long")
+def _spans(longest: int) -> str:
+    """SQL: the (start, length) of all phrases that hold word ``before`` of ``size`` words, looked up."""
+    of = lambda before, size: [(a + 1, z - a + 1) for a in range(before + 1) for z in range(before, size) if 0 < z - a < longest]
+    spans = lambda found: "array(" + ", ".join(f"struct({a} AS a, {n} AS n)" for a, n in found) + ")"
+    rows = [spans(of(b, size) or [(1, 0)]) for b in range(longest) for size in range(2 * longest)]
+    return f"array({', '.join(rows)})[before * {2 * longest} + size(w)]"
 
 
-def frequent_phrases(docs: DataFrame, levels: np.ndarray, least: int, longest: int, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def frequent_phrases(docs: DataFrame, levels: np.ndarray, bitmap: np.ndarray, least: int, longest: int, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, phrase, f) of all phrases of 2 to ``longest`` words that occur ``least`` times."""
     key = ["lang", "pivot", "share", "shares"]
-    routed = fragments(docs, levels, least, longest, text_col, lang_col).repartition("lang", "pivot", "share")
+    routed = fragments(docs, levels, bitmap, least, longest, text_col, lang_col).repartition("lang", "pivot", "share")
     # Grouping by more than the partitioning's columns moves nothing.
-    routed = routed.groupBy(*key, "before", "fragment").agg(F.sum("n").alias("n"))
-    words = F.split("fragment", " ")
-    last = F.size("w") - 1
-    phrases = F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), F.col("before")),
-            lambda a: F.transform(
-                F.filter(F.sequence(F.col("before"), last), lambda z: (z > a) & (z - a < longest)), lambda z: F.array_join(F.slice(F.col("w"), a + 1, z - a + 1), " ")
-            ),
-        )
-    )
-    mined = routed.withColumn("w", words).select(*key, "n", F.explode(phrases).alias("phrase")).groupBy(*key, "phrase").agg(F.sum("n").alias("f"))
+    routed = routed.groupBy(*key, "before", "fragment").agg(F.sum("n").alias("times")).withColumn("w", F.split("fragment", " "))
+    mined = routed.select(*key, "times", "w", F.expr(f"inline({_spans(longest)})")).select(*key, "times", F.array_join(F.slice("w", F.col("a"), F.col("n")), " ").alias("phrase"))
+    mined = mined.groupBy(*key, "phrase").agg(F.sum("times").alias("f"))
     whole = mined.where((F.col("shares") > 1) | (F.col("f") >= least))
     return whole.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
 
@@ -166,7 +255,8 @@ def collocations(
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))  # a row for each language
     frequent = words.where(F.col("f") >= least)
     levels = rarity_levels(frequent, least)
-    phrases = settle(frequent_phrases(docs, levels, least, longest, text_col, lang_col), "phrases")
+    bitmap = pair_filter(docs, levels, least, text_col, lang_col)
+    phrases = settle(frequent_phrases(docs, levels, bitmap, least, longest, text_col, lang_col), "phrases")
     # Keys of phrases and words alike; no word holds a tab.
     name = lambda phrase: F.concat(F.col("lang"), F.lit("\t"), phrase)
     counts = phrases.select(name(F.col("phrase")).alias("key"), "f").unionByName(frequent.select(name(F.col("word")).alias("key"), "f"))

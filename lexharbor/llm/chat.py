@@ -2,21 +2,21 @@
 
 Every participant of a dialogue gets a view of it in which that speaker is the assistant and all
 others are named users; only the assistant's words and end marks are trained on.  ``system`` turns
-are instructions, not a participant, and stay what they are in every view.  A dialogue is rendered
-in pieces of ``piece_turns`` turn numbers, so no row grows with a dialogue; the pieces of a view,
-in order, are its text.
+are instructions, not a participant, and stay what they are in every view.  A view is one row and one
+training text, however long the dialogue is; only where ``piece_turns`` is given, it is cut into rows of
+so many turn numbers, whose texts in order are the view.
 
 Defined results: turns sort by (turn, speaker, text), null turn first, and repeated rows are
 repeated turns; a null speaker is the participant ``unknown``; null text is empty; end marks inside
-a text are escaped; a dialogue with system turns only has no view; an empty table gives none.
+a text are escaped; a dialogue with system turns only has no view; turns without a ``conv_id`` are one
+dialogue; very long texts are kept whole; an empty table gives none; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PIECE_TURNS = 64
 #: Marks of the rendered text (fixed values).
 OPEN, CLOSE, ESCAPED = "<|im_start|>", "<|im_end|>", "<|im\\_"
 
@@ -25,7 +25,7 @@ def _safe(text: Column) -> Column:
     return F.replace(F.coalesce(text, F.lit("")), F.lit("<|im_"), F.lit(ESCAPED))
 
 
-def rotate_perspectives(turns: DataFrame, piece_turns: int = PIECE_TURNS) -> DataFrame:
+def rotate_perspectives(turns: DataFrame, piece_turns: int | None = None) -> DataFrame:
     """(conv_id, perspective, piece, n_turns, text, masks): masks are [start, end) character spans."""
     rows = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"),
@@ -41,21 +41,15 @@ def rotate_perspectives(turns: DataFrame, piece_turns: int = PIECE_TURNS) -> Dat
         F.when(F.col("speaker") == "system", "system").when(own, "assistant").otherwise(F.concat(F.lit("user name="), F.col("speaker"))),
         F.lit("\n"),
     )
-    part = F.struct(
-        F.col("turn"), F.col("speaker"), F.col("said"), head.alias("head"), F.concat(F.col("said"), F.lit(CLOSE)).alias("body"), own.alias("own")
-    )
-    pieces = views.groupBy("conv_id", "perspective", F.coalesce(F.floor(F.col("turn") / piece_turns), F.lit(0)).alias("piece")).agg(
-        F.sort_array(F.collect_list(part)).alias("parts")
-    )
+    piece = F.coalesce(F.floor(F.col("turn") / piece_turns), F.lit(0)).cast("long") if piece_turns else F.lit(0).cast("long")
+    views = views.select("conv_id", "perspective", piece.alias("piece"), "turn", "speaker", "said", head.alias("head"), F.concat(F.col("said"), F.lit(CLOSE)).alias("body"), own.alias("own"))
+    # Where each turn starts: a running sum, so a long dialogue costs no more a turn than a short one.
+    before = Window.partitionBy("conv_id", "perspective", "piece").orderBy("turn", "speaker", "said").rowsBetween(Window.unboundedPreceding, -1)
+    length = F.length("head") + F.length("body") + 1
+    views = views.withColumn("at", F.coalesce(F.sum(length).over(before), F.lit(0)).cast("int"))
+    turn = F.struct("at", "head", "body", "own")
+    rows = views.groupBy("conv_id", "perspective", "piece").agg(F.sort_array(F.collect_list(turn)).alias("parts"))
     text = F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p["body"], F.lit("\n"))), "")
-    # A fold over the turns of a piece: where each assistant body starts and ends.
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
-
-    def step(acc, p):
-        start = acc["at"] + F.length(p["head"])
-        end = start + F.length(p["body"])
-        spans = F.when(p["own"], F.concat(acc["spans"], F.array(F.struct(start.alias("start"), end.alias("end"))))).otherwise(acc["spans"])
-        return F.struct((end + 1).alias("at"), spans.alias("spans"))
-
-    masks = F.aggregate("parts", zero, step, lambda acc: acc["spans"])
-    return pieces.select("conv_id", "perspective", F.col("piece").cast("long").alias("piece"), F.size("parts").alias("n_turns"), text.alias("text"), masks.alias("masks"))
+    start = lambda p: p["at"] + F.length(p["head"])
+    masks = F.transform(F.filter("parts", lambda p: p["own"]), lambda p: F.struct(start(p).alias("start"), (start(p) + F.length(p["body"])).alias("end")))
+    return rows.select("conv_id", "perspective", "piece", F.size("parts").alias("n_turns"), text.alias("text"), masks.alias("masks"))

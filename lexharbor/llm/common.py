@@ -187,11 +187,11 @@ def joined_spread(rows: DataFrame, table: DataFrame, key: str, salt: str | Colum
     Rows are counted first (``counted``: a table with the same keys as often), so give settled ones.
     """
     counted = rows if counted is None else counted
-    total = counted.count()
-    hot = counted.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > share_limit(total))
-    hot = settle(hot, "hot")
-    if hot.isEmpty():
+    sizes = counted.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > SHARE_ROWS)
+    if sizes.isEmpty():
         return rows.join(table, key, how)
+    total = counted.count()
+    hot = settle(sizes.where(F.col("_rows") > share_limit(total)), "hot")
     dealt = with_shares(rows, hot, key, "_rows", salt, total)
     held = for_shares(table.join(F.broadcast(hot), key, "left"), "_rows", total).drop("_rows")  # fewer than HOT_KEYS keys
     return dealt.join(held, [key, "_share"], how).drop("_share")

@@ -217,14 +217,18 @@ class LicenceModel:
 
 
 def training_negatives(docs: DataFrame, text_col: str, expected: int = UNKNOWN_SAMPLE) -> list[str]:
-    """A bounded sample of paragraphs, one a document, of documents chosen by hash."""
-    n = docs.count()
-    draw = F.pmod(F.xxhash64(F.lit("licence"), F.col(text_col)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    """About ``expected`` paragraphs, twice as many at most, one a text, of different texts chosen by hash.
+
+    Copies of a text count once, in the share that is drawn and in the draw.
+    """
+    hashed = F.xxhash64(F.lit("licence"), F.col(text_col))
+    n = docs.where(F.col(text_col).isNotNull()).agg(F.approx_count_distinct(hashed)).first()[0]
+    draw = F.pmod(hashed, F.lit(1 << 30)) / F.lit(float(1 << 30))
     lines = F.split(F.col(text_col), r"\n")
     line = F.element_at(lines, (F.pmod(F.xxhash64(F.col(text_col)), F.size(lines)) + 1).cast("int"))
-    rows = docs.where(F.col(text_col).isNotNull() & (draw < F.lit(min(1.0, expected / max(n, 1))))).select(line.alias("line"))
-    rows = rows.where(~F.lower("line").rlike("licen[cs]|copyright|rights reserved|public domain"))
-    return sorted(r["line"] for r in rows.collect())
+    rows = docs.where(F.col(text_col).isNotNull() & (draw < F.lit(min(1.0, expected / max(n, 1))))).select(hashed.alias("drawn"), line.alias("line"))
+    rows = rows.groupBy("drawn").agg(F.min("line").alias("line")).where(~F.lower("line").rlike("licen[cs]|copyright|rights reserved|public domain"))
+    return sorted(r["line"] for r in rows.orderBy("drawn").limit(2 * expected).collect())
 
 
 def template_shapes() -> dict[str, list[tuple[set[str], set[str], set[str]]]]:

@@ -17,12 +17,14 @@ Texts with the same set are one class, and only classes take part:
 
 Components are the connected components of the verified links.  A pair at the asked similarity of
 0.8 is missed by list or estimate with probability below 1e-5 each (both are binomial tails, see
-``least_overlap``); nothing is capped.  Sets are compared by 64-bit hashes of shingles: two sets of a
-and b shingles share a value by accident with probability below a * b / 2**64.
+``least_overlap``); nothing is capped.  Sets are compared by 64-bit hashes of shingles, made of keyed
+hashes of their words: two sets of a and b shingles share a value by accident with probability below
+a * b / 2**61, whatever the words look like.
 
 Defined results: null, empty and blank texts have no shingles and link with nothing; ties and
-repeated rows are one class; a null identifier never becomes a class's smallest unless all are null;
-very long texts are hashed whole; an empty table gives an empty result; extra columns are ignored.
+repeated rows are one class; rows that repeat an identifier with another text are judged by their own
+text, and their components may share that identifier; a null identifier never becomes a class's
+smallest unless all are null; very long texts are hashed whole; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, for_shares, settle, spread_join, tune, with_membership, with_shares
+from .common import SHARE_ROWS, discard, for_shares, joined_spread, settle, spread_join, tune, with_membership, with_shares
 from .components import connected_components
 from .shingles import shingle_sets
 
@@ -187,21 +189,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
 
     rows = settle(texts.mapInPandas(sketch, "id long, digest string, n long, sketch array<long>"), "near-rows")
     named = rows.where("digest is not null and id is not null")
-    classes = named.groupBy("digest").agg(F.min("id").alias("rep"), F.min("n").alias("n"), F.count(F.lit(1)).alias("rows"), F.any_value("sketch").alias("sketch"))
-    classes = settle(classes, "near-classes")
+    classes = named.groupBy("digest").agg(F.min("id").alias("least"), F.min("n").alias("n"), F.count(F.lit(1)).alias("rows"), F.any_value("sketch").alias("sketch"))
+    classes = settle(classes.withColumn("rep", F.monotonically_increasing_id()), "near-classes")  # written once, so a class keeps its number
     listed = candidate_lists(classes, percent)
 
     # Full sets of the classes in lists, once each.
-    parts = settle(classes.select("rep", "digest").join(listed.select("rep"), "rep", "left_semi"), "near-parts")
+    parts = settle(classes.select("rep", "digest", "least").join(listed.select("rep"), "rep", "left_semi"), "near-parts")
 
     def full(batches):
         for pdf in batches:
             sets = list(shingle_sets(pdf["text"].tolist(), words))
-            yield pd.DataFrame({"digest": [digest(s) for s in sets], "rep": pdf["id"], "sketch": [s[:SKETCH] for s in sets], "values": sets})
+            yield pd.DataFrame({"digest": [digest(s) for s in sets], "least": pdf["id"], "sketch": [s[:SKETCH] for s in sets], "values": sets})
 
-    chosen = with_membership(texts, "id", parts, "rep", "maybe").where("maybe").select("id", "text")
-    chosen = chosen.join(parts.select(F.col("rep").alias("id")), "id", "left_semi").mapInPandas(full, "digest string, rep long, sketch array<long>, values array<long>")
-    sets = settle(chosen.join(parts, ["digest", "rep"], "left_semi").dropDuplicates(["rep"]).select("rep", "sketch", "values"), "near-sets")
+    chosen = with_membership(texts, "id", parts, "least", "maybe").where("maybe").select("id", "text")
+    chosen = chosen.join(parts.select(F.col("least").alias("id")), "id", "left_semi").mapInPandas(full, "digest string, least long, sketch array<long>, values array<long>")
+    sets = settle(chosen.join(parts, ["digest", "least"]).dropDuplicates(["rep"]).select("rep", "sketch", "values"), "near-sets")
 
     def verify(batches):
         for pdf in batches:
@@ -211,11 +213,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
 
     def verified(pairs: DataFrame, tag: str) -> DataFrame:
         """Pairs (a, b) that the union sketch lets through and full sets confirm."""
-        with_sketches = pairs.join(sets.select(F.col("rep").alias("a"), F.col("sketch").alias("sa")), "a")
-        with_sketches = with_sketches.join(sets.select(F.col("rep").alias("b"), F.col("sketch").alias("sb")), "b")
-        likely = with_sketches.where(estimated(F.col("sa"), F.col("sb"), percent)).select("a", "b")
-        both = likely.join(sets.select(F.col("rep").alias("a"), F.col("values").alias("va")), "a")
-        both = both.join(sets.select(F.col("rep").alias("b"), F.col("values").alias("vb")), "b").select("a", "b", "va", "vb")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").count().where(F.col("count") > SHARE_ROWS)
+        hot = not ends.isEmpty()
+
+        def side(rows: DataFrame, key: str, col: str) -> DataFrame:
+            """A hub is in as many pairs as its list has members, so its set is sent to shares of them."""
+            held = sets.select(F.col("rep").alias(key), F.col(col).alias(f"{col}_{key}"))
+            return joined_spread(rows, held, key, F.struct("a", "b"), counted=rows.select("a", "b")) if hot else rows.join(held, key)
+
+        step = (lambda df, name: settle(df, f"{tag}-{name}")) if hot else (lambda df, name: df)
+        both = side(step(side(pairs, "a", "sketch"), "one"), "b", "sketch")
+        likely = step(both.where(estimated(F.col("sketch_a"), F.col("sketch_b"), percent)).select("a", "b"), "likely")
+        both = side(step(side(likely, "a", "values"), "two"), "b", "values").select("a", "b", F.col("values_a").alias("va"), F.col("values_b").alias("vb"))
         return settle(both.mapInPandas(verify, "a long, b long"), tag)
 
     # Each class meets the hubs of its lists.
@@ -237,15 +246,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     short = open_.where(F.col("l") <= JOINED_LIST)
     a = short.where("label <> top").select("value", F.col("rep").alias("x"), F.col("n").alias("n_x"), F.col("label").alias("label_x"))
     pairs = a.join(short.select("value", "rep", "n", "label"), "value").where((F.col("label") != F.col("label_x")) & sizes_fit("n", "n_x", percent))
-    pairs = pairs.select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
+    pairs = settle(pairs.select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b")).distinct().join(stars, ["a", "b"], "left_anti"), "near-pairs")
     links = links.unionByName(verified(pairs, "near-links"))
 
     long = open_.where(F.col("l") > JOINED_LIST)
     if not long.isEmpty():
         links = links.unionByName(settle(_long_list_links(long, sets, total, percent), "near-spans"))
     found = connected_components(links)
-    placed = classes.select("digest", "rep", "rows").join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    placed = settle(placed.select("digest", "rows", F.coalesce("component", "rep").alias("component")), "near-placed")
+    # Components are named by the smallest identifier of their classes.
+    linked = classes.select("digest", "rep", "rows", "least").join(found.withColumnRenamed("node", "rep"), "rep", "left")
+    linked = settle(linked.withColumn("group", F.coalesce("component", "rep")).select("digest", "rows", "least", "group", F.col("component").isNotNull().alias("linked")), "near-linked")
+    smallest = linked.where("linked").groupBy("group").agg(F.min("least").alias("component"))
+    placed = joined_spread(linked.where("linked").select("digest", "rows", "group"), smallest, "group", "digest").select("digest", "rows", "component")
+    placed = settle(placed.unionByName(linked.where("not linked").select("digest", "rows", F.col("least").alias("component"))), "near-placed")
     discard(listed, open_, several, stars, parts, sets, classes)
     out = spread_join(rows.where("digest is not null").select("id", "digest", "n"), placed, "digest", "rows", "id", rows.count(), "left")
     out = out.select("id", F.col("n").alias("n_shingles"), "component")

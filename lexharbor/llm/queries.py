@@ -116,7 +116,7 @@ SQL = {
 WITH r AS (SELECT conv_id, turn, COALESCE(NULLIF(trim(regexp_replace(role, '[\r\n]+|<\|', ' ', 'g')), ''), 'unknown') AS speaker,
     replace(COALESCE(text, ''), '<|im_', '<|im\_') AS said FROM conversations),
 p AS (SELECT DISTINCT conv_id, speaker AS perspective FROM r WHERE speaker <> 'system'),
-v AS (SELECT r.*, p.perspective, r.speaker = p.perspective AS own, CAST(floor(r.turn / 64) AS BIGINT) AS piece,
+v AS (SELECT r.*, p.perspective, r.speaker = p.perspective AS own, CAST(0 AS BIGINT) AS piece,
     '<|im_start|>' || CASE WHEN r.speaker = 'system' THEN 'system' WHEN r.speaker = p.perspective THEN 'assistant' ELSE 'user name=' || r.speaker END || chr(10) AS head,
     r.said || '<|im_end|>' AS body FROM r JOIN p ON r.conv_id IS NOT DISTINCT FROM p.conv_id),
 w AS (SELECT *, COALESCE(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, perspective, piece ORDER BY turn, speaker, said

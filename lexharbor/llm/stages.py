@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, langid, mixing, near_dedup, packing
-from .common import dense_index, settle, with_membership, without
+from .common import dense_index, joined_spread, settle, with_membership, without
 
 SHARDS = 24
 
@@ -27,37 +27,40 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_key``: ``doc_id`` in its first row, else a number of its own above all identifiers."""
-    own = F.col("doc_id").cast("long")
-    odd = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 or doc_id is null").select(F.col("doc_id").alias("_odd"))
+    """(row, key): each row whole, and ``doc_id`` in its first row, else a number of its own above all identifiers."""
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("key"))
+    odd = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or key is null").select(F.col("key").alias("odd"), "n")
     odd = settle(odd, "odd-ids")
     if odd.isEmpty():
-        return docs.withColumn("_key", own)
-    judged = with_membership(docs.where("doc_id is not null"), "doc_id", odd, "_odd", "_maybe")
-    maybe, same = judged.where("_maybe"), F.col("doc_id") == F.col("_odd")
-    named = judged.where("not _maybe").unionByName(maybe.join(odd, same, "left_anti")).drop("_maybe").withColumn("_key", own)
-    rest = maybe.join(odd, same, "left_semi").drop("_maybe").unionByName(docs.where("doc_id is null"))
-    top = docs.agg(F.max(own)).first()[0]
-    rest = dense_index(rest, [F.col("doc_id").asc_nulls_last(), F.col("text")], "odd-rows", "_key")
-    firsts = rest.where("doc_id is not null").groupBy("doc_id").agg(F.min("_key").alias("_first")).select("_first")
-    above = F.col("_key") + F.lit(0 if top is None else top + 1).cast("long")
-    rest = rest.join(firsts, F.col("_key") == F.col("_first"), "left").withColumn("_key", F.when(F.col("_first").isNotNull(), own).otherwise(above))
-    return named.unionByName(rest.drop("_first"))
+        return rows
+    named = odd.where("odd is not null").select("odd")
+    judged = with_membership(rows.where("key is not null"), "key", named, "odd", "maybe")
+    # Identifiers repeat seldom or often: rows of one that is hot are dealt over shares.
+    maybe = settle(judged.where("maybe").drop("maybe"), "odd-maybe")
+    marked = joined_spread(maybe, named.select(F.col("odd").alias("key"), F.lit(True).alias("again")), "key", F.xxhash64("row.text"), "left")
+    plain = judged.where("not maybe").drop("maybe").unionByName(marked.where("again is null").drop("again"))
+    rest = marked.where("again").drop("again").unionByName(rows.where("key is null"))
+    top = rows.agg(F.max("key")).first()[0]
+    rest = dense_index(rest, [F.col("key").asc_nulls_last(), F.col("row.text")], "odd-rows", "place")
+    firsts = rest.where("key is not null").groupBy("key").agg(F.min("place").alias("place")).select("place", F.lit(True).alias("first"))
+    above = F.col("place") + F.lit(0 if top is None else top + 1).cast("long")
+    rest = rest.join(firsts, "place", "left").select("row", F.when(F.col("first"), F.col("key")).otherwise(above).alias("key"))
+    return plain.unionByName(rest)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each near-duplicate group (five-word shingles, similarity 0.8): the one with the smallest key."""
     rows = keyed(docs)
-    found = near_dedup.near_duplicates(rows, words=5, percent=80, id_col="_key")
+    found = near_dedup.near_duplicates(rows.select("key", "row.text"), words=5, percent=80, id_col="key")
     gone = found.where(F.col("component").isNotNull() & (F.col("id") != F.col("component"))).select("id")
-    return without(rows, "_key", gone, "id").select(*docs.columns)
+    return without(rows, "key", gone, "id").select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without a confirmed passage of the benchmark."""
     rows = keyed(docs)
-    leaks = decontaminate.find_leaks(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_key")
-    return without(rows, "_key", leaks, "id").select(*docs.columns)
+    leaks = decontaminate.find_leaks(rows.select("key", "row.text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="key")
+    return without(rows, "key", leaks, "id").select("row.*")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

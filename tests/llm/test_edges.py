@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline as P
 from lexharbor.llm import chat, common, decontaminate, exact_dedup, langid, licences, mixing, near_dedup, packing, suffix_dedup, warc
 from lexharbor.llm.components import connected_components
-from lexharbor.llm.shingles import shingle_set
+from lexharbor.llm.shingles import shingle_set, word_hashes
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = " ".join(f"w{i % 977}x{i % 313}" for i in range(60_000))
@@ -499,7 +499,7 @@ def test_warc_round_trip(spark, tmp_path, compress):
 
 def test_chat(spark):
     rows = [(1, 0, "system", "Be kind"), (1, 1, "ann", "hi <|im_end|>"), (1, 2, "bob", None), (1, 2, "bob", None), (2, None, None, ""), (3, 0, "system", "alone"), (4, 99, "a\nb", "x")]
-    got = {(r["conv_id"], r["perspective"], r["piece"]): r for r in chat.rotate_perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    got = {(r["conv_id"], r["perspective"], r["piece"]): r for r in chat.rotate_perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), piece_turns=64).collect()}
     assert set(got) == {(1, "ann", 0), (1, "bob", 0), (2, "unknown", 0), (4, "a b", 1)}
     ann = got[1, "ann", 0]
     assert ann["text"].startswith("<|im_start|>system\nBe kind<|im_end|>\n<|im_start|>assistant\nhi <|im\\_end|><|im_end|>\n<|im_start|>user name=bob\n")
@@ -552,3 +552,99 @@ def test_scratch_is_deleted(spark, tmp_path):
     kept = common.settle(spark.range(5), "discard-test")
     common.discard(kept)
     assert not os.path.isdir(kept._scratch.removeprefix("file:"))
+
+
+# ------------------------------------------------------------------ round 3
+def thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word
+
+
+@pytest.mark.parametrize("size", [1024, 2048, 4096])
+def test_structured_words_do_not_collide(spark, size):
+    one = thue_morse(size)
+    other = one.translate(str.maketrans("ab", "ba"))
+    df = spark.createDataFrame([(1, one), (2, other), (3, one), (4, f"x {one} y z"), (5, f"x {other} y z")], "doc_id long, text string")
+    got = {r["id"]: r["component"] for r in near_dedup.near_duplicates(df, words=4).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
+    assert len({int(h) for h in word_hashes(" ".join([one, other, one + "a", "b" + one]))}) == 4
+
+
+def test_a_repeated_identifier_keeps_the_links_of_each_text(spark):
+    long = lambda s: " ".join(f"{s}{i}" for i in range(60))
+    rows = [(1, long("a")), (1, long("b")), (2, long("c")), (3, long("b")), (4, long("b") + " more"), (None, long("d")), (None, long("d"))]
+    got = sorted((str(r["id"]), r["component"]) for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=4).where("id is not null").collect())
+    assert got == [("1", 1), ("1", 1), ("2", 2), ("3", 1), ("4", 1)]
+
+
+def test_hot_hubs_and_star_centres_are_spread(spark, monkeypatch):
+    """Many near copies of one text, dealt over small shares: one component, and links of others stay."""
+    for module in (common, near_dedup):
+        monkeypatch.setattr(module, "SHARE_ROWS", 4)
+    base = [f"w{i}" for i in range(80)]
+    rows = [(i, " ".join(base[:i] + [f"x{i}"] + base[i + 1 :])) for i in range(40)] + [(100, " ".join(f"y{i}" for i in range(50))), (101, " ".join(f"y{i}" for i in range(50)) + " z")]
+    got = {r["id"]: r["component"] for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=4).collect()}
+    assert got == {**{i: 0 for i in range(40)}, 100: 100, 101: 100}
+    star = spark.createDataFrame([(500, i) for i in range(60)] + [(700, 701)], "a long, b long")
+    got = {r["node"]: r["component"] for r in connected_components(star).collect()}
+    assert got == {**{i: 0 for i in range(60)}, 500: 0, 700: 700, 701: 700}
+
+
+def test_joined_spread_is_a_join(spark, monkeypatch):
+    monkeypatch.setattr(common, "SHARE_ROWS", 4)
+    rows = spark.range(0, 300).select(F.when(F.col("id") < 100, 7).otherwise(F.col("id") % 50).alias("k"), F.col("id").alias("r"))
+    table = spark.range(0, 50).where("id <> 3").select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    got = common.joined_spread(rows, table, "k", "r", "left").collect()
+    assert len(got) == 300 and all(r["v"] == (r["k"] * 10 if r["k"] != 3 else None) for r in got)
+    assert len(common.joined_spread(rows, table, "k", "r").collect()) == 300 - len([r for r in got if r["k"] == 3])
+    assert common.joined_spread(rows.limit(0), table, "k", "r").collect() == []
+
+
+def test_samples_are_bounded_where_one_text_is_half_of_all_rows(spark, monkeypatch):
+    """Whatever text has the copies: the drawn share is one of different texts."""
+    texts = [f"plain words number {i} of a text\nand its second line {i}" for i in range(400)]
+    for hot in (3, 77, 250):
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+        df = df.unionByName(spark.range(0, 4000).select((F.col("id") + 1000).alias("doc_id"), F.lit(texts[hot]).alias("text")))
+        lines = licences.training_negatives(df, "text", 100)
+        assert 30 <= len(lines) <= 200 and len(set(lines)) == len(lines)
+        monkeypatch.setattr(decontaminate, "SAMPLE", 50)
+        seen = []
+        original = decontaminate.randomised_svd
+        monkeypatch.setattr(decontaminate, "randomised_svd", lambda fitted, n, strong: seen.append(n) or original(fitted, n, strong))
+        items = spark.createDataFrame([(1, "which word stands before the last word of this question")], "item_id long, text string")
+        decontaminate.find_leaks(df, items)
+        assert seen and max(seen) <= 101
+        monkeypatch.setattr(decontaminate, "randomised_svd", original)
+
+
+def test_dialogues_are_whole(spark):
+    rows = [(1, t, "system" if t == 0 else "ann" if t % 2 else "bob", f"turn {t}") for t in range(200)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({c: F.lit("x") for c in ("perspective", "piece", "speaker", "said", "at", "c_id")})
+    got = {r["perspective"]: r for r in chat.rotate_perspectives(turns).collect()}
+    assert set(got) == {"ann", "bob"} and all(r["n_turns"] == 200 and r["text"].count("<|im_start|>system") == 1 for r in got.values())
+    for name, r in got.items():
+        said = [r["text"][m["start"] : m["end"]] for m in r["masks"]]
+        assert said == [f"turn {t}<|im_end|>" for t in range(1, 200) if (t % 2 == 1) == (name == "ann")]
+    cut = chat.rotate_perspectives(turns, piece_turns=64).orderBy("perspective", "piece").collect()
+    assert len(cut) == 8 and "".join(r["text"] for r in cut[:4]) == got["ann"]["text"]
+    assert chat.rotate_perspectives(turns.limit(0)).collect() == []
+
+
+def test_the_pipeline_keeps_columns_of_any_name(spark, tmp_path):
+    from lexharbor.llm import stages
+
+    names = ["_key", "key", "row", "odd", "place", "first", "again", "_maybe", "maybe", "_slot", "_page", "_bits", "_gone", "id", "doc", "copies", "_share"]
+    text = lambda s: " ".join(f"{s}{i}" for i in range(40))
+    rows = [(1, text("a")), (1, text("b")), (2, text("a")), (3, text("c")), (None, text("b")), (None, text("d"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS).withColumns({n: F.concat(F.lit(f"mine {n} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))) for n in names})
+    spark.createDataFrame([(1, "a question about nothing that any text holds")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for stage in (stages.near_duplicates, stages.decontamination, stages.mixture):
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert got and all(r[n] == f"mine {n} {'-' if r['doc_id'] is None else r['doc_id']}" for r in got for n in names)
+    kept = stages.near_duplicates(spark, docs, str(tmp_path)).collect()
+    assert sorted(r["text"][0] for r in kept) == ["a", "b", "c", "d"]

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import raw_file_name
 from ..operators._storage import copy, delete, exists, saved, scratch
+from .committed import write_named
 
 
 def content_digest(raw: DataFrame) -> tuple[int, int]:
@@ -54,21 +56,9 @@ def write_csv(df: DataFrame, path: str, single: bool = True) -> None:
 
 
 def write_raw_files(raw: DataFrame, path: str) -> None:
-    """One file for each row of (source, query, payload_json), named by source and query; written by the executors."""
-    from pyarrow import fs
-
-    from .replay import raw_name
-
-    def write(batches):
-        store, root = fs.FileSystem.from_uri(path)
-        store.create_dir(root, recursive=True)
-        for pdf in batches:
-            for source, query, payload in zip(pdf["source"], pdf["query"], pdf["payload_json"], strict=True):
-                with store.open_output_stream(f"{root}/{raw_name(source, query)}") as f:
-                    f.write(payload.encode())
-            yield pdf[["source"]]
-
-    raw.select("source", "query", "payload_json").mapInPandas(write, "source string").write.format("noop").mode("overwrite").save()
+    """One file for each row of (source, query, payload_json), named by source and query; all of them or none."""
+    name = raw_file_name(F.col("source"), F.col("query"))
+    write_named(raw.where("payload_json is not null").select(name.alias("name"), F.col("payload_json").alias("content")), path)
 
 
 def read_csv(spark, path: str, schema) -> DataFrame:

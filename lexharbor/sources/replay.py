@@ -1,11 +1,19 @@
 """A Python data source for every connector: replays the raw archive, or asks the service.
 
 ``spark.read.format("records").option("source", "crossref").option("archive", path)`` returns raw
-responses as (source, query, payload_json, error); ``normalize`` makes records of them.  Each query
-is an input partition; archives are read through any file system with a URI (``raw_folder`` is the
-same through Spark's own reader).  Online, a query follows its source's pages up to ``per_query_cap``
-records and is one row; a query that fails is a row with ``error`` and without a payload, so an outage
-does not look like an empty result.  With ``raw`` (a folder) every page is also written there.
+responses as (source, query, payload_json, error); ``normalize`` makes records of them.  Archives are
+read through any file system with a URI, a file a partition (``raw_folder`` is the same through Spark's
+own reader).
+
+Online, a **service** (the host that answers, for one source or several) is an input partition that
+asks all its queries in order, so its pause lies between any two of its requests however many cores
+there are; services are asked side by side.  A query follows its source's pages up to
+``per_query_cap`` records and is one row, or one for each page that is kept with ``pages``; a query that
+fails is a row with ``error``, so an outage does not look like an empty result.  Reading writes nothing:
+``harvest`` asks once, keeps the pages in the shared folder and writes the raw files from there.
+
+Defined results: without queries, or without a key that a source needs, there are no rows; a query
+that several sources are asked is a row of each; repeated queries are asked again.
 """
 
 from __future__ import annotations
@@ -14,8 +22,9 @@ import hashlib
 import json
 import os
 import re
+import urllib.parse
 import urllib.request
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyarrow import fs
@@ -23,7 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from .lookup import WOS_URL, ask
+from ..operators._storage import saved
+from .lookup import AGENT, EMAIL, WOS_URL, ask
 
 #: Records of one query; a page is finished where the source cannot ask for fewer.
 QUERY_CAP = 500
@@ -51,7 +61,7 @@ BROWSER = {
     "Accept": "text/html,application/xhtml+xml",
     "Accept-Language": "en,es;q=0.8,pt;q=0.7",
 }
-POLITE = {"User-Agent": "lexharbor (mailto:{email}; literature search)"}
+POLITE = {"User-Agent": AGENT}
 CROSSREF_FIELDS = "DOI,title,abstract,author,published,URL,publisher,container-title"
 ENDPOINTS = {
     "openalex": Endpoint("https://api.openalex.org/works", "search", {"per_page": 200, "mailto": "{email}"}, 0.15),
@@ -79,18 +89,23 @@ class Failed(Exception):
 
 
 def _get(end: Endpoint, text: str, options: dict, opener: Callable, **more) -> str:
-    fill = lambda s, **kw: s.format(email=options.get("email", "anonymous@example.com"), **kw) if isinstance(s, str) and "{" in s else s
+    fill = lambda s, **kw: s.format(email=options.get("email", EMAIL), **kw) if isinstance(s, str) and "{" in s else s
     key = options.get(end.key) if end.key else None
     headers = {k: fill(v) for k, v in end.headers.items()}
     if key and end.key_header:
         headers[end.key_header[0]] = end.key_header[1].format(key=key)
     params = {k: fill(v) for k, v in end.fixed.items()} | {end.query: text} | more
-    body, reason = ask(end.url, params, headers, end.keyed_pause if key and end.keyed_pause else end.pause, opener=opener)
+    url = json.loads(options.get("address", "{}")).get(source_of(end), end.url)
+    body, reason = ask(url, params, headers, end.keyed_pause if key and end.keyed_pause else end.pause, opener=opener)
     if body is None:
         raise Failed(f"status={reason}" + (f" first={more['firstRecord']}" if "firstRecord" in more else ""))
     return body
 
 
+def source_of(end: Endpoint) -> str:
+    return next(s for s, e in ENDPOINTS.items() if e is end)
+
+
 def _parsed(body: str):
     try:
         return json.loads(body)
@@ -172,47 +187,70 @@ def raw_name(source: str, query: str) -> str:
     return f"{source}__{safe}__{hashlib.sha1(query.encode()).hexdigest()[:10]}.json"
 
 
-class _Query(InputPartition):
-    def __init__(self, text: str, path: str | None = None):
-        self.text, self.path = text, path
+def service_of(source: str) -> str:
+    """The host that answers a source's queries; its pause is kept over all of its sources."""
+    return urllib.parse.urlsplit(ENDPOINTS[source].url).netloc
+
+
+def request_schedule(queries: Mapping[str, Sequence[str]]) -> list[list[tuple[str, str]]]:
+    """The (source, query) pairs of each service, in the order in which it is asked."""
+    services: dict[str, list[tuple[str, str]]] = {}
+    for source, texts in queries.items():
+        services.setdefault(service_of(source), []).extend((source, q) for q in texts)
+    return [asked for asked in services.values() if asked]
+
+
+class _File(InputPartition):
+    def __init__(self, source: str, query: str, path: str):
+        self.source, self.query, self.path = source, query, path
+
+
+class _Service(InputPartition):
+    def __init__(self, asked: list[tuple[str, str]]):
+        self.asked = asked
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options):
         self.options = dict(options)
-        self.source = self.options["source"]
-        if self.source not in ENDPOINTS:
-            raise ValueError(f"unknown source {self.source}")
+        self.sources = [s.strip() for s in self.options["source"].split(",")]
+        if unknown := [s for s in self.sources if s not in ENDPOINTS]:
+            raise ValueError(f"unknown source {', '.join(unknown)}")
 
     def partitions(self):
         folder = self.options.get("archive")
         if folder:
             store, root = fs.FileSystem.from_uri(folder)
-            names = sorted(f.base_name for f in store.get_file_info(fs.FileSelector(root)) if f.base_name.startswith(f"{self.source}__") and f.base_name.endswith(".json"))
-            return [_Query(os.path.splitext(n)[0].partition("__")[2] or "(no_query)", n) for n in names] or [_Query("")]
-        return [_Query(q) for q in json.loads(self.options.get("queries", "[]"))] or [_Query("")]
-
-    def _keep(self, query: str, payload: str) -> None:
-        store, root = fs.FileSystem.from_uri(self.options["raw"])
-        store.create_dir(root, recursive=True)
-        with store.open_output_stream(f"{root}/{raw_name(self.source, query)}") as f:
-            f.write(payload.encode())
+            names = sorted(f.base_name for f in store.get_file_info(fs.FileSelector(root)) if f.base_name.endswith(".json"))
+            found = [_File(s, os.path.splitext(n)[0].partition("__")[2] or "(no_query)", n) for s in self.sources for n in names if n.startswith(f"{s}__")]
+            return found or [_Service([])]
+        queries = json.loads(self.options.get("queries", "[]"))
+        queries = queries if isinstance(queries, dict) else dict.fromkeys(self.sources, queries)
+        return [_Service(asked) for asked in request_schedule({s: queries.get(s, []) for s in self.sources})] or [_Service([])]
 
     def read(self, part):
-        if part.path:
+        if isinstance(part, _File):
             store, root = fs.FileSystem.from_uri(self.options["archive"])
             with store.open_input_file(f"{root}/{part.path}") as f:
-                yield (self.source, part.text, f.read().decode("utf-8", "replace"), None)
-        elif part.text:
-            payload, error = harvest_query(self.source, part.text, self.options, keep=self._keep if self.options.get("raw") else None)
+                yield (part.source, part.query, f.read().decode("utf-8", "replace"), None)
+            return
+        by_page = self.options.get("pages", "false") == "true"
+        for source, query in part.asked:
+            pages: list[tuple[str, str]] = []
+            payload, error = harvest_query(source, query, self.options, keep=lambda q, p: pages.append((q, p)))  # noqa: B023
+            if by_page:
+                yield from ((source, q, p, None) for q, p in pages)
+                payload = None
             if payload is not None or error is not None:
-                yield (self.source, part.text, payload, error)
+                yield (source, query, payload, error)
 
 
 class RecordsSource(DataSource):
-    """Format ``records``: options source, and archive (a folder) or queries (a JSON list).
+    """Format ``records``: options source (or several, with commas), and archive (a folder) or queries.
 
-    Online also: per_query_cap, raw, email, only_preprints and the keys named in ENDPOINTS.
+    Queries are a JSON list, or an object with a list for each source.  Online also: per_query_cap,
+    pages, email, only_preprints, address (a JSON object: source to the address of a mirror that answers
+    for it) and the keys named in ENDPOINTS.
     """
 
     @classmethod
@@ -230,6 +268,22 @@ def register(spark) -> None:
     spark.dataSource.register(RecordsSource)
 
 
+def harvest(spark, queries: Mapping[str, Sequence[str]], options: Mapping[str, str] | None = None, raw: str | None = None) -> DataFrame:
+    """Ask every source its queries, once: (source, query, payload_json, error), a row a page.
+
+    ``raw``: a folder that gets all pages as files when everything is asked, or none of them.
+    """
+    register(spark)
+    asked = {s: list(q) for s, q in queries.items()}
+    read = spark.read.format("records").option("source", ",".join(asked)).option("queries", json.dumps(asked)).option("pages", "true")
+    pages = saved(read.options(**dict(options or {})).load(), "harvested")
+    if raw is not None:
+        from .archive import write_raw_files
+
+        write_raw_files(pages, raw)
+    return pages
+
+
 def errors(raw: DataFrame) -> DataFrame:
     """The error log of a harvest: a line ``[source]<tab>query<tab>reason`` for each query that failed."""
     return raw.where("error is not null").select(F.concat(F.lit("["), "source", F.lit("]\t"), "query", F.lit("\t"), "error").alias("value"))

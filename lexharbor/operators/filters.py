@@ -72,16 +72,22 @@ def missing_text(c: Column) -> Column:
     return (t == "") | (F.lower(t) == "nan")
 
 
+def anti_join(df: DataFrame, key: Column, gone: DataFrame, col: str) -> DataFrame:
+    """Rows whose ``key`` is not in ``gone``; rows without one stay and are not joined, or they would all meet in one task."""
+    return df.where(key.isNotNull()).join(gone, key == F.col(col), "left_anti").unionByName(df.where(key.isNull()))
+
+
 def exclude_dois(df: DataFrame, listed: DataFrame, col: str = "doi") -> DataFrame:
     """Left anti on the written form of the DOI, as the exclude list is compared un-normalised."""
     gone = listed.select(F.lower(trim_ws(F.col(col))).alias("_x")).where("_x <> ''").distinct()
-    return df.join(gone, F.lower(trim_ws(F.col("doi"))) == F.col("_x"), "left_anti")
+    return anti_join(df, F.lower(trim_ws(F.col("doi"))), gone, "_x")
 
 
 def not_present(new: DataFrame, old: DataFrame) -> DataFrame:
     """Rows of ``new`` whose id and whose normalised DOI ``old`` lacks: two anti joins, never one OR."""
     dois = old.select(normalize_doi(F.col("doi")).alias("_d")).where("_d is not null").distinct()
-    return new.join(old.select("id").distinct(), "id", "left_anti").join(dois, normalize_doi(F.col("doi")) == F.col("_d"), "left_anti")
+    ids = old.select(F.col("id").alias("_i")).where("_i is not null").distinct()
+    return anti_join(anti_join(new, F.col("id"), ids, "_i"), normalize_doi(F.col("doi")), dois, "_d")
 
 
 def pending(df: DataFrame, cache: DataFrame, key: str = "id") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import candidate_keys, normalize_doi, title_tokens
 from ._storage import saved
-from .filters import missing_text
+from .filters import anti_join, missing_text
 from .reports import check_source_coverage
 from .resolve import resolve
 from .simjoin import similar_pairs
@@ -160,12 +160,14 @@ def compare_corpora(left: DataFrame, right: DataFrame, threshold: float = 0.85,
     keyed = [saved(df.withColumn("_d", normalize_doi(F.col("doi"))), "compare") for df in (left, right)]
     both = keyed[0].select("_d").where("_d is not null").distinct().intersect(keyed[1].select("_d").where("_d is not null").distinct())
     both = saved(both, "compare-dois")
-    rest = [df.join(both, "_d", "left_anti") for df in keyed]
+    rest = [anti_join(df, F.col("_d"), both.withColumnRenamed("_d", "_x"), "_x") for df in keyed]
     pairs = saved(title_matches(rest[0], rest[1], threshold, order), "compare-titles")
     out = None
     for side, df, col in (("left", keyed[0], "a"), ("right", keyed[1], "b")):
         hit = both.withColumn("_both", F.lit(True))
-        one = df.join(hit, "_d", "left").join(pairs.select(F.col(col).alias(order)).withColumn("_title", F.lit(True)), order, "left")
+        # Rows without a DOI match none; joined on it they would all meet in one task.
+        named = df.where("_d is not null").join(hit, "_d", "left").unionByName(df.where("_d is null"), allowMissingColumns=True)
+        one = named.join(pairs.select(F.col(col).alias(order)).withColumn("_title", F.lit(True)), order, "left")
         status = F.when(F.col("_both"), "overlap_doi").when(F.col("_title"), "overlap_title").otherwise("only")
         one = one.select(F.lit(side).alias("side"), F.col(order).alias("ord"), status.alias("status"))
         out = one if out is None else out.unionByName(one)

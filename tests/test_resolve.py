@@ -3,6 +3,7 @@ import random
 import pytest
 
 from lexharbor.functions.text import STOPWORDS
+from lexharbor.operators import filters, graph, simjoin
 from lexharbor.operators.merge import compare_corpora, gap_fill_merge, title_matches
 from lexharbor.operators.reports import check_source_coverage
 from lexharbor.operators.resolve import cluster_leaders, resolve
@@ -140,3 +141,65 @@ def test_compare_corpora_statuses(spark):
 def test_equal_titles_match_in_order(spark):
     left, right = frame(spark, [dict(title=LONG)] * 40), frame(spark, [dict(title=LONG)] * 25)
     assert sorted((r["a"], r["b"]) for r in title_matches(left, right).collect()) == [(i, i) for i in range(25)]
+
+
+# ------------------------------------------------------------------ parts and leaders
+def plain_leaders(edges):
+    near, leader = {}, {}
+    for a, b in edges:
+        near.setdefault(b, set()).add(a)
+    for b in sorted(near):
+        open_ = [a for a in near[b] if a not in leader]
+        if open_:
+            leader[b] = min(open_)
+    return leader
+
+
+def test_parts_of_a_long_chain_take_few_rounds(spark):
+    edges = [(i, i + 1) for i in range(1000)] + [(5000, i) for i in range(2000, 2300)] + [(9, 9)]
+    found, rounds = graph.parts(spark.createDataFrame(edges, "a long, b long"))
+    assert {r["node"]: r["part"] for r in found.collect()} == {**{i: 0 for i in range(1001)}, **{i: 2000 for i in range(2000, 2300)}, 5000: 2000}
+    assert rounds < 10
+
+
+@pytest.mark.parametrize("rounds, replayed", [(0, 1 << 30), (0, 12), (1, 12), (2, 1 << 30), (0, 0)])
+def test_leaders_of_parts_of_any_size(spark, monkeypatch, rounds, replayed):
+    """All parts replayed, the large ones in rounds, all in rounds: one result."""
+    monkeypatch.setattr(graph, "SHARE_ROWS", 4)
+    rng = random.Random(11)
+    edges = {tuple(sorted(rng.sample(range(120), 2))) for _ in range(90)} | {(200, 200 + i) for i in range(1, 30)} | {(300 + i, 301 + i) for i in range(15)}
+    got = {r["node"]: r["leader"] for r in simjoin.greedy_leaders(spark.createDataFrame(sorted(edges) * 2, "a long, b long"), rounds, replayed).collect()}
+    assert got == plain_leaders(edges)
+    assert simjoin.greedy_leaders(spark.createDataFrame([], "a long, b long"), rounds, replayed).collect() == []
+
+
+def test_a_chain_of_a_thousand_is_replayed(spark):
+    edges = [(i, i + 1) for i in range(1000)]
+    got = {r["node"]: r["leader"] for r in simjoin.greedy_leaders(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == plain_leaders(edges) == {i: i - 1 for i in range(1, 1001, 2)}
+
+
+def test_words_of_most_titles_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(graph, "SHARE_ROWS", 4)
+    rng = random.Random(6)
+    rows = [dict(title="common shared usual " + " ".join(rng.sample([f"word{i:02d}" for i in range(9)], 5))) for _ in range(60)]
+    got = {r["ord"]: r["leader"] for r in cluster_leaders(frame(spark, rows)).collect()}
+    assert [got[i] for i in range(60)] == naive(rows)
+
+
+def test_spread_join_is_a_join(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(graph, "SHARE_ROWS", 4)
+    rows = spark.range(0, 300).select(F.when(F.col("id") < 100, 7).otherwise(F.col("id") % 50).alias("k"), F.col("id").alias("r"))
+    sizes = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("v", F.col("k") * 10)
+    assert sorted((r["k"], r["r"], r["v"]) for r in graph.spread_join(rows, sizes, "k", "n", "r", 300).collect()) == sorted((r["k"], r["r"], r["k"] * 10) for r in rows.collect())
+
+
+def test_rows_without_keys_are_kept(spark):
+    rows = [(1, "a", "10.1/x"), (2, None, None), (3, "c", ""), (4, "d", "10.1/Y"), (5, None, "10.1/z")]
+    df = spark.createDataFrame(rows, "ord long, id string, doi string")
+    listed = spark.createDataFrame([("10.1/X ",), ("",), (None,)], "doi string")
+    assert [r["ord"] for r in filters.exclude_dois(df, listed).orderBy("ord").collect()] == [2, 3, 4, 5]
+    old = spark.createDataFrame([("c", "10.1/y"), (None, None)], "id string, doi string")
+    assert [r["ord"] for r in filters.not_present(df, old).orderBy("ord").collect()] == [1, 2, 5]

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import bibtex, nested, text
-from ..operators import citations, filters, labels, merge, ranking, reports, resolve, simjoin, vectors
-from ..operators._storage import saved
+from ..operators import citations, filters, incremental, labels, merge, ranking, reports, resolve, simjoin, vectors
+from ..operators._storage import saved, scratch
 from ..sources import archive
 from . import records as R
 
@@ -297,6 +297,14 @@ def gapfill_merge(spark, sf):
     return merge.gap_fill_merge(R.records(spark, sf), R.second_corpus(spark, sf)).select("ord", "id", "title", "doi", "authors", "source_databases")
 
 
+@query(_resolved("main2", f", {R.SECOND}, main2 AS (SELECT * FROM rec UNION ALL BY NAME SELECT * FROM sec)"))
+def gapfill_incremental(spark, sf):
+    """The second corpus in two batches against an index of the first."""
+    second = R.second_corpus(spark, sf)
+    batches = [R.records(spark, sf), second.where(F.col("ord") < 1 << 41), second.where(F.col("ord") >= 1 << 41)]
+    return incremental.resolve_in_batches(batches, scratch(spark, "leaders")).select("ord", "id", "title", "doi", "authors", "source_databases")
+
+
 # ------------------------------------------------------------------ joins and merges
 @query(f"WITH {R.REC}, {R.LABELS} SELECT COALESCE(relevance_llm, '(none)') AS value, count(*) AS n FROM rec LEFT JOIN lab USING (id) GROUP BY 1")
 def label_join(spark, sf):

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import candidate_keys, normalize_doi, title_tokens
 from ._storage import saved
 from .filters import anti_join, missing_text
+from .matching import greedy_matches
 from .reports import check_source_coverage
 from .resolve import resolve
 from .simjoin import similar_pairs
@@ -93,35 +93,11 @@ def coverage_by_pass(filled: DataFrame, sources: Sequence[str], col: str = "abst
     return rows.select("step", "pass", "filled", "covered", (100.0 * F.col("covered") / F.greatest("_n", F.lit(1))).alias("percent"))
 
 
-def _greedy_match(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Left rows in order take the best right row still free, the first on ties.
-
-    ``kind`` 0: classes a and b with their similarity; 1 and 2: rows ``o`` of a left and a right class,
-    late ones after all others.  Rows of one right class are alike, so its first free row is all that
-    has to be looked at.
-    """
-    near: dict[int, list] = {}
-    for a, b, s in pdf.loc[pdf["kind"] == 0, ["a", "b", "s"]].itertuples(index=False):
-        near.setdefault(int(a), []).append((-s, int(b)))
-    rows: dict[int, list] = {1: [], 2: []}
-    for kind, c, late, o in pdf.loc[pdf["kind"] > 0, ["kind", "c", "late", "o"]].itertuples(index=False):
-        rows[kind].append((bool(late), int(o), int(c)))
-    free: dict[int, list] = {}
-    for late, o, c in sorted(rows[2], reverse=True):
-        free.setdefault(c, []).append((late, o))
-    out = []
-    for _, o, c in sorted(rows[1]):
-        best = min(((s, free[b][-1], b) for s, b in near.get(c, ()) if free.get(b)), default=None)
-        if best:
-            out.append((o, free[best[2]].pop()[1]))
-    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-
-
 def title_matches(left: DataFrame, right: DataFrame, threshold: float = 0.85, order: str = "ord") -> DataFrame:
     """(a, b): one-to-one greedy matches by title.  Rows with a DOI are matched before rows without.
 
     Candidates come from the prefix-filter join of distinct token sets, so equal titles are never
-    paired row by row; the greedy order is replayed in each connected part of similar sets.
+    paired row by row; the greedy order is kept over pairs of sets (``matching``).
     """
     def rows(df):
         sets = df.select(F.col(order).alias("o"), normalize_doi(F.col("doi")).isNull().alias("late"), F.array_sort(title_tokens(F.col("title"))).alias("tokens")).where("size(tokens) > 0")
@@ -131,28 +107,8 @@ def title_matches(left: DataFrame, right: DataFrame, threshold: float = 0.85, or
 
     (own, own_classes), (other, other_classes) = rows(left), rows(right)
     pairs = saved(similar_pairs(own_classes.select("node", "bucket", "tokens"), other_classes.select("node", "bucket", "tokens"), threshold), "title-pairs")
-    # Parts of the bipartite graph of classes: left nodes get even numbers, right ones odd numbers.
-    links = pairs.select((F.col("a") * 2).alias("u"), (F.col("b") * 2 + 1).alias("v"))
-    part = links.select(F.col("u").alias("n")).unionByName(links.select(F.col("v").alias("n"))).distinct().withColumn("p", F.col("n"))
-    while True:
-        step = links.join(part.select(F.col("n").alias("u"), F.col("p").alias("pu")), "u").join(part.select(F.col("n").alias("v"), F.col("p").alias("pv")), "v")
-        low = F.least("pu", "pv")
-        near = step.select(F.col("u").alias("n"), low.alias("q")).unionByName(step.select(F.col("v").alias("n"), low.alias("q"))).groupBy("n").agg(F.min("q").alias("q"))
-        new = saved(part.join(near, "n").select("n", F.least("p", "q").alias("p"), (F.col("q") < F.col("p")).alias("moved")), "title-parts")
-        part = new.select("n", "p")
-        if new.where("moved").isEmpty():
-            break
-    unused = F.lit(-1).cast("long")  # not null: pandas would read the column as floats
-    lefts = part.where("n % 2 = 0").select(F.shiftright("n", 1).alias("node"), "p")
-    rights = part.where("n % 2 = 1").select(F.shiftright("n", 1).alias("node"), "p")
-    edges = pairs.join(lefts.withColumnRenamed("node", "a"), "a").select(
-        "p", F.lit(0).alias("kind"), "a", "b", F.col("similarity").alias("s"), unused.alias("c"), F.lit(False).alias("late"), unused.alias("o")
-    )
-    members = None
-    for kind, side, placed in ((1, own, lefts), (2, other, rights)):
-        one = side.join(placed, "node").select("p", F.lit(kind).alias("kind"), unused.alias("a"), unused.alias("b"), F.lit(0.0).alias("s"), F.col("node").alias("c"), "late", "o")
-        members = one if members is None else members.unionByName(one)
-    return edges.unionByName(members).groupBy("p").applyInPandas(_greedy_match, "a long, b long")
+    pairs = pairs.select("a", "b", F.col("similarity").alias("s"))
+    return greedy_matches(pairs, own.withColumnRenamed("node", "c"), other.withColumnRenamed("node", "c"))
 
 
 def compare_corpora(left: DataFrame, right: DataFrame, threshold: float = 0.85, order: str = "ord") -> DataFrame:

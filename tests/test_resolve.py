@@ -203,3 +203,51 @@ def test_rows_without_keys_are_kept(spark):
     assert [r["ord"] for r in filters.exclude_dois(df, listed).orderBy("ord").collect()] == [2, 3, 4, 5]
     old = spark.createDataFrame([("c", "10.1/y"), (None, None)], "id string, doi string")
     assert [r["ord"] for r in filters.not_present(df, old).orderBy("ord").collect()] == [1, 2, 5]
+
+
+def replayed_matches(pairs, left, right):
+    """Plain loop: left rows in order take the best free right row."""
+    near, taken, out = {}, set(), set()
+    for a, b, s in pairs:
+        near.setdefault(a, {})[b] = s
+    for c, late, o in sorted(left, key=lambda r: (r[1], r[2])):
+        free = [(-near[c][d], late_r, p) for d, late_r, p in right if d in near.get(c, {}) and p not in taken]
+        if free:
+            taken.add(min(free)[2])
+            out.add((o, min(free)[2]))
+    return out
+
+
+@pytest.mark.parametrize("seed,rounds,replayed", [(0, 2, 100_000), (1, 1, 5), (2, 1, 0), (3, 50, 100_000), (4, 1, 0), (5, 2, 20)])
+def test_greedy_matches_equal_the_replay(spark, seed, rounds, replayed):
+    """Few similarities, so many ties; classes of one to thirty rows, interleaved in order."""
+    from lexharbor.operators.matching import greedy_matches
+
+    rng = random.Random(seed)
+    nodes = 8 if seed % 2 else 14
+    pairs = [(a, b, rng.choice([0.85, 0.9, 1.0])) for a in range(nodes) for b in range(nodes) if rng.random() < 0.25]
+    make = lambda: [(rng.choice([*range(nodes), 0]), rng.random() < 0.5, o) for o in rng.sample(range(1000), 60)]
+    left, right = make(), make()
+    frames = [spark.createDataFrame(rows, "c long, late boolean, o long") for rows in (left, right)]
+    got = greedy_matches(spark.createDataFrame(pairs, "a long, b long, s double"), *frames, rounds, replayed).collect()
+    assert len(got) == len({r["a"] for r in got}) == len({r["b"] for r in got})
+    assert {(r["a"], r["b"]) for r in got} == replayed_matches(pairs, left, right)
+
+
+def test_a_large_class_is_matched_by_places(spark):
+    """100,000 alike rows on each side, in one part: settled in a round, no task replays them."""
+    from pyspark.sql import functions as F
+
+    from lexharbor.operators import matching
+
+    rows = spark.range(100_000).select(F.lit(7).cast("long").alias("c"), F.lit(False).alias("late"), F.col("id").alias("o"))
+    pairs = spark.createDataFrame([(7, 7, 1.0)], "a long, b long, s double")
+    got = matching.greedy_matches(pairs, rows, rows.where("o % 2 = 0"), replayed=0)
+    assert got.agg(F.count(F.lit(1)), F.count_if(F.col("b") == 2 * F.col("a")), F.max("a")).first() == (50_000, 50_000, 49_999)
+
+
+def test_no_pairs_match_nothing(spark):
+    from lexharbor.operators.matching import greedy_matches
+
+    rows = spark.createDataFrame([(1, False, 1)], "c long, late boolean, o long")
+    assert greedy_matches(spark.createDataFrame([], "a long, b long, s double"), rows, rows).collect() == []

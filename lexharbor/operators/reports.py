@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import short_label
-from .ranking import global_rank
+from ._storage import saved
+from .selection import select_places
 
 
 def value_counts(df: DataFrame, col: str, null_as: str | None = None, keep_null: bool = False) -> DataFrame:
@@ -21,27 +22,25 @@ def value_counts(df: DataFrame, col: str, null_as: str | None = None, keep_null:
 def quantiles(df: DataFrame, col: str, shares: Mapping[str, float], by: str | None = None) -> DataFrame:
     """n, min, max and the named shares (interpolated linearly) of ``col``, for each ``by`` if given.
 
-    Values are ranked over ranges and only those next to a wanted place are read, so no task holds the
-    values of a group.  Nulls are left out; a group without values has no row, and neither has an empty
-    table if ``by`` is given.
+    Places are found by counting (``selection``): the table is written once and not sorted, and no task
+    holds the values of a group.  Nulls are left out; a group without values has no row, and neither
+    has an empty table if ``by`` is given.
     """
-    group = F.col(by) if by else F.lit(0)
-    values = df.where(F.col(col).isNotNull()).select(group.alias("_g"), F.col(col).alias("_v"), F.rand(0).alias("_tie"))  # a value that many rows share is split
-    ranked = global_rank(values, ["_g", "_v", "_tie"], "_r")
-    groups = ranked.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), F.min("_r").alias("_first"), F.min("_v").alias("min"), F.max("_v").alias("max"))
+    group = F.struct((F.col(by) if by else F.lit(0)).alias("g")).alias("g")
+    values = saved(df.where(F.col(col).isNotNull()).select(group, F.col(col).alias("v"), F.rand(0).alias("u")), "quantile-values")
+    groups = saved(values.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("min"), F.max("v").alias("max")), "quantile-groups")
     place = {name: F.lit(float(share)) * (F.col("n") - 1) for name, share in shares.items()}
     spots = [c for p in place.values() for c in (F.floor(p), F.ceil(p))]
-    # Spots are at most two for each share and group, so a hot group sends hardly any row on.
-    wanted = groups.select(F.col("_g").alias("_of"), F.explode(F.array_distinct(F.transform(F.array(*spots), lambda c: c + F.col("_first")))).alias("_at"))
-    near = ranked.join(wanted, F.col("_r") == F.col("_at")).groupBy("_of").agg(F.map_from_entries(F.collect_list(F.struct("_at", "_v"))).alias("_near"))
+    wanted = groups.select("g", F.explode(F.array_distinct(F.array(*spots))).alias("place"))
+    near = select_places(values, wanted).groupBy("g").agg(F.map_from_entries(F.collect_list(F.struct("place", "v"))).alias("_near"))
 
     def value(p: Column) -> Column:
         low, high = F.floor(p), F.ceil(p)
-        at = lambda c: F.element_at("_near", c + F.col("_first"))
+        at = lambda c: F.element_at("_near", c)
         return F.when(low == high, at(low)).otherwise((high - p) * at(low) + (p - low) * at(high))
 
-    out = groups.join(near, F.col("_g").eqNullSafe(F.col("_of")))
-    return out.select(*([F.col("_g").alias(by)] if by else []), "n", "min", "max", *[value(p).alias(name) for name, p in place.items()])
+    out = groups.join(near, "g")
+    return out.select(*([F.col("g.g").alias(by)] if by else []), "n", "min", "max", *[value(p).alias(name) for name, p in place.items()])
 
 
 def score_stats(df: DataFrame, col: str = "embed_score") -> DataFrame:

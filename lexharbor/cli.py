@@ -44,6 +44,7 @@ def _options(parser: argparse.ArgumentParser) -> argparse.ArgumentParser:
     add("recover-sources", "table", "bib", out, help="sources from BibTeX notes")
     add("archive", "raw", out, help="verified archive of a raw folder")
     add("layout", "list", help="plan of moves for a list of file names")
+    add("move", "folder", help="move the files of a results folder by plan, all or none")
     return parser
 
 
@@ -103,6 +104,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
         df = pipelines.recover_sources(spark, read(a.table), a.bib)
     elif a.command == "archive":
         return archive.archive_verified(files.raw_folder(spark, a.raw), a.out)
+    elif a.command == "move":
+        return dict(layout.apply_moves(spark, a.folder))
     else:
         return layout.plan_moves(spark.read.text(a.list).withColumnRenamed("value", "name"))
     df.write.mode("overwrite").parquet(a.out)

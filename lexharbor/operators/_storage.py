@@ -35,14 +35,6 @@ def delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def copy(spark: SparkSession, source: str, target: str) -> None:
-    """Copy a file or folder; raises where it does not arrive."""
-    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
-    a, b = hadoop.Path(source), hadoop.Path(target)
-    if not hadoop.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, True, conf):
-        raise OSError(f"{source} was not copied to {target}")
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)

@@ -1,10 +1,13 @@
-"""Planning of a results layout: files against ordered glob rules, relationally."""
+"""A results layout: files against ordered glob rules, relationally, and their moves."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators._storage import exists
+from ..sources.moves import finish, move_all, names
+
 # Glob and target folder, first match wins.
 RULES = [
     ("*.log", "logs"), ("raw_archive*.parquet", "archive"), ("*.bak", "archive"), ("*.bak.*", "archive"), ("pilot*_labeled*.csv", "pilots"), ("pilot*.csv", "pilots"),
@@ -29,3 +32,20 @@ def plan_moves(files: DataFrame) -> DataFrame:
     if not twice.isEmpty():
         raise ValueError("two files have one target: " + ", ".join(r["target"] for r in twice.limit(5).collect()))
     return moves
+
+
+def apply_moves(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
+    """Move the files of ``folder`` by plan, all or none: (name, target) in order of name.
+
+    Nothing moves if two files have one target or a target is there.  Moves that a stopped driver
+    left open are carried out first.
+    """
+    folder = folder.rstrip("/")
+    finish(spark, folder)
+    files = spark.createDataFrame([(n,) for n in names(spark, folder, files=True)], "name string")
+    moves = sorted(tuple(r) for r in plan_moves(files).collect())  # names in one folder, which its listing holds too
+    if there := [target for _, target in moves if exists(spark, f"{folder}/{target}")]:
+        raise ValueError("targets are there already: " + ", ".join(there[:5]))
+    if moves:
+        move_all(spark, folder, [(f"{folder}/{name}", f"{folder}/{target}") for name, target in moves])
+    return moves

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import raw_file_name
-from ..operators._storage import copy, delete, exists, saved, scratch
+from ..operators._storage import delete, saved, scratch
 from .committed import write_named
+from .moves import swap
 
 
 def content_digest(raw: DataFrame) -> tuple[int, int]:
@@ -35,19 +36,8 @@ def archive_verified(raw: DataFrame, path: str | None = None, level: int = 9, re
 
 
 def rewrite(df: DataFrame, path: str, write) -> str | None:
-    """``write(df, path)`` after a copy of what is there; returns the copy's path, the next free ``.bak`` name.
-
-    ``df`` may read from ``path``: it is settled first.
-    """
-    spark, kept = df.sparkSession, None
-    df = saved(df, "rewrite")
-    if exists(spark, path):
-        n = 0
-        while exists(spark, kept := f"{path}.bak" + (f".{n}" if n else "")):
-            n += 1
-        copy(spark, path, kept)
-    write(df, path)
-    return kept
+    """``write(df, path)``, keeping what is there under the next free ``.bak`` name, which is returned; see ``moves.swap``."""
+    return swap(df, path, write)
 
 
 def write_csv(df: DataFrame, path: str, single: bool = True) -> None:

@@ -38,3 +38,11 @@ def test_from_raw_folder_to_report(spark, project, tmp_path):
     assert more.count() == 2  # nothing new
     with pytest.raises(ValueError):
         main(["harvest", str(raw), "--project", project, "--sources", "nope", "--out", at("z")], spark)
+
+
+def test_move_command(spark, tmp_path):
+    from lexharbor import cli
+
+    (tmp_path / "x.log").write_text("x")
+    assert cli.main(["move", str(tmp_path)], spark) == {"x.log": "logs/x.log"}
+    assert (tmp_path / "logs/x.log").exists()

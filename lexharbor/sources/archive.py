@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import raw_file_name
-from ..operators._storage import delete, saved, scratch
+from ..operators._storage import delete, exists, saved, scratch
 from .committed import write_named
 from .moves import swap
 

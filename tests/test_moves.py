@@ -104,3 +104,12 @@ def test_stopped_moves_are_finished(spark, tmp_path, monkeypatch, after):
 
 def test_an_empty_folder(spark, tmp_path):
     assert layout.apply_moves(spark, str(tmp_path)) == [] == layout.apply_moves(spark, f"{tmp_path}/none")
+
+
+def test_checkpoints_are_cleared_once_all_rows_are_there(spark, tmp_path):
+    path, asked = f"{tmp_path}/checkpoints", spark.range(4)
+    assert not archive.clear_checkpoints(spark, path, asked)
+    archive.append_checkpoint(asked.where("id < 3"), path, 1)
+    assert not archive.clear_checkpoints(spark, path, asked) and spark.read.parquet(path).count() == 3
+    archive.append_checkpoint(asked.where("id > 1"), path, 2)
+    assert archive.clear_checkpoints(spark, path, asked) and not (tmp_path / "checkpoints").exists()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,9 +42,9 @@ def tagged_records(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches):
         for pdf in batches:
-            tags = [parse_tagged(v) for v in pdf["value"]]
-            keep = [bool(t) for t in tags]
-            yield pd.DataFrame({"ord": pdf["ord"][keep], "tags": [t for t in tags if t]})
+            # Without a record in a batch, pandas would give the column a type that Arrow makes no maps of.
+            pdf = pdf.assign(tags=pd.Series([parse_tagged(v) for v in pdf["value"]], index=pdf.index, dtype=object))
+            yield pdf.loc[pdf["tags"].map(len).to_numpy(dtype=np.int64) > 0, ["ord", "tags"]]
 
     return rows.select("ord", "value").mapInPandas(run, "ord long, tags map<string,array<string>>")
 

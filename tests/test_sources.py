@@ -157,3 +157,15 @@ def test_harvest_order_follows_sources_queries_and_places(spark):
     in_order = lambda df: [r["id"] for r in df.orderBy("ord").collect()]
     assert in_order(normalize.harvest(raw, ["openalex", "core"])) == ["3", "2", "1", "core:9"]
     assert in_order(normalize.harvest(raw, ["core", "openalex"], ["b", "a"])) == ["core:9", "2", "1", "3"]
+
+
+def test_files_without_a_record_are_no_error(spark, tmp_path):
+    """The end of an export may be a split of its own, as large exports are read in several."""
+    for name, text in (("a", "PT J\nUT WOS:1\nAU A\n   B\nER\n"), ("b", "\nEF\n"), ("c", "\n")):
+        (tmp_path / name).write_text(text)
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a task for each file
+    try:
+        for paths, want in (([str(tmp_path)], ["wos:WOS:1"]), ([str(tmp_path / "b")], [])):
+            assert [r["id"] for r in files.tagged_to_records(files.tagged_records(spark, *paths)).collect()] == want
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")

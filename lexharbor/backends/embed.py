@@ -24,16 +24,19 @@ def unit_rows(m: np.ndarray) -> np.ndarray:
 
 @dataclass
 class HashingEmbed:
-    """Deterministic offline vectors: signed counts of hashed words."""
+    """Deterministic offline vectors: signed counts of hashed words, or plain ones where all signs cancel out."""
 
     size: int = 64
 
     def embed(self, texts: Sequence[str]) -> np.ndarray:
         out = np.zeros((len(texts), self.size), dtype=np.float32)
         for i, t in enumerate(texts):
-            for w in t.lower().split():
-                h = int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little")
+            hashes = [int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little") for w in t.lower().split()]
+            for h in hashes:
                 out[i, h % self.size] += 1 if h >> 63 else -1
+            if not out[i].any():
+                for h in hashes:
+                    out[i, h % self.size] += 1
         return unit_rows(out)
 
 

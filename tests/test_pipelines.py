@@ -177,3 +177,8 @@ def test_abstract_lookups():
     assert L.europepmc_abstracts(["10.1/a"], opener=replies({"resultList": {"result": [{}, {"abstractText": "t"}]}})) == {"10.1/a": "t"}
     assert L.semantic_scholar_abstracts(["10.1/a"], "k", opener=replies({"abstract": None})) == {}
     assert L.uid_payload(["WOS:1", "WOS:2"], "k", opener=replies({"Data": {}})) == '{"Data": {}}'
+
+
+def test_words_that_cancel_out_have_a_vector():
+    m = EMBED_BACKENDS["hashing"]().embed(["Is ernttier.", "is ernttier.", "Is", ""])
+    assert abs((m[0] ** 2).sum() - 1) < 1e-5 and (m[0] == m[1]).all() and m[2].any() and not m[3].any()

@@ -3,9 +3,11 @@
 Passages are windows of ``2 * BLOCK`` words with TF-IDF weights over ``TERMS`` hashed terms; document
 frequencies count every document.  A randomised SVD (range finder, power iteration, small
 eigenproblem; all products with the passage matrix run on the executors) gives ``RANK`` latent
-directions.  It is fitted on all benchmark passages and on about ``SAMPLE`` documents' passages, one
-each, chosen by hash; every passage of every document is then projected and compared by cosine with
-all benchmark passages, in blocks.  Candidates are confirmed by the longest common subsequence of
+directions.  It is fitted on all benchmark passages, and on nothing else: what a document's passage has
+outside of their span adds nothing to its product with any of them.  Every passage of every document is
+projected and compared by cosine with all benchmark passages, in blocks.  A term that the benchmark
+lacks has no place in the space, so tasks hold rows for the benchmark's terms only.
+Candidates are confirmed by the longest common subsequence of
 words, by the share of the item's weighted words that the passage has, and by the answer, i.e. the
 end of the item, so paraphrases that keep most words in order are found and chance overlap is not.
 
@@ -26,18 +28,18 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import settle, tune
 from .shingles import BREAKS, batch_words, word_hashes
 
 TERMS, RANK, OVERSAMPLING, POWER_STEPS = 1 << 16, 96, 16, 1
-BLOCK, SAMPLE, STRETCH, QUERY_BLOCK = 16, 4096, 1 << 15, 2048
+BLOCK, STRETCH, QUERY_BLOCK = 16, 1 << 15, 2048
+#: Documents' passages in the fit: none.  Nothing reads it but a test that the fit has a bound.
+SAMPLE = 0
 #: Words of the benchmark that are searched for at once, and blocks of words that are summed up at once.
 SHARD_WORDS, SUMMED = 1 << 20, 64
-#: Benchmark passages count so much in the fit that the latent space represents them.
-BENCHMARK_WEIGHT = 8.0
 #: Exponent of the inverse document frequency, so that frequent words do not make passages alike.
 IDF_POWER = 2
 #: Cosine of a candidate, and the share of the item's latent vector that it must hold.
@@ -248,7 +250,7 @@ def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, in
 
 
 def randomised_svd(passages: DataFrame, n: int, weights: np.ndarray) -> np.ndarray:
-    """(TERMS, RANK) right singular vectors of the weighted passage matrix; ``passages``: row, terms, scale."""
+    """(TERMS, RANK) right singular vectors of the weighted passage matrix; ``passages``: row, terms."""
     spark = passages.sparkSession
     held = spark.sparkContext.broadcast(weights)
     width = RANK + OVERSAMPLING
@@ -262,7 +264,7 @@ def randomised_svd(passages: DataFrame, n: int, weights: np.ndarray) -> np.ndarr
             if right is None:
                 right = np.random.default_rng(11).standard_normal((TERMS, width), dtype=np.float32)
             for pdf in batches:
-                out = [s * (held.value[t][:, None] * right[t]).sum(axis=0) for t, s in zip(pdf["terms"], pdf["scale"], strict=True)]
+                out = [(held.value[t][:, None] * right[t]).sum(axis=0) for t in pdf["terms"]]
                 yield pd.DataFrame({"row": pdf["row"], "y": [v.astype(np.float32).tobytes() for v in out]})
 
         out = np.zeros((n, width if right is None else right.shape[1]), dtype=np.float32)
@@ -278,9 +280,9 @@ def randomised_svd(passages: DataFrame, n: int, weights: np.ndarray) -> np.ndarr
         def partial(batches):
             acc = {}
             for pdf in batches:
-                for row, terms, scale in zip(pdf["row"], pdf["terms"], pdf["scale"], strict=True):
+                for row, terms in zip(pdf["row"], pdf["terms"], strict=True):
                     for t in terms:
-                        v = sent.value[row] * (scale * held.value[t])
+                        v = sent.value[row] * held.value[t]
                         acc[t] = acc[t] + v if t in acc else v
             if acc:
                 yield pd.DataFrame({"term": list(acc), "v": [v.astype(np.float32).tobytes() for v in acc.values()]}, columns=["term", "v"])
@@ -322,63 +324,42 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     weights = np.log((1 + n_docs) / (1 + df)).clip(min=1e-3).astype(np.float32)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text is not null")
     shard_of = np.cumsum([len(w) for _, w in items]) // SHARD_WORDS
-    parts = [rows.mapInPandas(_search([items[k] for k in np.flatnonzero(shard_of == s)], weights, rows, n_docs), found.schema) for s in np.unique(shard_of)]
+    parts = [rows.mapInPandas(_search([items[k] for k in np.flatnonzero(shard_of == s)], weights, spark), found.schema) for s in np.unique(shard_of)]
     for part in parts[1:]:
         parts[0] = parts[0].unionByName(part)
     return parts[0]
 
 
-def latent_space(items: list, weights: np.ndarray, rows: DataFrame, n_docs: int) -> tuple[np.ndarray, list]:
-    """(latent directions of the weighted terms, passages (item, first word, end) of the items)."""
-    spark = rows.sparkSession
-    # The passages that the latent space is fitted on.
-    n_texts = rows.agg(F.approx_count_distinct(F.xxhash64("text"))).first()[0]
-    draw = F.pmod(F.xxhash64(F.lit("svd"), F.col("text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sampled = rows.where(draw < min(1.0, SAMPLE / max(n_texts, 1))).select("text", F.xxhash64("text").alias("h"))
-
-    def sample(batches):
-        seen: set[int] = set()  # different texts of the sample
-        for pdf in batches:
-            pdf = pdf[~pdf["h"].isin(seen)].drop_duplicates("h")
-            seen.update(pdf["h"].tolist())
-            out = []
-            for w, h in zip(words_of_all(pdf["text"].tolist()), pdf["h"].tolist(), strict=True):
-                if spans := windows(len(w)):
-                    a, b = spans[h % len(spans)]
-                    out.append((h, terms_of(w[a:b])))
-            if out:
-                yield pd.DataFrame(out, columns=["h", "terms"])
-
+def latent_space(items: list, weights: np.ndarray, spark: SparkSession) -> tuple[np.ndarray, list]:
+    """(latent directions of the weighted terms, passages (item, first word, end) of the items): fitted on all these passages."""
     queries = [(k, a, b) for k, (_, w) in enumerate(items) for a, b in windows(len(w))]
-    own = spark.createDataFrame([(terms_of(items[k][1][a:b]).tolist(),) for k, a, b in queries], "terms array<long>")
-    # A text and its copies are one passage; twice the sample is the most that the driver numbers.
-    sampled = sampled.mapInPandas(sample, "h long, terms array<long>").groupBy("h").agg(F.any_value("terms").alias("terms")).orderBy("h").limit(2 * SAMPLE)
-    fitted = own.withColumn("scale", F.lit(BENCHMARK_WEIGHT)).unionByName(sampled.select("terms", F.lit(1.0).alias("scale")))
-    fitted = settle(fitted.orderBy(F.col("scale").desc(), F.xxhash64("terms")).withColumn("_m", F.monotonically_increasing_id()), "lsa-fit")
-    places = {m: k for k, m in enumerate(sorted(r[0] for r in fitted.select("_m").collect()))}  # at most twice SAMPLE and the benchmark
-    number = spark.createDataFrame([(int(m), k) for m, k in places.items()], "_m long, row long")
-    fitted = settle(fitted.join(number, "_m").select("row", "terms", "scale"), "lsa-rows")
+    passages = spark.createDataFrame([(row, terms_of(items[k][1][a:b]).tolist()) for row, (k, a, b) in enumerate(queries)], "row long, terms array<long>")
     strong = weights**IDF_POWER
-    return randomised_svd(fitted, len(places), strong) * strong[:, None], queries
+    return randomised_svd(settle(passages, "lsa-rows"), len(queries), strong) * strong[:, None], queries
 
 
-def _search(items: list, weights: np.ndarray, rows: DataFrame, n_docs: int):
+def _search(items: list, weights: np.ndarray, spark: SparkSession):
     """The batch function that finds ``items`` in texts."""
-    latent, queries = latent_space(items, weights, rows, n_docs)
+    latent, queries = latent_space(items, weights, spark)
     asked = np.stack([latent[terms_of(items[k][1][a:b])].sum(axis=0) for k, a, b in queries])
     lengths = np.maximum(np.linalg.norm(asked, axis=1), 1e-12)
     asked /= lengths[:, None]
-    latent = np.concatenate([latent, np.zeros((1, latent.shape[1]), latent.dtype)])
+    # Rows of the benchmark's terms, and one of zeros for all others and for no word.
+    known = np.flatnonzero(latent.any(axis=1))
+    place = np.full(TERMS + 1, len(known))
+    place[known] = np.arange(len(known))
+    latent = np.concatenate([latent[known], np.zeros((1, latent.shape[1]), latent.dtype)])
     rare = RareWords([w for _, w in items], weights)
-    held = rows.sparkSession.sparkContext.broadcast((latent, weights, items, np.array([k for k, _, _ in queries]), asked, lengths, rare))
+    held = spark.sparkContext.broadcast((place, latent, weights, items, np.array([k for k, _, _ in queries]), asked, lengths, rare))
 
     def search(batches):
-        latent, weights, items, item_of, asked, lengths, rare = held.value
+        place, latent, weights, items, item_of, asked, lengths, rare = held.value
         for pdf in batches:
             if pdf.empty:
                 continue
             texts = words_of_all(pdf["text"].tolist())
             best, passages = [{} for _ in texts], Passages(texts)
+            passages.terms = place[passages.terms]
 
             def look(t, k, first, cosine):
                 """Judge a place; ``cosine``: called only if it is confirmed."""
@@ -399,7 +380,7 @@ def _search(items: list, weights: np.ndarray, rows: DataFrame, n_docs: int):
                         look(t, k, (block - int(passages.start[t])) * BLOCK, lambda: cos)
 
             def cosine(t, k, first):
-                passage = latent[terms_of(texts[t][first : first + 2 * BLOCK])].sum(axis=0)
+                passage = latent[place[terms_of(texts[t][first : first + 2 * BLOCK])]].sum(axis=0)
                 return (asked[item_of == k] @ passage).max() / max(np.linalg.norm(passage), 1e-12)
 
             for t, k, places in rare.places(texts):

@@ -648,3 +648,20 @@ def test_the_pipeline_keeps_columns_of_any_name(spark, tmp_path):
         assert got and all(r[n] == f"mine {n} {'-' if r['doc_id'] is None else r['doc_id']}" for r in got for n in names)
     kept = stages.near_duplicates(spark, docs, str(tmp_path)).collect()
     assert sorted(r["text"][0] for r in kept) == ["a", "b", "c", "d"]
+
+
+def test_the_latent_space_holds_all_products_with_the_benchmark(spark, monkeypatch):
+    """It is fitted on all passages of the benchmark and on no sample, so nothing depends on what is drawn."""
+    rng = np.random.default_rng(3)
+    vocabulary = rng.integers(1, 1 << 62, size=300).astype(np.uint64)
+    items = [(k, vocabulary[rng.integers(0, 200, size=n)]) for k, n in enumerate((3, 20, 33, 90))]
+    weights, seen = rng.random(decontaminate.TERMS).astype(np.float32) + np.float32(0.1), []
+    original = decontaminate.randomised_svd
+    monkeypatch.setattr(decontaminate, "randomised_svd", lambda fitted, n, strong: seen.append((n, fitted.count())) or original(fitted, n, strong))
+    latent, queries = decontaminate.latent_space(items, weights, spark)
+    assert seen == [(len(queries), len(queries))] and len(queries) == 9
+    vector = lambda words: np.bincount(decontaminate.terms_of(words), minlength=decontaminate.TERMS) * weights.astype(float) ** decontaminate.IDF_POWER
+    texts = [vocabulary[rng.integers(0, 300, size=32)] for _ in range(20)]
+    asked = [items[k][1][a:b] for k, a, b in queries]
+    got = [[latent[decontaminate.terms_of(t)].sum(axis=0) @ latent[decontaminate.terms_of(q)].sum(axis=0) for q in asked] for t in texts]
+    assert np.allclose(got, [[vector(t) @ vector(q) for q in asked] for t in texts], rtol=1e-3, atol=1e-3)

@@ -104,6 +104,11 @@ def squeezed(text: Column) -> Column:
 FILTER_BITS = 1 << 26
 
 
+def filter_bits(n: int) -> int:
+    """Bits of a filter of ``n`` keys: 32 for each at least, and FILTER_BITS at most."""
+    return min(FILTER_BITS, 1 << max(15, (32 * n - 1).bit_length()))
+
+
 def bit_slot(key: Column, bits: int) -> Column:
     """1-based slot of ``key`` among ``bits``."""
     return F.pmod(F.xxhash64(key), F.lit(bits)) + F.lit(1)
@@ -144,7 +149,7 @@ def with_membership(df: DataFrame, key: str, keys: DataFrame, keys_col: str, out
 def without(rows: DataFrame, key: str, gone: DataFrame, gone_col: str) -> DataFrame:
     """``rows`` whose ``key`` is not among ``gone``; only rows that may be gone are shuffled."""
     gone = settle(gone.select(F.col(gone_col).alias("_gone")).distinct(), "gone")
-    judged = with_membership(rows, key, gone, "_gone", "_maybe")
+    judged = with_membership(rows, key, gone, "_gone", "_maybe", filter_bits(gone.count()))
     rest = judged.where("_maybe").join(gone, F.col(key) == F.col("_gone"), "left_anti")
     return judged.where("not _maybe").unionByName(rest).select(*rows.columns)
 

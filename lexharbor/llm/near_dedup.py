@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SHARE_ROWS, discard, for_shares, joined_spread, settle, spread_join, tune, with_membership, with_shares
+from .common import SHARE_ROWS, discard, filter_bits, for_shares, joined_spread, settle, spread_join, tune, with_membership, with_shares
 from .components import connected_components
 from .shingles import shingle_sets
 
@@ -159,7 +159,7 @@ def candidate_lists(classes: DataFrame, percent: int) -> DataFrame:
     entries = classes.select("rep", "n", F.explode("sketch").alias("value"))
     counts = settle(entries.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "near-counts")
     total = classes.agg(F.sum(F.size("sketch"))).first()[0] or 0
-    shared = with_membership(entries, "value", counts, "value", "maybe").where("maybe").drop("maybe")
+    shared = with_membership(entries, "value", counts, "value", "maybe", filter_bits(counts.count())).where("maybe").drop("maybe")
     shared = spread_join(shared, counts, "value", "df", "rep", total)
     # Values that no other class retains stand first in the order, and are in no list.
     alone = F.least("n", F.lit(SKETCH)) - F.size("by_df")
@@ -168,7 +168,7 @@ def candidate_lists(classes: DataFrame, percent: int) -> DataFrame:
     first = settle(ranked.where(length > 0).select("rep", "n", F.explode(F.slice("by_df", F.lit(1), length.cast("int"))).alias("x")).select("rep", "n", F.col("x.value").alias("value")), "near-first")
     lists = first.groupBy("value").agg(F.count(F.lit(1)).alias("l"), F.sum("n").alias("l_n"), F.sum(F.xxhash64("rep").cast("decimal(20,0)")).alias("who")).where("l > 1")
     lists = settle(lists.groupBy("l", "l_n", "who").agg(F.min("value").alias("value")).drop("who"), "near-lists")
-    listed = with_membership(first, "value", lists, "value", "maybe").where("maybe").drop("maybe")
+    listed = with_membership(first, "value", lists, "value", "maybe", filter_bits(lists.count())).where("maybe").drop("maybe")
     listed = settle(spread_join(listed, lists, "value", "l", "rep", total), "near-listed")
     discard(counts, first)
     return listed
@@ -201,7 +201,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
             sets = list(shingle_sets(pdf["text"].tolist(), words))
             yield pd.DataFrame({"digest": [digest(s) for s in sets], "least": pdf["id"], "sketch": [s[:SKETCH] for s in sets], "values": sets})
 
-    chosen = with_membership(texts, "id", parts, "least", "maybe").where("maybe").select("id", "text")
+    chosen = with_membership(texts, "id", parts, "least", "maybe", filter_bits(parts.count())).where("maybe").select("id", "text")
     chosen = chosen.join(parts.select(F.col("least").alias("id")), "id", "left_semi").mapInPandas(full, "digest string, least long, sketch array<long>, values array<long>")
     sets = settle(chosen.join(parts, ["digest", "least"]).dropDuplicates(["rep"]).select("rep", "sketch", "values"), "near-sets")
 

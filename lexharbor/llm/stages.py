@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, langid, mixing, near_dedup, packing
-from .common import dense_index, joined_spread, settle, with_membership, without
+from .common import dense_index, filter_bits, joined_spread, settle, with_membership, without
 
 SHARDS = 24
 
@@ -34,7 +34,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     if odd.isEmpty():
         return rows
     named = odd.where("odd is not null").select("odd")
-    judged = with_membership(rows.where("key is not null"), "key", named, "odd", "maybe")
+    judged = with_membership(rows.where("key is not null"), "key", named, "odd", "maybe", filter_bits(named.count()))
     # Identifiers repeat seldom or often: rows of one that is hot are dealt over shares.
     maybe = settle(judged.where("maybe").drop("maybe"), "odd-maybe")
     marked = joined_spread(maybe, named.select(F.col("odd").alias("key"), F.lit(True).alias("again")), "key", F.xxhash64("row.text"), "left")

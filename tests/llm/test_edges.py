@@ -665,3 +665,18 @@ def test_the_latent_space_holds_all_products_with_the_benchmark(spark, monkeypat
     asked = [items[k][1][a:b] for k, a, b in queries]
     got = [[latent[decontaminate.terms_of(t)].sum(axis=0) @ latent[decontaminate.terms_of(q)].sum(axis=0) for q in asked] for t in texts]
     assert np.allclose(got, [[vector(t) @ vector(q) for q in asked] for t in texts], rtol=1e-3, atol=1e-3)
+
+
+def test_filters_are_sized_to_their_keys_and_rounds_leave_one_table(spark, tmp_path, monkeypatch):
+    from lexharbor.llm import components
+
+    assert [common.filter_bits(n) for n in (0, 1, 1024, 1025, 1 << 40)] == [1 << 15, 1 << 15, 1 << 15, 1 << 16, common.FILTER_BITS]
+    rows, keys = spark.range(5000).withColumnRenamed("id", "k"), spark.range(0, 9000, 3)
+    for n in (1, 3000, 1 << 30):
+        got = common.with_membership(rows, "k", keys, "id", "maybe", common.filter_bits(n)).where("maybe")
+        assert got.where("k % 3 = 0").count() == 1667 and (n == 1 or got.count() < 1900)
+    monkeypatch.setattr(common, "shared_root", lambda s: f"file://{tmp_path}")
+    links = spark.range(40).selectExpr("id AS a", "id + 1 AS b").where("a <> 20")
+    found = components.connected_components(links)
+    assert len(list(tmp_path.iterdir())) == 1
+    assert {tuple(r) for r in found.collect()} == {(n, 0 if n <= 20 else 21) for n in range(41)}

@@ -65,13 +65,18 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             remove_path(spark, path)
 
 
-def settle(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives executors."""
+def settle(df: DataFrame, tag: str, tidy: bool = True) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives executors.
+
+    ``tidy``: then let the driver's collector free plans, broadcasts and shuffles of the steps before.
+    """
     spark = df.sparkSession
     path = scratch(spark, tag)
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._scratch = path
+    if tidy:
+        spark._jvm.System.gc()
     return back
 
 
@@ -86,8 +91,13 @@ def discard(*settled: DataFrame) -> None:
     settled[0].sparkSession._jvm.System.gc()
 
 
+#: Characters of a plan's description; the driver keeps those of its last 1000 executions.
+PLAN_CHARS = "8k"
+
+
 def tune(spark: SparkSession) -> None:
-    """Short Arrow batches, as rows carry whole texts."""
+    """Short Arrow batches, as rows carry whole texts, and short descriptions, as plans are long and many."""
+    spark.conf.set("spark.sql.maxPlanStringLength", PLAN_CHARS)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 

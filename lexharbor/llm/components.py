@@ -19,12 +19,12 @@ def connected_components(links: DataFrame) -> DataFrame:
     count = F.count(F.lit(1)).alias("n")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        around = settle(both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("m"), count), "cc-least")
+        around = settle(both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("m"), count), "cc-least", tidy=False)
         large = spread_join(both, around, "u", "n", "v", 2 * n).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = settle(large, "cc-large")
-        least = settle(large.groupBy("u").agg(F.min("v").alias("m"), count), "cc-least")
+        large = settle(large, "cc-large", tidy=False)
+        least = settle(large.groupBy("u").agg(F.min("v").alias("m"), count), "cc-least", tidy=False)
         small = spread_join(large, least, "u", "n", "v", n).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        before, edges = edges, settle(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "cc")
+        before, edges = edges, settle(small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "cc", tidy=False)
         discard(before, around, large, least)  # a round reads its predecessor's edges only
         now = edges.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first()
         if now == sign:

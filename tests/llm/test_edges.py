@@ -680,3 +680,21 @@ def test_filters_are_sized_to_their_keys_and_rounds_leave_one_table(spark, tmp_p
     found = components.connected_components(links)
     assert len(list(tmp_path.iterdir())) == 1
     assert {tuple(r) for r in found.collect()} == {(n, 0 if n <= 20 else 21) for n in range(41)}
+
+
+def test_plans_and_shuffles_of_settled_steps_go(spark):
+    """The driver frees what written steps needed when the next one is written, and keeps short descriptions."""
+    import gc
+    import time
+
+    common.tune(spark)
+    assert spark.conf.get("spark.sql.maxPlanStringLength") == "8k"
+    held = spark._jvm.java.lang.ref.WeakReference
+    step = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    plan = held(step._jdf)
+    common.settle(step, "tidy-one")
+    del step
+    gc.collect()
+    time.sleep(0.5)
+    common.settle(spark.range(10), "tidy-two")
+    assert plan.get() is None

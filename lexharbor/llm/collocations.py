@@ -3,13 +3,17 @@
 1. **Words** are counted for each language.  The frequencies of the frequent ones are held in a table
    of ``SLOTS`` numbers, whatever the vocabulary is: it orders words by rarity and shows which are
    infrequent (a shared slot makes a word look more frequent, which costs work and changes no count).
-2. **Pairs** of neighbouring frequent words are counted by hash; a filter of ``PAIR_BITS`` bits shows
-   which may be frequent.  No frequent phrase goes across another pair.  (Equal hashes and shared bits
-   let a pair pass, which costs work and changes no count.)
+2. **Pairs** of neighbouring frequent words are counted by the keys of both, and named by a join with the
+   words.  A filter of ``PAIR_BITS`` bits shows which are frequent; no longer phrase goes across another
+   pair.  **Triples** of such pairs are counted by hash and held in a second filter.  (Equal hashes and
+   shared bits let a pair or triple pass, which costs work and changes no count of a longer phrase.  Pairs
+   are confused only if two words of a language share a 64-bit key: with n words, below n**2 / 2**65.)
 3. **Rewriting.**  The pivot of a phrase is its rarest word, the leftmost if it stands there twice.
    Around every word of a text the fragment is cut in which all phrases of this pivot lie: up to
-   ``longest`` - 1 words on either side, as far as pairs may be frequent and no word is rarer (to the
-   left: no word is as rare).  Other words never matter to this pivot, so they are left out.
+   ``longest`` - 1 words on either side, as far as pairs and triples may be frequent and no word is rarer
+   (to the left: no word is as rare).  Other words never matter to this pivot, so they are left out.
+   Where the triple around the pivot is infrequent, its sides are two fragments; those of two words are
+   left out.
 4. **Routing.**  Fragments go to their pivot's partition, equal ones as one row with a count.  The
    fragments of a pivot with more than ``SHARE_WORDS`` occurrences are dealt over shares.
 5. **Mining.**  In its partition, every fragment gives the phrases that hold its pivot; an infrequent
@@ -38,8 +42,8 @@ from .shingles import hash_words, mix
 
 #: Entries of the rarity table; steps of an octave that it tells apart.
 SLOTS, STEPS = 1 << 20, 1024
-#: Bits of the filter of pairs, and pairs that a task combines before it sends them on.
-PAIR_BITS, PAIRS = 1 << 26, 1 << 21
+#: Bits of the filters of pairs and of triples.
+PAIR_BITS = 1 << 26
 #: Characters of texts that are looked at together.
 JOINED = 1 << 19
 #: Occurrences of a pivot in one share, and different fragments that a task combines
@@ -47,6 +51,7 @@ JOINED = 1 << 19
 SHARE_WORDS, COMBINED, SENT = 1 << 18, 1 << 19, 1 << 16
 #: Characters that end a piece, and all that end a word (fixed values).
 BREAK = r".,;:!?\x0A-\x0D"
+_STEP = np.uint64(0xD6E8FEB86659FD93)
 _GAPS = re.compile(rb"[\x20\x09]+")
 _IS_BREAK = np.zeros(256, dtype=bool)
 _IS_BREAK[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -124,76 +129,136 @@ def _text_words(text: str, lang: str, levels: np.ndarray):
     return raw, starts, ends, key, level, pairs
 
 
-def _pair_hashes(key: np.ndarray) -> np.ndarray:
-    return mix(key[:-1] * np.uint64(0xD6E8FEB86659FD93) + key[1:])
+def _longer_hashes(hashes: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Hashes of phrases with one word more, from those of phrases (at first: the words)."""
+    return mix(hashes[:-1] * _STEP + key[len(key) - len(hashes) + 1 :])
 
 
-def pair_filter(docs: DataFrame, levels: np.ndarray, least: int, text_col: str = "text", lang_col: str = "lang") -> np.ndarray:
-    """A bitmap of the hashes of all pairs that occur ``least`` times: PAIR_BITS bits, whatever the input is."""
-    held = docs.sparkSession.sparkContext.broadcast(levels)  # 2 * SLOTS bytes
+def _open(hashes: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    slot = (hashes & np.uint64(8 * len(bitmap) - 1)).astype(np.int64)
+    return (bitmap[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+
 
-    def counted(parts: list) -> pd.DataFrame:
-        pairs, n = np.unique(np.concatenate(parts), return_counts=True)
-        return pd.DataFrame({"pair": pairs.view(np.int64), "n": n})
+def _counted(docs: DataFrame, made, schema: str, least: int, text_col: str, lang_col: str) -> DataFrame:
+    """(*columns of ``schema``, n): the rows of numbers that ``made(text, lang)`` gives ``least`` times."""
+    names = [x.split()[0] for x in schema.split(", ")]
 
-    def count(batches):
-        parts, size = [], 0
+    def rows(batches):
         for lang, text in _joined(batches):
-            _, _, _, key, _, pairs = _text_words(text, lang, held.value)
-            parts.append(_pair_hashes(key)[pairs] if len(key) > 1 else np.zeros(0, np.uint64))
-            size += len(parts[-1])
-            if size >= PAIRS:
-                yield counted(parts)
-                parts, size = [], 0
-        if parts:
-            yield counted(parts)
-
-    pairs = _texts(docs, text_col, lang_col).mapInPandas(count, "pair long, n long")
-    slot = F.pmod("pair", F.lit(PAIR_BITS)) + 1
-    found = pairs.groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    pages = found.groupBy(F.bitmap_bucket_number(slot).alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+            yield pd.DataFrame(made(text, lang).view(np.int64), columns=names)
+
+    found = _texts(docs, text_col, lang_col).mapInPandas(rows, schema)  # tasks combine equal rows before they send them on
+    return found.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+
+
+def _bitmap(hashes: DataFrame) -> np.ndarray:
+    """A bitmap of the column ``phrase``: PAIR_BITS bits, whatever the input is."""
+    slot = F.pmod("phrase", F.lit(PAIR_BITS)) + 1
+    pages = hashes.groupBy(F.bitmap_bucket_number(slot).alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
     bitmap = np.zeros(PAIR_BITS // 8, dtype=np.uint8)
     for page, bits in pages.collect():  # 4 KiB for each 32768 bits of the filter
         bitmap[(page - 1) * 4096 : page * 4096] = np.frombuffer(bits, np.uint8)
     return bitmap
 
 
-def cut_fragments(text: str, lang: str, levels: np.ndarray, longest: int, bitmap: np.ndarray | None = None) -> list[bytes]:
-    """The fragment of every frequent word with company, behind a byte that tells how many words stand before the pivot."""
+def frequent_pairs(docs: DataFrame, levels: np.ndarray, least: int, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(first, second, n): the keys of neighbours that occur ``least`` times."""
+    held = docs.sparkSession.sparkContext.broadcast(levels)  # 2 * SLOTS bytes
+
+    def pairs(text: str, lang: str) -> np.ndarray:
+        _, _, _, key, _, pairs = _text_words(text, lang, held.value)
+        return np.stack([key[:-1][pairs], key[1:][pairs]], axis=1)
+
+    return settle(_counted(docs, pairs, "first long, second long", least, text_col, lang_col), "phrase-pairs")
+
+
+def pair_filter(pairs: DataFrame) -> np.ndarray:
+    def hashes(batches):
+        for pdf in batches:
+            key = pdf[["first", "second"]].to_numpy(np.int64).view(np.uint64)
+            yield pd.DataFrame({"phrase": mix(key[:, 0] * _STEP + key[:, 1]).view(np.int64)})
+
+    return _bitmap(pairs.mapInPandas(hashes, "phrase long"))
+
+
+def triple_filter(docs: DataFrame, levels: np.ndarray, bitmap: np.ndarray, least: int, text_col: str = "text", lang_col: str = "lang") -> np.ndarray:
+    """A bitmap of the hashes of all triples that occur ``least`` times."""
+    held = docs.sparkSession.sparkContext.broadcast((levels, bitmap))  # 2 * SLOTS and PAIR_BITS / 8 bytes
+
+    def triples(text: str, lang: str) -> np.ndarray:
+        levels, bitmap = held.value
+        _, _, _, key, _, pairs = _text_words(text, lang, levels)
+        if len(key) < 3:
+            return np.zeros((0, 1), np.uint64)
+        found = _longer_hashes(key, key)
+        pairs &= _open(found, bitmap)
+        return _longer_hashes(found, key)[pairs[:-1] & pairs[1:], None]
+
+    return _bitmap(_counted(docs, triples, "phrase long", least, text_col, lang_col))
+
+
+def pair_phrases(pairs: DataFrame, frequent: DataFrame) -> DataFrame:
+    """(lang, phrase, f) of the counted pairs, their keys looked up among the frequent words."""
+
+    def keyed(batches):
+        for pdf in batches:
+            for lang, own in pdf.groupby("lang", sort=False):
+                yield pd.DataFrame({"key": word_keys([w.encode() for w in own["word"]], lang).view(np.int64), "lang": lang, "word": own["word"].to_numpy()})
+
+    words = settle(frequent.mapInPandas(keyed, "key long, lang string, word string"), "phrase-keys")
+    # Many pairs may begin or end with one word.
+    named = joined_spread(pairs, words.select(F.col("key").alias("first"), "lang", F.col("word").alias("one")), "first", "second")
+    named = joined_spread(named, words.select(F.col("key").alias("second"), F.col("lang").alias("l"), F.col("word").alias("two")), "second", "first", counted=pairs)
+    return named.where("lang = l").select("lang", F.concat_ws(" ", "one", "two").alias("phrase"), F.col("n").alias("f"))
+
+
+def cut_fragments(text: str, lang: str, levels: np.ndarray, longest: int, bitmap: np.ndarray | None = None, triple_bitmap: np.ndarray | None = None, shortest: int = 2) -> list[bytes]:
+    """The fragments of every frequent word with company, behind a byte that tells how many words stand before the pivot."""
     raw, starts, ends, key, level, pairs = _text_words(text, lang, levels)
     if len(key) < 2:
         return []
+    found = _longer_hashes(key, key)
     if bitmap is not None:
-        slot = (_pair_hashes(key) & np.uint64(8 * len(bitmap) - 1)).astype(np.int64)
-        pairs &= (bitmap[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+        pairs &= _open(found, bitmap)
+    triples = pairs[:-1] & pairs[1:]
+    if triple_bitmap is not None:
+        triples &= _open(_longer_hashes(found, key), triple_bitmap)
     # Higher is rarer.
     rarity = ((np.uint64(65535) - level) << np.uint64(47)) | (key >> np.uint64(17))
     left, right = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
-    # The d-th word on a side follows if all before it did, its pair is open and it is no rarer.
+    # The d-th word on a side follows if all before it did, its pair or triple is open and it is no rarer.
     more = np.flatnonzero(pairs) + 1
     for d in range(1, longest):
         more = more[rarity[more - d] < rarity[more]]
         left[more] = d
         more = more[more > d]
-        more = more[pairs[more - d - 1]]
+        more = more[triples[more - d - 1]]
     more = np.flatnonzero(pairs)
     for d in range(1, longest):
         more = more[rarity[more + d] <= rarity[more]]
         right[more] = d
         more = more[more + d < len(pairs)]
-        more = more[pairs[more + d]]
+        more = more[triples[more + d - 1]]
+    # No frequent phrase goes across a pivot whose triple is not open: its sides are two fragments.
     at = np.flatnonzero(left + right)
-    first, last = starts[at - left[at]], ends[at + right[at]]
-    return [_BEFORE[n] + raw[a:z] for n, a, z in zip(left[at].tolist(), first.tolist(), last.tolist(), strict=True)]
+    apart = at[(left[at] > 0) & (right[at] > 0)]
+    apart = apart[~triples[apart - 1]]
+    before, after = left[at], right[at]
+    after[np.searchsorted(at, apart)] = 0
+    at, before, after = np.concatenate([at, apart]), np.concatenate([before, 0 * apart]), np.concatenate([after, right[apart]])
+    whole = before + after + 1 >= shortest
+    at, before, after = at[whole], before[whole], after[whole]
+    first, last = starts[at - before], ends[at + after]
+    return [_BEFORE[n] + raw[a:z] for n, a, z in zip(before.tolist(), first.tolist(), last.tolist(), strict=True)]
 
 
 def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return docs.select(_language(lang_col).alias("lang"), F.col(text_col).alias("text")).where("text <> ''")
 
 
-def fragments(docs: DataFrame, levels: np.ndarray, bitmap: np.ndarray, least: int, longest: int, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def fragments(docs: DataFrame, levels: np.ndarray, bitmaps: tuple[np.ndarray, np.ndarray], least: int, longest: int, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, pivot, share, shares, before, fragment, n): the rewritten texts, equal ones of a task combined."""
-    held = docs.sparkSession.sparkContext.broadcast((levels, bitmap))  # 2 * SLOTS and PAIR_BITS / 8 bytes
+    held = docs.sparkSession.sparkContext.broadcast((levels, *bitmaps))  # 2 * SLOTS and twice PAIR_BITS / 8 bytes
 
     def rows(lang: str, keys: list[bytes], n: list[int]) -> pd.DataFrame:
         before = [k[0] for k in keys]
@@ -215,7 +280,7 @@ def fragments(docs: DataFrame, levels: np.ndarray, bitmap: np.ndarray, least: in
             found.clear()
 
         for lang, text in _joined(batches):
-            found.setdefault(lang, Counter()).update(cut_fragments(text, lang, held.value[0], longest, held.value[1]))
+            found.setdefault(lang, Counter()).update(cut_fragments(text, lang, held.value[0], longest, *held.value[1:], shortest=3))
             if sum(map(len, found.values())) >= COMBINED:
                 yield from combined()
         yield from combined()
@@ -224,17 +289,17 @@ def fragments(docs: DataFrame, levels: np.ndarray, bitmap: np.ndarray, least: in
 
 
 def _spans(longest: int) -> str:
-    """SQL: the (start, length) of all phrases that hold word ``before`` of ``size`` words, looked up."""
-    of = lambda before, size: [(a + 1, z - a + 1) for a in range(before + 1) for z in range(before, size) if 0 < z - a < longest]
+    """SQL: the (start, length) of all phrases of 3 words or more that hold word ``before`` of ``size`` words, looked up."""
+    of = lambda before, size: [(a + 1, z - a + 1) for a in range(before + 1) for z in range(before, size) if 1 < z - a < longest]
     spans = lambda found: "array(" + ", ".join(f"struct({a} AS a, {n} AS n)" for a, n in found) + ")"
     rows = [spans(of(b, size) or [(1, 0)]) for b in range(longest) for size in range(2 * longest)]
     return f"array({', '.join(rows)})[before * {2 * longest} + size(w)]"
 
 
-def frequent_phrases(docs: DataFrame, levels: np.ndarray, bitmap: np.ndarray, least: int, longest: int, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, phrase, f) of all phrases of 2 to ``longest`` words that occur ``least`` times."""
+def frequent_phrases(docs: DataFrame, levels: np.ndarray, bitmaps: tuple[np.ndarray, np.ndarray], least: int, longest: int, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(lang, phrase, f) of all phrases of 3 to ``longest`` words that occur ``least`` times."""
     key = ["lang", "pivot", "share", "shares"]
-    routed = fragments(docs, levels, bitmap, least, longest, text_col, lang_col).repartition("lang", "pivot", "share")
+    routed = fragments(docs, levels, bitmaps, least, longest, text_col, lang_col).repartition("lang", "pivot", "share")
     # Grouping by more than the partitioning's columns moves nothing.
     routed = routed.groupBy(*key, "before", "fragment").agg(F.sum("n").alias("times")).withColumn("w", F.split("fragment", " "))
     mined = routed.select(*key, "times", "w", F.expr(f"inline({_spans(longest)})")).select(*key, "times", F.array_join(F.slice("w", F.col("a"), F.col("n")), " ").alias("phrase"))
@@ -255,8 +320,13 @@ def collocations(
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))  # a row for each language
     frequent = words.where(F.col("f") >= least)
     levels = rarity_levels(frequent, least)
-    bitmap = pair_filter(docs, levels, least, text_col, lang_col)
-    phrases = settle(frequent_phrases(docs, levels, bitmap, least, longest, text_col, lang_col), "phrases")
+    pairs = frequent_pairs(docs, levels, least, text_col, lang_col)
+    phrases = pair_phrases(pairs, frequent)
+    if longest > 2:
+        bitmap = pair_filter(pairs)
+        bitmaps = bitmap, triple_filter(docs, levels, bitmap, least, text_col, lang_col)
+        phrases = phrases.unionByName(frequent_phrases(docs, levels, bitmaps, least, longest, text_col, lang_col))
+    phrases = settle(phrases, "phrases")
     # Keys of phrases and words alike; no word holds a tab.
     name = lambda phrase: F.concat(F.col("lang"), F.lit("\t"), phrase)
     counts = phrases.select(name(F.col("phrase")).alias("key"), "f").unionByName(frequent.select(name(F.col("word")).alias("key"), "f"))

@@ -246,3 +246,18 @@ def test_pivots_are_the_rarest_words(spark):
 def test_scores_beyond_64_bits_are_exact(spark):
     got = spark.sql("select (cast(9000000000000001L as decimal(17,0)) * cast(90000000000000007L as decimal(17,0)) * 1000BD) div (cast(9000000000000003L as decimal(17,0)) * cast(9000000000000005L as decimal(17,0))) as s").first()["s"]
     assert got == 1000 * 9000000000000001 * 90000000000000007 // (9000000000000003 * 9000000000000005)
+
+
+def test_only_frequent_triples_are_rewritten(spark):
+    """Pairs are counted by their words, so texts without a frequent triple send no fragment."""
+    texts = [f"a b. b c. c a. {x} {y} {z}." for x, y, z in [("a", "b", "c"), ("b", "c", "a"), ("c", "a", "b")] * 10]
+    docs = docs_of(spark, texts)
+    for least, sent in ((11, 0), (10, 30)):
+        levels = collocations.rarity_levels(collocations.word_counts(docs).where(f"f >= {least}"), least)
+        pairs = collocations.frequent_pairs(docs, levels, least)
+        assert sorted(r["n"] for r in pairs.collect()) == [50, 50, 50]
+        bitmap = collocations.pair_filter(pairs)
+        bitmaps = bitmap, collocations.triple_filter(docs, levels, bitmap, least)
+        got = collocations.fragments(docs, levels, bitmaps, least, 5).groupBy().sum("n").first()[0]
+        assert (got or 0) == sent
+        assert as_set(collocations.collocations(docs, least=least)) == plain_collocations([(t, "en") for t in texts], least, 5, 2000)
